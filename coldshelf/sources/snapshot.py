@@ -1,0 +1,210 @@
+"""A table on plain Parquet from which a window can be removed, and put back.
+
+Rows lie in segments, one directory per period (a month by default). A
+snapshot is one small row naming the segments the table consists of; readers
+pick the newest snapshot and keep it for the whole job. Removing a window
+rewrites only the segments the window cuts through, and putting rows back only
+adds segments, so neither costs more than the window it concerns. Where a table
+format with DELETE is available, that is the better choice.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from coldshelf.functions.columns import archive_key, col, require_date
+from coldshelf.operators.delete import survivors_of_window
+from coldshelf.spec import Granularity, TableSpec, Window, same_columns
+
+PERIOD = "period"
+
+SEGMENT_TYPE = "array<struct<period:string,path:string,n_rows:bigint>>"
+SNAPSHOT_DDL = f"at timestamp, parent bigint, cause string, columns string, segments {SEGMENT_TYPE}"
+
+
+class SnapshotConflict(RuntimeError):
+    """Another writer published a version of the table first."""
+
+
+@dataclass(frozen=True)
+class Segment:
+    period: str
+    path: str
+    n_rows: int
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    schema: T.StructType
+    segments: tuple[Segment, ...]
+
+    @property
+    def n_rows(self) -> int:
+        return sum(s.n_rows for s in self.segments)
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, root: str, period: Granularity = Granularity.MONTH):
+        if period is Granularity.NONE:
+            raise ValueError("segments need a period")
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.period = period
+
+    @classmethod
+    def create(
+        cls,
+        spark: SparkSession,
+        root: str,
+        rows: DataFrame,
+        spec: TableSpec,
+        period: Granularity = Granularity.MONTH,
+    ) -> SnapshotTable:
+        """Write the first version of a table."""
+        table = cls(spark, root, period)
+        table._publish(None, rows.schema, table._write(rows, spec), "create")
+        return table
+
+    # -- reading -----------------------------------------------------------
+
+    def pin(self) -> Snapshot:
+        """The newest version. Its files never change, so it reads the same every time."""
+        row = (
+            self.spark.read.schema(f"v bigint, {SNAPSHOT_DDL}")
+            .parquet(f"{self.root}/snapshots")
+            .orderBy(F.desc("v"))
+            .first()
+        )
+        import json
+
+        return Snapshot(
+            row.v,
+            T.StructType.fromJson(json.loads(row.columns)),
+            tuple(Segment(s.period, s.path, s.n_rows) for s in row.segments),
+        )
+
+    def read(self, snapshot: Snapshot | None = None, window: Window | None = None) -> DataFrame:
+        """Rows of a version; with a window, only of the segments the window touches."""
+        snapshot = snapshot or self.pin()
+        segments = snapshot.segments
+        if window is not None:
+            segments = [s for s in segments if self._touches(s, window)]
+        return self._rows(snapshot.schema, segments)
+
+    def changed_since(self, snapshot: Snapshot, window: Window) -> bool:
+        """Whether any segment the window touches was added, replaced or removed since."""
+        return self._paths(self.pin(), window) != self._paths(snapshot, window)
+
+    # -- writing -----------------------------------------------------------
+
+    def delete_window(self, snapshot: Snapshot, spec: TableSpec, window: Window, expected: int) -> int:
+        """Publish the table without the window's rows; only ``expected`` rows may go.
+
+        Segments wholly inside the window are dropped without being read.
+        """
+        touched = [s for s in snapshot.segments if self._touches(s, window)]
+        whole = [] if spec.predicate else [s for s in touched if self._inside(s, window)]
+        cut = [s for s in touched if s not in whole]
+        kept = [s for s in snapshot.segments if s not in touched]
+        left: list[Segment] = []
+        if cut:
+            left = self._write(survivors_of_window(self._rows(snapshot.schema, cut), spec, window), spec)
+        deleted = sum(s.n_rows for s in touched) - sum(s.n_rows for s in left)
+        if deleted != expected:
+            raise ValueError(f"would delete {deleted} rows where {expected} were reconciled")
+        self._publish(snapshot, snapshot.schema, kept + left, f"delete {window}")
+        return deleted
+
+    def insert(self, snapshot: Snapshot, rows: DataFrame, spec: TableSpec) -> int:
+        """Publish the table with the given rows added; returns how many were written."""
+        if not same_columns(rows.schema, snapshot.schema):
+            raise ValueError("the rows do not have the table's columns")
+        added = self._write(rows, spec)
+        self._publish(snapshot, snapshot.schema, [*snapshot.segments, *added], "insert")
+        return sum(s.n_rows for s in added)
+
+    def add_columns(self, snapshot: Snapshot, fields: list[T.StructField]) -> Snapshot:
+        """Publish the table with more nullable columns; existing rows read them as NULL."""
+        schema = T.StructType([*snapshot.schema.fields, *fields])
+        return self._publish(snapshot, schema, list(snapshot.segments), "add columns")
+
+    # -- inside ------------------------------------------------------------
+
+    def _rows(self, schema: T.StructType, segments) -> DataFrame:
+        if not segments:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[s.path for s in segments])
+
+    def _write(self, rows: DataFrame, spec: TableSpec) -> list[Segment]:
+        """Write rows as new segments, sorted by date so that scans can skip row groups.
+
+        The list of segments depends on the calendar, not on the number of rows.
+        """
+        require_date(rows.schema, spec.date_col)
+        folder = f"{self.root}/data/w={uuid.uuid4().hex}"
+        (
+            rows.withColumn(PERIOD, archive_key(col(spec.date_col), self.period))
+            .hint("rebalance", PERIOD)
+            .sortWithinPartitions(PERIOD, col(spec.date_col))
+            .write.mode("errorifexists")
+            .partitionBy(PERIOD)
+            .parquet(folder)
+        )
+        written = self.spark.read.schema(
+            T.StructType([*rows.schema.fields, T.StructField(PERIOD, T.StringType())])
+        ).parquet(folder)
+        counts = written.groupBy(PERIOD).agg(F.count("*").alias("n_rows"))
+        return [Segment(r[PERIOD], f"{folder}/{PERIOD}={r[PERIOD]}", r.n_rows) for r in counts.collect()]
+
+    def _publish(
+        self, parent: Snapshot | None, schema: T.StructType, segments: list[Segment], cause: str
+    ) -> Snapshot:
+        """Make a new version current. The version folder is created only if absent."""
+        newest = parent.version if parent else 0
+        row = (
+            datetime.now(timezone.utc),
+            newest,
+            cause,
+            schema.json(),
+            [(s.period, s.path, s.n_rows) for s in segments],
+        )
+        one = self.spark.createDataFrame([row], SNAPSHOT_DDL).coalesce(1)
+        for version in range(newest + 1, newest + 100):
+            try:
+                one.write.mode("errorifexists").parquet(f"{self.root}/snapshots/v={version}")
+                return Snapshot(version, schema, tuple(segments))
+            except AnalysisException as taken:
+                if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                # A folder without a row in it was left by a writer that died.
+                if parent is None or self.pin().version > newest:
+                    raise SnapshotConflict(f"{self.root} was changed by another writer") from taken
+        raise SnapshotConflict(f"no free version number after {newest}")
+
+    def _paths(self, snapshot: Snapshot, window: Window) -> set[str]:
+        return {s.path for s in snapshot.segments if self._touches(s, window)}
+
+    def _label(self, day: date) -> str:
+        return {
+            Granularity.EXACT_DATE: f"{day:%Y-%m-%d}",
+            Granularity.MONTH: f"{day:%Y-%m}",
+            Granularity.YEAR: f"{day:%Y}",
+        }[self.period]
+
+    def _touches(self, segment: Segment, window: Window) -> bool:
+        if segment.period == "unknown":
+            return False
+        return self._label(window.start) <= segment.period <= self._label(window.end - timedelta(days=1))
+
+    def _inside(self, segment: Segment, window: Window) -> bool:
+        """Whether every date of the segment's period lies in the window."""
+        if not self._touches(segment, window):
+            return False
+        before = self._label(window.start - timedelta(days=1))
+        return before < segment.period < self._label(window.end)
