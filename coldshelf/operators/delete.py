@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from coldshelf.functions.columns import col
-from coldshelf.operators.reconcile import HOT_KEY_BOUND
+from coldshelf.operators.membership import by_membership
 from coldshelf.sources.scan import window_filter, window_scan
 from coldshelf.spec import TableSpec, Window
 
 
 def delete_targets(table: DataFrame, archived: DataFrame, pk: tuple[str, ...]) -> DataFrame:
     """Rows of the table whose key is among the archived keys."""
-    return _by_membership(table, archived, pk, "left_semi")
+    return by_membership(table, archived, pk, "left_semi", null_safe=False)
 
 
 def survivors(table: DataFrame, archived: DataFrame, pk: tuple[str, ...]) -> DataFrame:
     """The table without the archived keys; rows with a NULL key always stay."""
-    return _by_membership(table, archived, pk, "left_anti")
+    return by_membership(table, archived, pk, "left_anti", null_safe=False)
 
 
 def survivors_of_window(table: DataFrame, spec: TableSpec, window: Window) -> DataFrame:
@@ -63,44 +63,3 @@ def delete_batch_plan(table: DataFrame, spec: TableSpec, window: Window, batch_r
         .agg(F.min("pk").alias("first_pk"), F.max("pk").alias("last_pk"), F.count("*").alias("n_rows"))
         .select("range_no", "batch_in_range", "first_pk", "last_pk", "n_rows")
     )
-
-
-def _by_membership(table: DataFrame, archived: DataFrame, pk: tuple[str, ...], how: str) -> DataFrame:
-    """Semi or anti join on the key that no repeated key can overload.
-
-    Archived keys are made distinct (partial counts first). Table keys holding
-    more than one in ``HOT_KEY_BOUND`` rows are at most that many, so their
-    archived members may be broadcast; those rows are tested without moving
-    them. All other rows are spread evenly by the shuffle.
-    """
-    keys = archived.select(*[col(c).alias(f"k{i}") for i, c in enumerate(pk)]).distinct()
-    threshold = max(table.count() // HOT_KEY_BOUND, 1)
-    hot = (
-        table.groupBy(*[col(c).alias(f"h{i}") for i, c in enumerate(pk)])
-        .agg(F.count("*").alias("copies"))
-        .where(F.col("copies") > threshold)
-        .drop("copies")
-    )
-    if hot.isEmpty():
-        return table.join(keys, _equal(pk, "k"), how)
-    hot_tested = (
-        table.join(F.broadcast(hot), _equal(pk, "h", null_safe=True), "left_semi")
-        .join(F.broadcast(keys.join(F.broadcast(hot), _hot_member(pk), "left_semi")), _equal(pk, "k"), how)
-    )
-    rest = table.join(F.broadcast(hot), _equal(pk, "h", null_safe=True), "left_anti")
-    return hot_tested.unionByName(rest.join(keys, _equal(pk, "k"), how))
-
-
-def _equal(pk: tuple[str, ...], tag: str, null_safe: bool = False) -> Column:
-    condition = F.lit(True)
-    for i, c in enumerate(pk):
-        other = F.col(f"{tag}{i}")
-        condition = condition & (col(c).eqNullSafe(other) if null_safe else col(c) == other)
-    return condition
-
-
-def _hot_member(pk: tuple[str, ...]) -> Column:
-    condition = F.lit(True)
-    for i in range(len(pk)):
-        condition = condition & F.col(f"k{i}").eqNullSafe(F.col(f"h{i}"))
-    return condition

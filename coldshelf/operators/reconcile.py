@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from coldshelf.functions.columns import col
+from coldshelf.operators.membership import by_membership, hot_threshold, same_key
 from coldshelf.spec import same_columns
 
 MATCH = "match"
@@ -15,10 +16,6 @@ MISSING_IN_ARCHIVE = "missing_in_archive"
 MISSING_IN_SOURCE = "missing_in_source"
 DUPLICATE_KEY = "duplicate_key"
 
-# A key is hot when it holds more than one in this many of the counted rows.
-# There can never be more hot keys than this, which bounds what gets broadcast.
-HOT_KEY_BOUND = 10_000
-
 
 @dataclass(frozen=True)
 class KeyProfile:
@@ -52,34 +49,41 @@ def key_census(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> Da
     return both.groupBy(*keys).agg(F.sum("s").alias("source_rows"), F.sum("a").alias("archive_rows"))
 
 
-def key_profile(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> KeyProfile:
+def key_counts(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> DataFrame:
+    """The counts of a ``KeyProfile`` as one row."""
     s, a = F.col("source_rows"), F.col("archive_rows")
-    row = (
-        key_census(source, archive, pk)
-        .agg(
-            F.coalesce(F.sum(s), F.lit(0)).alias("source_rows"),
-            F.coalesce(F.sum(a), F.lit(0)).alias("archive_rows"),
-            F.count_if((s > 1) | (a > 1)).alias("duplicate_keys"),
-            F.count_if(a == 0).alias("missing_in_archive"),
-            F.count_if(s == 0).alias("missing_in_source"),
-        )
-        .first()
+    return key_census(source, archive, pk).agg(
+        F.coalesce(F.sum(s), F.lit(0)).alias("source_rows"),
+        F.coalesce(F.sum(a), F.lit(0)).alias("archive_rows"),
+        F.count_if((s > 1) | (a > 1)).alias("duplicate_keys"),
+        F.count_if(a == 0).alias("missing_in_archive"),
+        F.count_if(s == 0).alias("missing_in_source"),
     )
-    return KeyProfile(**row.asDict())
 
 
-def unmatched(left: DataFrame, right: DataFrame, pk: tuple[str, ...]) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right``; NULL keys match each other."""
-    keys = right.select(*[col(c).alias(f"k{i}") for i, c in enumerate(pk)]).distinct()
-    return left.join(keys, _same_key(pk), "left_anti")
+def key_profile(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> KeyProfile:
+    return KeyProfile(**key_counts(source, archive, pk).first().asDict())
+
+
+def count_gates(source: DataFrame, archive: DataFrame, pk: tuple[str, ...], exported: Column) -> DataFrame:
+    """The counts and the gates that must all hold before contents are compared."""
+    return key_counts(source, archive, pk).select(
+        "*",
+        (F.col("archive_rows") == exported).alias("archive_holds_export"),
+        (F.col("source_rows") == exported).alias("source_unchanged"),
+        (F.col("duplicate_keys") == 0).alias("keys_unique"),
+        ((F.col("missing_in_archive") == 0) & (F.col("missing_in_source") == 0)).alias("keys_equal"),
+    )
 
 
 def missing_in_archive(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> DataFrame:
-    return unmatched(source, archive, pk)
+    """Source rows whose key the archive lacks; NULL keys match each other."""
+    return by_membership(source, archive, pk, "left_anti", null_safe=True)
 
 
 def missing_in_source(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> DataFrame:
-    return unmatched(archive, source, pk)
+    """Archive rows whose key the source lacks; NULL keys match each other."""
+    return by_membership(archive, source, pk, "left_anti", null_safe=True)
 
 
 def diff(
@@ -106,12 +110,12 @@ def diff(
         return _compare(source, archive, pk)
     census = key_census(source, archive, pk)
     repeated = census.where("source_rows > 1 or archive_rows > 1")
-    threshold = (profile.source_rows + profile.archive_rows) // HOT_KEY_BOUND
+    threshold = hot_threshold(profile.source_rows + profile.archive_rows)
     keys = [col(c).alias(f"k{i}") for i, c in enumerate(pk)]
     hot = F.broadcast(repeated.where(F.expr(f"source_rows + archive_rows > {threshold}")).select(*keys))
     cold = repeated.where(F.expr(f"source_rows + archive_rows <= {threshold}")).select(*keys)
     single = [
-        side.join(hot, _same_key(pk), "left_anti").join(cold, _same_key(pk), "left_anti")
+        side.join(hot, same_key(pk), "left_anti").join(cold, same_key(pk), "left_anti")
         for side in (source, archive)
     ]
     reported = repeated.select(
@@ -141,13 +145,6 @@ def set_equality(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _same_key(pk: tuple[str, ...]) -> Column:
-    condition = F.lit(True)
-    for i, c in enumerate(pk):
-        condition = condition & col(c).eqNullSafe(F.col(f"k{i}"))
-    return condition
-
-
 def _compare(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> DataFrame:
     """Full outer join of two sides with unique keys; columns compared null-safely."""
     names = source.columns

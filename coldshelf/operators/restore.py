@@ -40,6 +40,22 @@ def window_check(found: DataFrame) -> DataFrame:
     )
 
 
+def resolve_files(given: DataFrame, recorded: DataFrame) -> DataFrame:
+    """``window_check`` of the named files, with how many are unknown and one of those, in one pass."""
+    windows = recorded.select("base_name", *WINDOW_KEY, "run_token").distinct()
+    named = given.withColumn("base_name", base_name(F.col("file_path")))
+    unknown = F.col("run_token").isNull()
+    return named.join(windows, "base_name", "left").agg(
+        F.count_if(unknown).alias("n_unknown"),
+        F.min(F.when(unknown, F.col("base_name"))).alias("an_unknown"),
+        F.count_distinct("window_start", "window_end").alias("n_windows"),
+        F.count_distinct("run_token").alias("n_runs"),
+        F.min("window_start").alias("window_start"),
+        F.min("window_end").alias("window_end"),
+        F.min("run_token").alias("run_token"),
+    )
+
+
 def restore_union(current: DataFrame, restored: DataFrame, allow_missing_columns: bool = False) -> DataFrame:
     """The table with the restored rows back.
 

@@ -28,7 +28,7 @@ from coldshelf.operators.reconcile import (
     key_profile,
     key_totals,
 )
-from coldshelf.operators.restore import lookup_files, restore_union, unknown_files, window_check
+from coldshelf.operators.restore import resolve_files, restore_union
 from coldshelf.plans.ledger import Ledger, Record, Status
 from coldshelf.plans.windows import ResolvedWindow, resolve_window
 from coldshelf.sources.archive import archive_scan
@@ -84,7 +84,9 @@ class Retention:
         found = self.next_window(table, spec, as_of, explicit_start)
         if not found.eligible:
             return None
-        return self.archive_window(table, spec, found.window, as_of, dry_run, transform=transform)
+        return self.archive_window(
+            table, spec, found.window, as_of, dry_run, allow_young=True, transform=transform
+        )
 
     def archive_pending(
         self,
@@ -106,7 +108,9 @@ class Retention:
                 return done
             known = self.ledger.find(spec.name, found.window)
             if known is None or known.status is not Status.RESTORED:
-                record = self.archive_window(table, spec, found.window, as_of, transform=transform)
+                record = self.archive_window(
+                    table, spec, found.window, as_of, allow_young=True, transform=transform
+                )
                 done.append(record)
                 if record.status is not Status.DELETED:
                     return done
@@ -130,11 +134,10 @@ class Retention:
         A window already deleted is left alone. A rerun of any other window
         starts again at the export, under a new run directory.
         """
-        cutoff = resolve_window(
-            table.read(), spec, as_of, window.start, None, self.retention_years, self.window_months
-        ).cutoff
-        if window.end > cutoff and not allow_young:
-            raise RetentionRefused(f"'{spec.name}' {window} reaches past the retention cutoff {cutoff}")
+        if not allow_young:
+            cutoff = self.next_window(table, spec, as_of, window.start).cutoff
+            if window.end > cutoff:
+                raise RetentionRefused(f"'{spec.name}' {window} reaches past the retention cutoff {cutoff}")
         known = self.ledger.find(spec.name, window)
         if known is not None:
             if known.predicate != spec.predicate:
@@ -150,16 +153,16 @@ class Retention:
                 finished = self._finish_delete(table, spec, window, known, transform)
                 if finished is not None:
                     return finished
-        self.export_window(table, spec, window, transform)
-        self.reconcile_window(table, spec, window, transform)
-        return self.delete_window(table, spec, window, dry_run, transform)
+        record = self.export_window(table, spec, window, transform)
+        record = self.reconcile_window(table, spec, window, transform, record)
+        return self.delete_window(table, spec, window, dry_run, transform, record)
 
     def export_window(
         self, table: Any, spec: TableSpec, window: Window, transform: Transform | None = None
     ) -> Record:
         token = uuid.uuid4().hex
         at = datetime.now(timezone.utc)
-        self._record(spec, window, Status.STARTED, token)
+        record = self._record(spec, window, Status.STARTED, token)
         try:
             pinned = table.pin()
             rows = archive_rows(window_scan(table.read(pinned, window), spec, window), spec, transform)
@@ -169,52 +172,53 @@ class Retention:
             if bad:
                 raise RetentionError(self._null_message(rows, spec, bad))
             files = manifest(read_archive(self.spark, path, rows.schema), path)
-            self.ledger.record_manifest(spec.name, window, token, files)
-            listed = self.ledger.manifest(spec.name).where(F.col("run_token") == token)
-            totals = listed.agg(F.count("*").alias("files"), F.sum("n_rows").alias("rows")).first()
-            if (totals.rows or 0) != stats.rows:
-                raise RetentionError(
-                    f"{stats.rows} rows were handed to the writer, the files hold {totals.rows or 0}"
-                )
+            n_files, n_rows = self.ledger.record_manifest(spec.name, window, token, files)
+            if n_rows != stats.rows:
+                raise RetentionError(f"{stats.rows} rows were handed to the writer, the files hold {n_rows}")
         except Exception as failure:
-            self._fail(spec, window, Status.EXPORT_FAILED, token, failure)
-        self._record(
+            self._fail(spec, record, Status.EXPORT_FAILED, failure)
+        return self._record(
             spec,
             window,
             Status.EXPORTED,
             token,
+            record,
             exported=stats.rows,
             export_run=token,
             archive_path=path,
             archive_schema=rows.schema.json(),
-            n_files=totals.files,
+            n_files=n_files,
             transformed=transform is not None,
             source_version=pinned.version if pinned else None,
         )
-        return self.ledger.find(spec.name, window)
 
     def reconcile_window(
-        self, table: Any, spec: TableSpec, window: Window, transform: Transform | None = None
+        self,
+        table: Any,
+        spec: TableSpec,
+        window: Window,
+        transform: Transform | None = None,
+        record: Record | None = None,
     ) -> Record:
-        record = self._require(spec, window, {Status.EXPORTED}, "reconcile")
+        record = record or self.ledger.find(spec.name, window)
+        _require(record, Status.EXPORTED, spec, window, "reconcile")
         if record.exported == 0 and record.n_files == 0:
-            self._record(spec, window, Status.RECONCILED, record.run_token, reconciled=0)
-            return self.ledger.find(spec.name, window)
+            return self._record(spec, window, Status.RECONCILED, record.run_token, record, reconciled=0)
         try:
             # A fresh read of the newest version, not the rows the export held.
             pinned = table.pin()
             matched = self._prove_equal(table, pinned, spec, window, record, transform)
         except Exception as failure:
-            self._fail(spec, window, Status.RECONCILE_FAILED, record.run_token, failure)
-        self._record(
+            self._fail(spec, record, Status.RECONCILE_FAILED, failure)
+        return self._record(
             spec,
             window,
             Status.RECONCILED,
             record.run_token,
+            record,
             reconciled=matched,
             source_version=pinned.version if pinned else None,
         )
-        return self.ledger.find(spec.name, window)
 
     def delete_window(
         self,
@@ -223,16 +227,16 @@ class Retention:
         window: Window,
         dry_run: bool = DEFAULTS.dry_run,
         transform: Transform | None = None,
+        record: Record | None = None,
     ) -> Record:
-        record = self.ledger.find(spec.name, window)
+        record = record or self.ledger.find(spec.name, window)
         if record is not None and record.status is Status.DELETED:
             return record
-        record = self._require(spec, window, {Status.RECONCILED}, "delete")
+        _require(record, Status.RECONCILED, spec, window, "delete")
         token = record.run_token
         if not self.delete_enabled or dry_run:
             reason = "dry run" if self.delete_enabled else "deletes are switched off"
-            self._record(spec, window, Status.DELETE_SKIPPED, token, error=reason)
-            return self.ledger.find(spec.name, window)
+            return self._record(spec, window, Status.DELETE_SKIPPED, token, record, error=reason)
         try:
             pinned = table.pin()
             unchanged = pinned is not None and pinned.version == record.source_version
@@ -248,9 +252,8 @@ class Retention:
                     self._prove_equal(table, pinned, spec, window, record, transform)
                 deleted = table.delete_window(pinned, spec, window, record.reconciled)
         except Exception as failure:
-            self._fail(spec, window, Status.DELETE_FAILED, token, failure)
-        self._record(spec, window, Status.DELETED, token, deleted=deleted)
-        return self.ledger.find(spec.name, window)
+            self._fail(spec, record, Status.DELETE_FAILED, failure)
+        return self._record(spec, window, Status.DELETED, token, record, deleted=deleted)
 
     # -- restore -----------------------------------------------------------
 
@@ -278,7 +281,7 @@ class Retention:
             raise RetentionRefused(f"'{spec.name}' already has {there} rows in {window}")
         expected = record.reconciled if record.reconciled is not None else record.exported or 0
         token = record.run_token
-        self._record(spec, window, Status.RESTORE_STARTED, token)
+        record = self._record(spec, window, Status.RESTORE_STARTED, token, record)
         try:
             archived = T.StructType.fromJson(json.loads(record.archive_schema))
             rows = archive_scan(self.spark, files, archived)
@@ -296,19 +299,19 @@ class Retention:
             if written != expected or after != expected:
                 raise RetentionError(f"{written} rows were written and {after} are there; expected {expected}")
         except Exception as failure:
-            self._fail(spec, window, Status.RESTORE_FAILED, token, failure)
-        self._record(spec, window, Status.RESTORED, token, restored=written)
-        return self.ledger.find(spec.name, window)
+            self._fail(spec, record, Status.RESTORE_FAILED, failure)
+        return self._record(spec, window, Status.RESTORED, token, record, restored=written)
 
     # -- inside ------------------------------------------------------------
 
     def _window_of(self, spec: TableSpec, files: list[str]) -> tuple[Record, TableSpec]:
         given = self.spark.createDataFrame([(f,) for f in files], "file_path string")
-        recorded = self.ledger.manifest(spec.name)
-        strange = unknown_files(given, recorded).first()
-        if strange is not None:
-            raise RetentionRefused(f"'{strange.base_name}' is not a recorded export of '{spec.name}'")
-        found = window_check(lookup_files(given, recorded)).first()
+        found = resolve_files(given, self.ledger.manifest(spec.name)).first()
+        if found.n_unknown:
+            raise RetentionRefused(
+                f"{found.n_unknown} file(s), for example '{found.an_unknown}', "
+                f"are not recorded exports of '{spec.name}'"
+            )
         if found.n_windows != 1:
             raise RetentionRefused("the named files belong to different windows")
         record = self.ledger.find(spec.name, Window(found.window_start, found.window_end))
@@ -372,9 +375,10 @@ class Retention:
             if profile.source_rows:
                 table.delete_window(pinned, spec, window, profile.source_rows)
         except Exception as failure:
-            self._fail(spec, window, Status.DELETE_FAILED, record.run_token, failure)
-        self._record(spec, window, Status.DELETED, record.run_token, deleted=record.reconciled)
-        return self.ledger.find(spec.name, window)
+            self._fail(spec, record, Status.DELETE_FAILED, failure)
+        return self._record(
+            spec, window, Status.DELETED, record.run_token, record, deleted=record.reconciled
+        )
 
     def _both_sides(
         self,
@@ -392,22 +396,23 @@ class Retention:
             raise RetentionError("the table's columns changed since the export")
         return live, read_archive(self.spark, record.archive_path, schema).drop(KEY)
 
-    def _require(self, spec: TableSpec, window: Window, allowed: set[Status], step: str) -> Record:
-        record = self.ledger.find(spec.name, window)
-        if record is None or record.status not in allowed:
-            status = record.status.value if record else "not started"
-            raise RetentionRefused(f"cannot {step} '{spec.name}' {window}: it is {status}")
-        return record
-
-    def _record(self, spec: TableSpec, window: Window, status: Status, token: str, **values) -> None:
-        self.ledger.record(spec.name, window, status, token, predicate=spec.predicate, **values)
+    def _record(
+        self,
+        spec: TableSpec,
+        window: Window,
+        status: Status,
+        token: str,
+        after: Record | None = None,
+        **values,
+    ) -> Record:
+        return self.ledger.record(
+            spec.name, window, status, token, predicate=spec.predicate, after=after, **values
+        )
 
-    def _fail(
-        self, spec: TableSpec, window: Window, status: Status, token: str, failure: Exception
-    ) -> None:
+    def _fail(self, spec: TableSpec, record: Record, status: Status, failure: Exception) -> None:
         """Record the failure first, then raise it."""
-        self._record(spec, window, status, token, error=str(failure))
-        raise RetentionError(f"'{spec.name}' {window}: {failure}") from failure
+        self._record(spec, record.window, status, record.run_token, record, error=str(failure))
+        raise RetentionError(f"'{spec.name}' {record.window}: {failure}") from failure
 
     def _null_message(self, rows: DataFrame, spec: TableSpec, bad: dict[str, int]) -> str:
         any_null = " or ".join(f"{quoted(c)} is null" for c in bad)
@@ -415,6 +420,12 @@ class Retention:
         return f"NULL in required column(s) {bad}, for example {sample.asDict()}"
 
 
+def _require(record: Record | None, status: Status, spec: TableSpec, window: Window, step: str) -> None:
+    if record is None or record.status is not status:
+        found = record.status.value if record else "not started"
+        raise RetentionRefused(f"cannot {step} '{spec.name}' {window}: it is {found}")
+
+
 def _count_problem(profile: KeyProfile, exported: int) -> str | None:
     if profile.duplicate_keys:
         return f"{profile.duplicate_keys} key(s) occur more than once"
@@ -445,4 +456,3 @@ def _fill_added(rows: DataFrame, table: T.StructType) -> DataFrame:
             for f in table.fields
         ]
     )
-

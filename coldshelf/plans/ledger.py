@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 from enum import Enum
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from coldshelf.functions.columns import ERROR_LIMIT
 from coldshelf.operators.export import safe_name
@@ -148,6 +148,12 @@ class Record:
     at: datetime | None
 
 
+def _check_follows(known: Record | None, status: Status, table: str, window: Window) -> None:
+    before = known.status if known else None
+    if status is not Status.STARTED and status not in FOLLOWS.get(before, set()):
+        raise LedgerConflict(f"'{table}' {window}: {status.value} may not follow {before and before.value}")
+
+
 class Ledger:
     """Events and manifests below one folder on shared storage.
 
@@ -160,6 +166,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._begun: set[tuple[str, str]] = set()
 
     def events(self, table: str | None = None) -> DataFrame:
         fields = [T.StructField("seq", T.LongType())] + list(EVENT_SCHEMA.fields)
@@ -169,22 +176,7 @@ class Ledger:
         return fold(self.events(table), CARRIED, REPLACED)
 
     def find(self, table: str, window: Window) -> Record | None:
-        row = (
-            fold(
-                self.events(table).where(
-                    (F.col("window_start") == F.lit(window.start))
-                    & (F.col("window_end") == F.lit(window.end))
-                ),
-                CARRIED,
-                REPLACED,
-            )
-        ).first()
-        if row is None:
-            return None
-        values = row.asDict()
-        values["window"] = Window(values.pop("window_start"), values.pop("window_end"))
-        values["status"] = Status(values["status"])
-        return Record(**values)
+        return self._lookup(table, window)[1]
 
     def watermark(self, table: str) -> date | None:
         row = watermark(self.state(table)).first()
@@ -215,9 +207,14 @@ class Ledger:
         run_token: str,
         predicate: str | None = None,
         error: str | None = None,
+        after: Record | None = None,
         **values,
-    ) -> int:
-        """Append one event and return its number."""
+    ) -> Record:
+        """Append one event and return the state it leads to.
+
+        ``after`` is the state the caller holds and spares reading it again; a
+        caller whose state is out of date finds its event number taken.
+        """
         event = dict.fromkeys(EVENT_SCHEMA.names)
         event.update(
             at=datetime.now(timezone.utc),
@@ -230,24 +227,24 @@ class Ledger:
             error_message=error[:ERROR_LIMIT] if error else None,
             **values,
         )
-        latest, before = self._latest(table, window)
-        if status is not Status.STARTED and status not in FOLLOWS.get(before, set()):
-            raise LedgerConflict(f"'{table}' {window}: {status.value} may not follow {before and before.value}")
-        one = self.spark.createDataFrame([tuple(event.values())], EVENT_SCHEMA).coalesce(1)
-        for seq in range(latest + 1, latest + 100):
-            try:
-                one.write.mode("errorifexists").parquet(f"{self._folder('events', table)}/seq={seq}")
-                return seq
-            except AnalysisException as taken:
-                if taken.getCondition() != "PATH_ALREADY_EXISTS":
-                    raise
-                # Either another writer was faster, or a writer died before it
-                # committed; the latter left a folder without an event in it.
-                if self._latest(table, window)[0] > latest:
-                    raise LedgerConflict(f"another writer is recording runs of '{table}'") from taken
-        raise LedgerConflict(f"no free event number for '{table}' after {latest}")
-
-    def record_manifest(self, table: str, window: Window, run_token: str, files: DataFrame) -> None:
+        row = self.spark.createDataFrame([tuple(event.values())], EVENT_SCHEMA).coalesce(1)
+        known, seq = after, None
+        if after is not None:
+            _check_follows(after, status, table, window)
+            if self._create(row, table, after.seq + 1):
+                seq = after.seq + 1
+        if seq is None:
+            seq, known = self._append(row, table, window, status)
+        state = {c: event[c] for c in REPLACED}
+        for c in CARRIED:
+            state[c] = event[c] if event[c] is not None else getattr(known, c, None)
+        return Record(**{**state, "seq": seq, "table_name": table, "window": window, "status": status})
+
+    def record_manifest(
+        self, table: str, window: Window, run_token: str, files: DataFrame
+    ) -> tuple[int, int]:
+        """List a run's part files; returns how many there are and the rows they hold."""
+        listed = Observation()
         files.select(
             F.lit(table).alias("table_name"),
             F.lit(window.start).alias("window_start"),
@@ -257,33 +254,79 @@ class Ledger:
             "file_path",
             "base_name",
             "n_rows",
+        ).observe(
+            listed, F.count("*").alias("files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
         ).write.mode("errorifexists").parquet(
             f"{self._folder('manifest', table)}/run={safe_name(run_token)}"
         )
+        return listed.get["files"], listed.get["rows"]
 
     def _current_runs(self, table: str) -> DataFrame:
         return self.state(table).select(*WINDOW_KEY, F.col("export_run").alias("run_token"))
 
-    def _latest(self, table: str, window: Window) -> tuple[int, Status | None]:
-        """Last event number of the table, and last status of the window."""
+    def _append(
+        self, row: DataFrame, table: str, window: Window, status: Status
+    ) -> tuple[int, Record | None]:
+        """Write an event under the next free number; also returns the state before it."""
+        latest, known = self._lookup(table, window)
+        _check_follows(known, status, table, window)
+        for seq in range(latest + 1, latest + 100):
+            if self._create(row, table, seq):
+                return seq, known
+            # Either another writer was faster, or a writer died before it
+            # committed; the latter left a folder without an event in it.
+            if self._lookup(table, window)[0] > latest:
+                raise LedgerConflict(f"another writer is recording runs of '{table}'")
+        raise LedgerConflict(f"no free event number for '{table}' after {latest}")
+
+    def _create(self, row: DataFrame, table: str, seq: int) -> bool:
+        """Write one event folder; ``False`` where the number is taken."""
+        try:
+            row.write.mode("errorifexists").parquet(f"{self._folder('events', table)}/seq={seq}")
+        except AnalysisException as taken:
+            if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            return False
+        return True
+
+    def _lookup(self, table: str, window: Window) -> tuple[int, Record | None]:
+        """Last event number of the table, and the state of one window, in one read."""
         here = (F.col("window_start") == F.lit(window.start)) & (F.col("window_end") == F.lit(window.end))
-        seq, status = (
-            self.events(table).agg(F.max("seq"), F.max_by("status", F.when(here, F.col("seq")))).first()
+        order = F.when(here, F.col("seq"))
+        row = (
+            self.events(table)
+            .agg(
+                F.max("seq").alias("latest"),
+                F.max(order).alias("seq"),
+                *[F.max_by(c, order).alias(c) for c in REPLACED],
+                *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in CARRIED],
+            )
+            .first()
         )
-        return seq or 0, Status(status) if status else None
+        values = row.asDict()
+        latest = values.pop("latest") or 0
+        if values["seq"] is None:
+            return latest, None
+        values.update(table_name=table, window=window, status=Status(values["status"]))
+        return latest, Record(**values)
 
     def _folder(self, kind: str, table: str) -> str:
         return f"{self.root}/{kind}/t={safe_name(table)}"
 
     def _read(self, kind: str, schema: T.StructType, table: str | None) -> DataFrame:
-        """Read one table's part of the ledger, or all of it; nothing recorded reads as empty."""
+        """Read one table's part of the ledger, or all of it."""
+        self._begin(kind, schema, table or "")
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{kind}")
-        try:
-            found = reader.parquet(self._folder(kind, table) if table else f"{self.root}/{kind}")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        found = reader.parquet(self._folder(kind, table) if table else f"{self.root}/{kind}")
         found = found.select(*schema.names)
         return found.where(F.col("table_name") == table) if table else found
 
+    def _begin(self, kind: str, schema: T.StructType, table: str) -> None:
+        """Put an empty file where nothing was recorded yet, so that reads need no special case."""
+        if (kind, table) in self._begun:
+            return
+        first = "seq=0" if kind == "events" else "run=none"
+        stored = [f for f in schema.fields if f.name != "seq"]
+        empty = self.spark.createDataFrame([], T.StructType(stored))
+        empty.write.mode("ignore").parquet(f"{self._folder(kind, table)}/{first}")
+        self._begun.add((kind, table))

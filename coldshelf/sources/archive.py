@@ -19,39 +19,38 @@ class ArchiveSchemaError(ValueError):
     """A named file is missing, unreadable or does not have the expected columns."""
 
 
-def _footer_columns(path: str) -> tuple[str | None, str | None]:
-    """Column names and types in one file's footer, or what went wrong."""
-    import pyarrow as pa
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    local = path[len("file:") :] if path.startswith("file:/") else path
-    try:
-        if local.startswith("/"):
-            files, inner = pafs.LocalFileSystem(), "/" + local.lstrip("/")
-        else:
-            files, inner = pafs.FileSystem.from_uri(local)
-    except (pa.ArrowException, OSError, ImportError):
-        return None, UNSUPPORTED
-    try:
-        entries = pq.read_metadata(inner, filesystem=files).metadata or {}
-    except FileNotFoundError:
-        return None, "the file does not exist"
-    except (pa.ArrowException, OSError) as broken:
-        return None, f"not a readable Parquet file ({broken})"
-    if SPARK_SCHEMA_ENTRY not in entries:
-        return None, "the file was not written by an export"
-    import json
-
-    return T.StructType.fromJson(json.loads(entries[SPARK_SCHEMA_ENTRY])).simpleString(), None
-
-
 def file_columns(spark: SparkSession, files: list[str]) -> DataFrame:
     """Names and types of the columns in each named file; only footers are read, in tasks."""
 
+    # Nested, so that executors receive it by value and need not have this package.
+    def footer(path: str) -> tuple[str | None, str | None]:
+        import json
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        local = path[len("file:") :] if path.startswith("file:/") else path
+        try:
+            if local.startswith("/"):
+                store, inner = pafs.LocalFileSystem(), "/" + local.lstrip("/")
+            else:
+                store, inner = pafs.FileSystem.from_uri(local)
+        except (pa.ArrowException, OSError, ImportError):
+            return None, UNSUPPORTED
+        try:
+            entries = pq.read_metadata(inner, filesystem=store).metadata or {}
+        except FileNotFoundError:
+            return None, "the file does not exist"
+        except (pa.ArrowException, OSError) as broken:
+            return None, f"not a readable Parquet file ({broken})"
+        if SPARK_SCHEMA_ENTRY not in entries:
+            return None, "the file was not written by an export"
+        return T.StructType.fromJson(json.loads(entries[SPARK_SCHEMA_ENTRY])).simpleString(), None
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(path, *_footer_columns(path)) for path in batch["file_path"]]
+            found = [(path, *footer(path)) for path in batch["file_path"]]
             yield pd.DataFrame(found, columns=["file_path", "columns", "problem"])
 
     return (
