@@ -108,10 +108,14 @@ def fold(events: DataFrame, carried: list[str], replaced: list[str]) -> DataFram
     One aggregation with partial results before the shuffle; a table with very
     many events does not gather them in one task.
     """
-    return events.groupBy(*WINDOW_KEY).agg(
-        F.max("seq").alias("seq"),
-        *[F.max_by(c, "seq").alias(c) for c in replaced],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in carried],
+    return (
+        events.groupBy(*WINDOW_KEY)
+        .agg(
+            F.max("seq").alias("seq"),
+            F.max_by(F.struct(*replaced), "seq").alias("latest"),
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in carried],
+        )
+        .select(*WINDOW_KEY, "seq", "latest.*", *carried)
     )
 
 
@@ -148,15 +152,19 @@ class Record:
     at: datetime | None
 
 
-def _check_follows(known: Record | None, status: Status, table: str, window: Window) -> None:
-    before = known.status if known else None
+def _follow(known: Record | None, table: str, window: Window, seq: int, values: dict) -> Record:
+    """The state after an event: counts and files are carried on, the rest is replaced."""
+    before, status = known.status if known else None, values["status"]
     if status is not Status.STARTED and status not in FOLLOWS.get(before, set()):
         raise LedgerConflict(f"'{table}' {window}: {status.value} may not follow {before and before.value}")
+    carried = {c: values[c] if values.get(c) is not None else getattr(known, c, None) for c in CARRIED}
+    return Record(seq=seq, table_name=table, window=window, **{**values, **carried})
 
 
 class Ledger:
     """Events and manifests below one folder on shared storage.
 
+    An event holds what it changes and the counts and files known before it.
     Every event is a directory of its own, ``table_name=<t>/seq=<n>``, created
     only if absent: two writers that pick the same number cannot both succeed.
     The part files of a run are listed by a Spark job into the manifest; no
@@ -215,30 +223,27 @@ class Ledger:
         ``after`` is the state the caller holds and spares reading it again; a
         caller whose state is out of date finds its event number taken.
         """
-        event = dict.fromkeys(EVENT_SCHEMA.names)
-        event.update(
+        values.update(
             at=datetime.now(timezone.utc),
-            table_name=table,
-            window_start=window.start,
-            window_end=window.end,
             predicate=predicate,
             run_token=run_token,
-            status=status.value,
+            status=status,
             error_message=error[:ERROR_LIMIT] if error else None,
-            **values,
         )
-        row = self.spark.createDataFrame([tuple(event.values())], EVENT_SCHEMA).coalesce(1)
-        known, seq = after, None
-        if after is not None:
-            _check_follows(after, status, table, window)
-            if self._create(row, table, after.seq + 1):
-                seq = after.seq + 1
-        if seq is None:
-            seq, known = self._append(row, table, window, status)
-        state = {c: event[c] for c in REPLACED}
-        for c in CARRIED:
-            state[c] = event[c] if event[c] is not None else getattr(known, c, None)
-        return Record(**{**state, "seq": seq, "table_name": table, "window": window, "status": status})
+        latest, known = (after.seq, after) if after else self._lookup(table, window)
+        record = _follow(known, table, window, latest + 1, values)
+        if self._create(record):
+            return record
+        latest, known = self._lookup(table, window)
+        if after is None and latest >= record.seq:
+            raise LedgerConflict(f"another writer is recording runs of '{table}'")
+        # Either the caller's state was out of date, or a writer died before it
+        # committed and left a folder without an event in it.
+        for seq in range(latest + 1, latest + 100):
+            record = _follow(known, table, window, seq, values)
+            if self._create(record):
+                return record
+        raise LedgerConflict(f"no free event number for '{table}' after {latest}")
 
     def record_manifest(
         self, table: str, window: Window, run_token: str, files: DataFrame
@@ -264,25 +269,18 @@ class Ledger:
     def _current_runs(self, table: str) -> DataFrame:
         return self.state(table).select(*WINDOW_KEY, F.col("export_run").alias("run_token"))
 
-    def _append(
-        self, row: DataFrame, table: str, window: Window, status: Status
-    ) -> tuple[int, Record | None]:
-        """Write an event under the next free number; also returns the state before it."""
-        latest, known = self._lookup(table, window)
-        _check_follows(known, status, table, window)
-        for seq in range(latest + 1, latest + 100):
-            if self._create(row, table, seq):
-                return seq, known
-            # Either another writer was faster, or a writer died before it
-            # committed; the latter left a folder without an event in it.
-            if self._lookup(table, window)[0] > latest:
-                raise LedgerConflict(f"another writer is recording runs of '{table}'")
-        raise LedgerConflict(f"no free event number for '{table}' after {latest}")
-
-    def _create(self, row: DataFrame, table: str, seq: int) -> bool:
+    def _create(self, record: Record) -> bool:
         """Write one event folder; ``False`` where the number is taken."""
+        event = {
+            **record.__dict__,
+            "window_start": record.window.start,
+            "window_end": record.window.end,
+            "status": record.status.value,
+        }
+        row = self.spark.createDataFrame([tuple(event[c] for c in EVENT_SCHEMA.names)], EVENT_SCHEMA)
+        folder = f"{self._folder('events', record.table_name)}/seq={record.seq}"
         try:
-            row.write.mode("errorifexists").parquet(f"{self._folder('events', table)}/seq={seq}")
+            row.coalesce(1).write.mode("errorifexists").parquet(folder)
         except AnalysisException as taken:
             if taken.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
@@ -292,30 +290,23 @@ class Ledger:
     def _lookup(self, table: str, window: Window) -> tuple[int, Record | None]:
         """Last event number of the table, and the state of one window, in one read."""
         here = (F.col("window_start") == F.lit(window.start)) & (F.col("window_end") == F.lit(window.end))
-        order = F.when(here, F.col("seq"))
-        row = (
+        state = F.struct("seq", *REPLACED, *CARRIED)
+        latest, found = (
             self.events(table)
-            .agg(
-                F.max("seq").alias("latest"),
-                F.max(order).alias("seq"),
-                *[F.max_by(c, order).alias(c) for c in REPLACED],
-                *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in CARRIED],
-            )
+            .agg(F.max("seq"), F.max_by(state, F.when(here, F.col("seq"))))
             .first()
         )
-        values = row.asDict()
-        latest = values.pop("latest") or 0
-        if values["seq"] is None:
-            return latest, None
-        values.update(table_name=table, window=window, status=Status(values["status"]))
-        return latest, Record(**values)
+        if found is None:
+            return latest or 0, None
+        values = {**found.asDict(), "status": Status(found.status)}
+        return latest, Record(table_name=table, window=window, **values)
 
     def _folder(self, kind: str, table: str) -> str:
         return f"{self.root}/{kind}/t={safe_name(table)}"
 
     def _read(self, kind: str, schema: T.StructType, table: str | None) -> DataFrame:
         """Read one table's part of the ledger, or all of it."""
-        self._begin(kind, schema, table or "")
+        self._begin(kind, schema, table or "_")
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{kind}")
         found = reader.parquet(self._folder(kind, table) if table else f"{self.root}/{kind}")
         found = found.select(*schema.names)

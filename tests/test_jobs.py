@@ -252,7 +252,7 @@ def test_small_integers_come_back_small(spark):
     files = [r.file_path for r in jobs.ledger.output_files(spec.name, OLD).collect()]
     assert record.deleted == 5 and table.read().count() == 0
     jobs.restore_files(table, spec, files)
-    assert table.read().schema == rows.schema
+    assert table.read().dtypes == rows.dtypes
     assert table.read().exceptAll(rows).count() == 0
 
 
