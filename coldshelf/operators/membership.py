@@ -8,7 +8,7 @@ from coldshelf.functions.columns import col
 
 # A key is hot when it holds more than one in this many of a table's rows.
 # There can never be more hot keys than this, so a list of them may be broadcast.
-HOT_KEY_BOUND = 10_000
+HOT_KEY_BOUND = 1_000_000
 
 
 def hot_threshold(rows: int) -> int:

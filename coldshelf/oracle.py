@@ -206,9 +206,15 @@ ORACLE: dict[str, str] = {
         min(run_token) AS run_token FROM found""",
     "error_truncate": """SELECT doc_id, substr(text, 1, 1900) AS error_message,
         CAST(length(text) AS INT) AS full_length FROM documents""",
-    "archive_window_job": f"""SELECT 'orders' AS table_name, DATE '1995-01-01' AS window_start,
-            DATE '1995-05-01' AS window_end, 'DELETED' AS status, n AS exported, n AS reconciled, n AS deleted,
-            (SELECT count(*) FROM orders) - n AS rows_left
-        FROM (SELECT count(*) AS n FROM orders WHERE {FIRST_WINDOW} AND {EXTRA})""",
+    "archive_window_job": f"""WITH w AS (
+            SELECT CAST(min(o_orderdate) AS DATE) AS window_start,
+                least(CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 4 MONTH AS DATE), DATE '1998-01-01')
+                    AS window_end
+            FROM orders WHERE {EXTRA}),
+        c AS (SELECT count(*) AS n FROM orders, w
+              WHERE o_orderdate >= window_start AND o_orderdate < window_end AND {EXTRA})
+        SELECT 'orders' AS table_name, window_start, window_end, 'DELETED' AS status,
+            n AS exported, n AS reconciled, n AS deleted, (SELECT count(*) FROM orders) - n AS rows_left
+        FROM w, c""",
     "archive_walk": "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
 }

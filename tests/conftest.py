@@ -11,8 +11,7 @@ from coldshelf.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", shuffle_partitions=8)
+    session = local_session("4", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

@@ -211,6 +211,13 @@ def test_walk_passes_gaps_and_stops_at_the_cutoff(spark):
     assert done[2].n_files == 0
 
 
+def test_a_window_that_only_touches_segments_is_empty(spark):
+    shelf = Shelf(spark, [order(1, date(2015, 1, 31), "1.00")])
+    done = shelf.archive(Window(date(2015, 1, 1), date(2015, 1, 15)))
+    assert (done.status, done.exported, done.n_files, done.deleted) == (Status.DELETED, 0, 0, 0)
+    assert len(shelf.rows()) == 1
+
+
 def test_walk_skips_a_restored_window(spark):
     rows = [order(1, date(2015, 1, 1), "1.00"), order(2, date(2015, 6, 1), "1.00")]
     shelf = Shelf(spark, rows)
