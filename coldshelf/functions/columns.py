@@ -53,6 +53,14 @@ def boolean_from_text(text: Column) -> Column:
     return F.lower(text) == "true"
 
 
+def _only_widens(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of the source type fits the target type."""
+    integers = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+    if source in integers and target in integers:
+        return integers.index(source) < integers.index(target)
+    return isinstance(source, T.FloatType) and isinstance(target, T.DoubleType)
+
+
 def exact_cast(name: str, source: T.DataType, target: T.DataType) -> Column:
     """Cast that fails, naming the column, instead of turning a value into NULL.
 
@@ -62,6 +70,8 @@ def exact_cast(name: str, source: T.DataType, target: T.DataType) -> Column:
     value = col(name)
     if source == target:
         return value
+    if _only_widens(source, target):
+        return value.cast(target).alias(name)
     if isinstance(target, T.BooleanType) and isinstance(source, T.StringType):
         return boolean_from_text(value).alias(name)
     converted = value.try_cast(target)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -156,31 +158,23 @@ def _compare(source: DataFrame, archive: DataFrame, pk: tuple[str, ...]) -> Data
     on = F.lit(True)
     for i in key_at:
         on = on & F.col(f"s{i}").eqNullSafe(F.col(f"a{i}"))
+    unequal = {
+        c: ~F.col(f"s{i}").eqNullSafe(F.col(f"a{i}")) for i, c in enumerate(names) if i not in key_at
+    }
+    # The verdict stops at the first difference; names are listed for unequal rows only.
+    differs = reduce(or_, unequal.values(), F.lit(False))
     changed = F.array_compact(
-        F.array(
-            *[
-                F.when(~F.col(f"s{i}").eqNullSafe(F.col(f"a{i}")), F.lit(c))
-                for i, c in enumerate(names)
-                if i not in key_at
-            ]
-        ).cast("array<string>")
+        F.array(*[F.when(test, F.lit(c)) for c, test in unequal.items()]).cast("array<string>")
     )
     in_both = F.col("s").isNotNull() & F.col("a").isNotNull()
-    return (
-        left.join(right, on, "full_outer")
-        .select(
-            *[F.when(F.col("s"), F.col(f"s{i}")).otherwise(F.col(f"a{i}")).alias(names[i]) for i in key_at],
-            F.col("s"),
-            F.col("a"),
-            F.when(in_both, changed).otherwise(F.array().cast("array<string>")).alias("mismatch_columns"),
-        )
-        .select(
-            *[col(c) for c in pk],
-            F.when(F.col("a").isNull(), MISSING_IN_ARCHIVE)
-            .when(F.col("s").isNull(), MISSING_IN_SOURCE)
-            .when(F.size("mismatch_columns") > 0, MISMATCH)
-            .otherwise(MATCH)
-            .alias("verdict"),
-            F.col("mismatch_columns"),
-        )
+    return left.join(right, on, "full_outer").select(
+        *[F.when(F.col("s"), F.col(f"s{i}")).otherwise(F.col(f"a{i}")).alias(names[i]) for i in key_at],
+        F.when(F.col("a").isNull(), MISSING_IN_ARCHIVE)
+        .when(F.col("s").isNull(), MISSING_IN_SOURCE)
+        .when(differs, MISMATCH)
+        .otherwise(MATCH)
+        .alias("verdict"),
+        F.when(in_both & differs, changed)
+        .otherwise(F.array().cast("array<string>"))
+        .alias("mismatch_columns"),
     )

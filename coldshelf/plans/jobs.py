@@ -68,7 +68,7 @@ class Retention:
     ) -> ResolvedWindow:
         start = explicit_start or self.ledger.watermark(spec.name)
         return resolve_window(
-            table.read(), spec, as_of, start, None, self.retention_years, self.window_months
+            table.oldest_part(spec), spec, as_of, start, None, self.retention_years, self.window_months
         )
 
     def archive_next(
@@ -285,16 +285,16 @@ class Retention:
         try:
             archived = T.StructType.fromJson(json.loads(record.archive_schema))
             rows = archive_scan(self.spark, files, archived)
-            current = table.read(pinned)
-            rows = _as_source(rows, current.schema)
+            current = table.schema_of(pinned)
+            rows = _as_source(rows, current)
             n, repeated = key_totals(rows, spec.pk)
             if n != expected:
                 raise RetentionError(f"the named files hold {n} rows, the window has {expected}")
             if repeated:
                 raise RetentionError("the named files hold the same key more than once")
             # Checks the columns; what gets written is the restored part only.
-            restore_union(current, rows, allow_missing_columns)
-            written = table.insert(pinned, _fill_added(rows, current.schema), spec)
+            restore_union(self.spark.createDataFrame([], current), rows, allow_missing_columns)
+            written = table.insert(pinned, _fill_added(rows, current), spec)
             after = window_count(table.read(table.pin(), window), spec, window).first().n_rows
             if written != expected or after != expected:
                 raise RetentionError(f"{written} rows were written and {after} are there; expected {expected}")

@@ -106,6 +106,10 @@ def window_plan(
     starts = oldest_date(table, spec).select(
         F.explode(_starts(F.col("oldest"), cutoff, window_months)).alias("window_start")
     )
+    return _with_ends(starts, cutoff, window_months)
+
+
+def _with_ends(starts: DataFrame, cutoff: Column, window_months: int) -> DataFrame:
     return starts.select(
         "window_start",
         F.least(F.add_months("window_start", window_months), cutoff).alias("window_end"),
@@ -121,11 +125,11 @@ def window_plan_counts(
 ) -> DataFrame:
     """Rows per planned window, empty windows included.
 
-    Rows are first counted per calendar date, so what gets assigned to a window
+    Rows older than the cutoff are first counted per calendar date, in one scan;
+    the oldest of those dates begins the plan, and what gets assigned to a window
     is at most one row per date, whatever the table holds.
     """
     kind = require_date(table.schema, spec.date_col)
-    plan = window_plan(table, spec, as_of, retention_years, window_months)
     cutoff = cutoff_date(as_of, retention_years)
     rows = table.where(F.expr(f"({spec.predicate})")) if spec.predicate else table
     daily = (
@@ -133,13 +137,19 @@ def window_plan_counts(
         .groupBy(F.to_date(col(spec.date_col)).alias("day"))
         .agg(F.count("*").alias("n"))
     )
-    starts = oldest_date(table, spec).select(
+    starts = daily.agg(F.min("day").alias("oldest")).select(
         _starts(F.col("oldest"), cutoff, window_months).alias("starts")
     )
+    plan = _with_ends(starts.select(F.explode("starts").alias("window_start")), cutoff, window_months)
+    # The default never applies. It keeps the key from being nullable, or the
+    # optimizer would test it for NULL on every row below the daily counts.
+    first_day = F.lit(date(1970, 1, 1))
     counted = (
         daily.withColumn("starts", starts.scalar())
         .select(
-            F.element_at(F.filter("starts", lambda s: s <= F.col("day")), -1).alias("window_start"),
+            F.coalesce(
+                F.element_at(F.filter("starts", lambda s: s <= F.col("day")), -1), first_day
+            ).alias("window_start"),
             "n",
         )
         .groupBy("window_start")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from coldshelf.operators.delete import delete_batch_plan
 from coldshelf.spec import DEFAULTS, TableSpec, Window
@@ -36,6 +36,12 @@ class LiveTable:
     def read(self, snapshot: None = None, window: Window | None = None) -> DataFrame:
         return self.reader()
 
+    def schema_of(self, snapshot: None) -> T.StructType:
+        return self.reader().schema
+
+    def oldest_part(self, spec: TableSpec) -> DataFrame:
+        return self.reader()
+
     def changed_since(self, snapshot: None, window: Window) -> bool:
         """A table without versions may always have changed."""
         return True

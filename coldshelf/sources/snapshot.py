@@ -97,6 +97,21 @@ class SnapshotTable:
             segments = [s for s in segments if self._touches(s, window)]
         return self._rows(snapshot.schema, segments)
 
+    def schema_of(self, snapshot: Snapshot) -> T.StructType:
+        return snapshot.schema
+
+    def oldest_part(self, spec: TableSpec) -> DataFrame:
+        """Rows among which the oldest date is found, without listing the whole table.
+
+        That is the earliest period; with an extra predicate any period may hold it.
+        """
+        snapshot = self.pin()
+        periods = [s.period for s in snapshot.segments if s.period != "unknown"]
+        if spec.predicate or not periods:
+            return self.read(snapshot)
+        first = min(periods)
+        return self._rows(snapshot.schema, [s for s in snapshot.segments if s.period == first])
+
     def changed_since(self, snapshot: Snapshot, window: Window) -> bool:
         """Whether any segment the window touches was added, replaced or removed since."""
         return self._paths(self.pin(), window) != self._paths(snapshot, window)

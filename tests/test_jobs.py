@@ -389,3 +389,11 @@ def test_jdbc_read_options():
     options = jdbc_options("jdbc:mariadb://db/app", "orders", "id", 1, 1000, 8)
     assert (options["partitionColumn"], options["numPartitions"], options["fetchsize"]) == ("id", "8", "1000")
     assert options["preferTimestampNTZ"] == "true"
+
+
+def test_oldest_part_holds_the_oldest_date(spark):
+    shelf = Shelf(spark)
+    assert {r.fye.month for r in shelf.table.oldest_part(SPEC).select("fye").collect()} == {1}
+    late = SPEC.with_predicate("order_id > 35")
+    assert shelf.jobs.next_window(shelf.table, late, AS_OF).window_start == date(2015, 5, 26)
+    assert shelf.jobs.next_window(shelf.table, SPEC, AS_OF).window_start == OLD.start
