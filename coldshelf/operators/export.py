@@ -15,6 +15,9 @@ from coldshelf.spec import TableSpec, archive_schema
 
 KEY = "archive_key"
 
+# Tasks a key is spread over where adaptive execution is off.
+SALTS = 32
+
 
 @dataclass(frozen=True)
 class ExportStats:
@@ -48,14 +51,17 @@ def archive_rows(
     return typed_projection(rows, archive_schema(rows.schema))
 
 
-def clustered_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
+def clustered(rows: DataFrame, key: str, pk: tuple[str, ...]) -> DataFrame:
     """Bring each key's rows together without giving a large key to one task.
 
     ``rebalance`` shuffles by key, then adaptive execution cuts an oversized
     key over several tasks and packs small keys into one, so a month holding a
-    third of the rows is still written in parallel.
+    third of the rows is still written in parallel. Without adaptive execution
+    every key is spread over a fixed number of tasks instead.
     """
-    return with_archive_key(rows, spec).hint("rebalance", KEY)
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", key)
+    return rows.repartition(F.col(key), F.pmod(F.xxhash64(*[col(c) for c in pk]), F.lit(SALTS)))
 
 
 def safe_name(text: str) -> str:
@@ -81,7 +87,7 @@ def write_archive(rows: DataFrame, spec: TableSpec, path: str, stem: str | None
         F.count_if(col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(spec.required)
     ]
     writer = (
-        clustered_by_key(rows, spec)
+        clustered(with_archive_key(rows, spec), KEY, spec.pk)
         .observe(seen, *counters)
         .sortWithinPartitions(KEY, *[col(c) for c in spec.pk])
         .write.mode("errorifexists")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from coldshelf.functions.columns import archive_key, col, require_date
 from coldshelf.operators.delete import survivors_of_window
+from coldshelf.operators.export import clustered
 from coldshelf.spec import Granularity, TableSpec, Window, same_columns
 
 PERIOD = "period"
@@ -163,9 +164,9 @@ class SnapshotTable:
         """
         require_date(rows.schema, spec.date_col)
         folder = f"{self.root}/data/w={uuid.uuid4().hex}"
+        keyed = rows.withColumn(PERIOD, archive_key(col(spec.date_col), self.period))
         (
-            rows.withColumn(PERIOD, archive_key(col(spec.date_col), self.period))
-            .hint("rebalance", PERIOD)
+            clustered(keyed, PERIOD, spec.pk)
             .sortWithinPartitions(PERIOD, col(spec.date_col))
             .write.mode("errorifexists")
             .partitionBy(PERIOD)

@@ -205,6 +205,20 @@ def test_a_large_key_is_written_by_several_tasks(spark):
     assert files.agg(F.sum("n_rows")).first()[0] == 200_000
 
 
+def test_a_key_is_spread_without_adaptive_execution(spark):
+    rows = spark.range(20_000, numPartitions=4).withColumn("fye", F.lit(date(2020, 1, 1)))
+    path = scratch_dir(spark, "static")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        assert export.write_archive(rows, TableSpec("t"), path).rows == 20_000
+        files = export.manifest(export.read_archive(spark, path, rows.schema), path).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(files) > 4 and sum(r.n_rows for r in files) == 20_000
+
+
 # -- archive scan -------------------------------------------------------------
 
 
