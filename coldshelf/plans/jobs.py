@@ -239,16 +239,15 @@ class Retention:
             return self._record(spec, window, Status.DELETE_SKIPPED, token, record, error=reason)
         try:
             pinned = table.pin()
-            unchanged = pinned is not None and pinned.version == record.source_version
             if record.reconciled == 0:
                 there = window_count(table.read(pinned, window), spec, window).first().n_rows
                 if there:
                     raise RetentionError(f"{there} rows appeared in the window after reconciliation")
                 deleted = 0
             else:
-                if not unchanged:
-                    # The table moved on since reconcile: prove the window again
-                    # for the version the delete will start from.
+                if not table.same_window(record.source_version, pinned, window):
+                    # The window's files changed since reconcile: prove the window
+                    # again for the version the delete will start from.
                     self._prove_equal(table, pinned, spec, window, record, transform)
                 deleted = table.delete_window(pinned, spec, window, record.reconciled)
         except Exception as failure:

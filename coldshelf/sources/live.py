@@ -42,9 +42,9 @@ class LiveTable:
     def oldest_part(self, spec: TableSpec) -> DataFrame:
         return self.reader()
 
-    def changed_since(self, snapshot: None, window: Window) -> bool:
+    def same_window(self, version: int | None, snapshot: None, window: Window) -> bool:
         """A table without versions may always have changed."""
-        return True
+        return False
 
     def delete_window(self, snapshot: None, spec: TableSpec, window: Window, expected: int) -> int:
         """Delete the window in key order, range by range, until the plan is done.

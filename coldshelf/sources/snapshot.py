@@ -10,6 +10,7 @@ format with DELETE is available, that is the better choice.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
@@ -74,16 +75,17 @@ class SnapshotTable:
 
     # -- reading -----------------------------------------------------------
 
-    def pin(self) -> Snapshot:
-        """The newest version. Its files never change, so it reads the same every time."""
-        row = (
-            self.spark.read.schema(f"v bigint, {SNAPSHOT_DDL}")
-            .parquet(f"{self.root}/snapshots")
-            .orderBy(F.desc("v"))
-            .first()
-        )
-        import json
+    def pin(self, version: int | None = None) -> Snapshot | None:
+        """The newest version, or the one asked for, if it is still there.
 
+        The files of a version never change, so it reads the same every time.
+        """
+        versions = self.spark.read.schema(f"v bigint, {SNAPSHOT_DDL}").parquet(f"{self.root}/snapshots")
+        if version is not None:
+            versions = versions.where(F.col("v") == version)
+        row = versions.orderBy(F.desc("v")).first()
+        if row is None:
+            return None
         return Snapshot(
             row.v,
             T.StructType.fromJson(json.loads(row.columns)),
@@ -113,9 +115,12 @@ class SnapshotTable:
         first = min(periods)
         return self._rows(snapshot.schema, [s for s in snapshot.segments if s.period == first])
 
-    def changed_since(self, snapshot: Snapshot, window: Window) -> bool:
-        """Whether any segment the window touches was added, replaced or removed since."""
-        return self._paths(self.pin(), window) != self._paths(snapshot, window)
+    def same_window(self, version: int | None, snapshot: Snapshot, window: Window) -> bool:
+        """Whether the window lies in the very files it lay in when ``version`` was current."""
+        if version is None or version == snapshot.version:
+            return version is not None
+        before = self.pin(version)
+        return before is not None and self._paths(before, window) == self._paths(snapshot, window)
 
     # -- writing -----------------------------------------------------------
 

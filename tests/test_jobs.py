@@ -163,10 +163,22 @@ def test_changes_outside_the_window_do_not_stop_the_delete(spark):
     shelf = Shelf(spark)
     reconciled(shelf)
     shelf.table.insert(shelf.table.pin(), orders(spark, [order(99, date(2016, 1, 1), "1.00")]), SPEC)
+    assert shelf.table.same_window(1, shelf.table.pin(), OLD)
     assert shelf.jobs.delete_window(shelf.table, SPEC, OLD).deleted == 30
     assert len(shelf.rows()) == 21
 
 
+def test_rows_next_to_the_window_lead_to_a_second_proof(spark):
+    shelf = Shelf(spark)
+    window = Window(date(2015, 1, 1), date(2015, 3, 15))
+    shelf.jobs.export_window(shelf.table, SPEC, window)
+    held = shelf.jobs.reconcile_window(shelf.table, SPEC, window).reconciled
+    shelf.table.insert(shelf.table.pin(), orders(spark, [order(99, date(2015, 3, 20), "1.00")]), SPEC)
+    assert not shelf.table.same_window(1, shelf.table.pin(), window)
+    assert shelf.jobs.delete_window(shelf.table, SPEC, window).deleted == held
+    assert len(shelf.rows()) == 51 - held
+
+
 def test_a_delete_whose_record_was_lost_is_finished(spark):
     shelf = Shelf(spark)
     before = shelf.rows()
@@ -327,7 +339,9 @@ def test_whole_segments_are_dropped_without_a_rewrite(spark):
     with pytest.raises(ValueError, match="would delete"):
         shelf.table.delete_window(after, SPEC, NEXT, 3)
     assert shelf.table.pin().version == after.version
-    assert not shelf.table.changed_since(pinned, NEXT) and shelf.table.changed_since(pinned, OLD)
+    assert shelf.table.same_window(pinned.version, after, NEXT)
+    assert not shelf.table.same_window(pinned.version, after, OLD)
+    assert not shelf.table.same_window(99, after, NEXT)
 
 
 # -- a table outside Spark ------------------------------------------------------
