@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,11 +20,15 @@ RECOMMENDED = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and the bench; ``shared`` becomes ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("coldshelf")
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
@@ -31,16 +38,22 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="coldshelf-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder every executor can reach, below the shared one named by ``spark.checkpoint.dir``.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only where
-    no folder is named (a local test session) a temporary one is made.
+    Where no folder is named, a local session, whose tasks all run on this
+    machine, gets one that goes when the process ends; any other is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="coldshelf-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/coldshelf/{label}-{uuid.uuid4().hex}"
