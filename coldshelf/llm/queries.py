@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coldshelf.llm import simhash
+from coldshelf.llm import licenses, pii, pivots, simhash, token_files, url_filter
+from coldshelf.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +23,42 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, and where each document lies in them, as read back from them."""
+    path = scratch_dir(spark, "token-files")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_token_files(spark, table(spark, sf_dir, "documents"), path, vocabulary)
+    return token_files.token_index(spark, path)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision on every page's url."""
+    return url_filter.judge(spark, table(spark, sf_dir, "pages"))
+
+
+def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all embeddings for each whose vec_id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivots.top_k(spark, vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op4_token_files": op4_token_files,
+    "op6_url_filter": op6_url_filter,
+    "op8_pivot_search": op8_pivot_search,
+    "op9_personal_data": op9_personal_data,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}
