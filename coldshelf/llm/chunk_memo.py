@@ -22,7 +22,7 @@ class ChunkMemo:
         encode: Callable[[list[str]], Iterable[list[int]]],
         limit: int = 600_000,
     ) -> None:
-        self._split, self._encode, self._limit = split, encode, limit
+        self.split, self._encode, self._limit = split, encode, limit
         self._forget()
 
     def _forget(self) -> None:
@@ -34,7 +34,7 @@ class ChunkMemo:
         """The ids of all texts in one array, and how many belong to each text."""
         if len(self._index) > self._limit:
             self._forget()
-        split = self._split
+        split = self.split
         pieces = [split(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(pieces))
         self._learn([c for c in set(flat) if c not in self._index])

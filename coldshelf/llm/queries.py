@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coldshelf.llm import licenses, pii, pivots, simhash, token_files, url_filter
+from coldshelf.llm import decontaminate, langid, licenses, pieces, pii, pivots, quality, simhash, token_files, url_filter
 from coldshelf.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_crc(column: str = "doc_id") -> Column:
+    """crc32 of an id as text; of an empty text where it is null."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(id_crc() % 5 != 0))
+    found = langid.detect(spark, docs, model)
+    return found.select("doc_id", (id_crc() % 5 == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash."""
     found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, checked against sentencepiece and by decoding."""
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, and where each document lies in them, as read back from them."""
     path = scratch_dir(spark, "token-files")
@@ -31,11 +49,28 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    return quality.train(docs, table(spark, sf_dir, "labels").where(id_crc() % 4 != 2))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels of three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = quality.scored(spark, docs, quality_model(spark, docs, sf_dir))
+    return found.select("doc_id", (id_crc() % 4 == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decision on every page's url."""
     return url_filter.judge(spark, table(spark, sf_dir, "pages"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, with the share of the item that they hold."""
+    found = decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("content")
+
+
 def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best of all embeddings for each whose vec_id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -53,9 +88,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language": op1_language,
     "op2_simhash": op2_simhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
+    "op5_quality": op5_quality,
     "op6_url_filter": op6_url_filter,
+    "op7_decontaminate": op7_decontaminate,
     "op8_pivot_search": op8_pivot_search,
     "op9_personal_data": op9_personal_data,
     "op10_license_scan": op10_license_scan,

@@ -77,15 +77,20 @@ def _majority(hashes: np.ndarray, step: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` for each row of ``documents``; fp holds the 64 bits in a signed long."""
+    """``(doc_id, content, fp)`` for each row of ``documents``.
+
+    ``content`` is Spark's ``xxhash64`` of the text, ``fp`` the 64 bits in a signed long.
+    """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [fingerprint(t, shingle_words) for t in batch.column("text").to_pylist()]
         bits = np.array(made, dtype=np.uint64).view(np.int64)
-        return pa.record_batch([batch.column("doc_id"), pa.array(bits)], names=["doc_id", "fp"])
+        columns = [batch.column("doc_id"), batch.column("content"), pa.array(bits)]
+        return pa.record_batch(columns, names=["doc_id", "content", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(each_batch(make), "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
+    return rows.mapInArrow(each_batch(make), "doc_id long, content long, fp long")
 
 
 # -- Golay keys -------------------------------------------------------------
@@ -248,20 +253,42 @@ def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     )
 
 
+def _grouped(spark: SparkSession, docs: DataFrame, shingle_words: int) -> DataFrame:
+    """``(doc_id, content, fp, root, component_id)``; ``root`` is the smallest fingerprint of the component."""
+    prints = written(spark, fingerprints(docs, shingle_words), "fingerprints")
+    distinct = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    groups = components(spark, links(spark, distinct)).toDF("fp", "root")
+    rooted = distinct.join(groups, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return prints.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp, fingerprint, component_id)``, one row per row of ``documents``.
+    """``(doc_id, fingerprint, component_id)``, one row per row of ``documents``.
 
     ``component_id`` is the smallest doc_id among the documents reachable by
     links of three bits or fewer, the document itself included; null where all of
     them are null. Null, empty and blank texts have fingerprint zero and link
     like any other.
     """
-    prints = written(spark, fingerprints(docs, shingle_words), "fingerprints")
-    distinct = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    groups = components(spark, links(spark, distinct)).toDF("fp", "root")
-    rooted = distinct.join(groups, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_print = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select(
-        "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    fingerprint_hex = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return _grouped(spark, docs, shingle_words).select("doc_id", fingerprint_hex, "component_id")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """One row of ``documents`` for each component, with all its columns: the one of smallest doc_id, null ids last.
+
+    Of different texts with that id the one of smallest ``content`` stays, and of
+    repeated rows with the same id and text any one.
+    """
+    grouped = _grouped(spark, docs, shingle_words)
+    rows = grouped.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content", "n")).alias("first")
+    kept = rows.groupBy("root").agg(first).select("first.doc_id", "first.content", "first.n")
+    kept = written(spark, kept.toDF("_kept_id", "_kept_content", "_kept_n"), "kept")
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"])
+    same &= F.xxhash64(docs["text"].cast("string")) == kept["_kept_content"]
+    joined = docs.join(kept, same)
+    once = joined.where("_kept_n = 1")
+    repeated = joined.where("_kept_n > 1").dropDuplicates(["_kept_id", "_kept_content"])
+    return once.unionAll(repeated).select(*[docs[c] for c in docs.columns])
