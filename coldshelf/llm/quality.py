@@ -29,6 +29,7 @@ PASSAGE_CHARS = 1000
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 200_000
 PREDICT_AT = 0.7
+BATCH_DOCS = 64
 SEED = 7
 
 CLASSES, PAIRS = 64, 192
@@ -153,8 +154,11 @@ def _gradients(x: np.ndarray, sizes: np.ndarray, weights: tuple, labels: np.ndar
     ]
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int = 16, epochs: int = 25) -> Model:
-    """A model of documents given as passage features, by Adam over batches; both labels weigh alike."""
+def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int = 16, epochs: int = 25, steps: int = 1000) -> Model:
+    """A model of documents given as passage features, by Adam over batches; both labels weigh alike.
+
+    It takes ``epochs`` rounds over the documents, or as many more as make up ``steps`` batches.
+    """
     labels = np.asarray(labels, dtype=np.float64)
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(0), np.zeros(0), (), float(labels[0]) if len(labels) else 1.0)
@@ -168,12 +172,12 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int
     share = labels.mean()
     cost = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     first, second = [np.zeros(s) for s in shapes], [np.zeros(s) for s in shapes]
-    step = 0
+    epochs, step = max(epochs, -(-steps * BATCH_DOCS // len(bags))), 0
     for epoch in range(epochs):
         rate = 0.01 * (1 - epoch / epochs) + 0.0005
         order = rng.permutation(len(bags))
-        for i in range(0, len(order), 64):
-            some = order[i : i + 64]
+        for i in range(0, len(order), BATCH_DOCS):
+            some = order[i : i + BATCH_DOCS]
             sizes = np.array([len(bags[j]) for j in some])
             gradient = _gradients(np.concatenate([bags[j] for j in some]), sizes, tuple(weights), labels[some], cost[some])
             step += 1
