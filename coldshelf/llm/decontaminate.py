@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coldshelf.llm.shared import each_batch, slices, written
+from coldshelf.llm.shared import each_batch, free_names, slices, written
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
@@ -211,6 +211,7 @@ def contaminated(
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` without those that contain benchmark items, with all their columns."""
     bad = contaminated(spark, docs, benchmark, threshold).select("doc_id", "content").distinct()
-    bad = written(spark, bad.toDF("_bad_id", "_bad_content"), "contaminated")
-    same = docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_bad_content"])
+    names = bad_id, bad_content = free_names(docs, "bad_id", "bad_content")
+    bad = written(spark, bad.toDF(*names), "contaminated")
+    same = docs["doc_id"].cast("long").eqNullSafe(bad[bad_id]) & (F.xxhash64(docs["text"].cast("string")) == bad[bad_content])
     return docs.join(bad, same, "left_anti")

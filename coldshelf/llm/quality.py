@@ -30,6 +30,8 @@ TRAIN_DOCS = 4000
 TRAIN_CHARS = 200_000
 PREDICT_AT = 0.7
 BATCH_DOCS = 64
+#: In a passage of so many characters, features count half.
+TRUST_CHARS = 30
 SEED = 7
 
 CLASSES, PAIRS = 64, 192
@@ -131,10 +133,16 @@ def _forward(x: np.ndarray, sizes: np.ndarray, weights: tuple) -> tuple:
     return code, left, right, share, bag, _sigmoid(bag @ judge + offset)
 
 
+def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features as deviations from the training mean, which count for less in short passages: their shares are chance."""
+    chars = np.expm1(7 * x[:, -1:])
+    return (x - mean) * scale * (chars / (chars + TRUST_CHARS))
+
+
 def score(x: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
     if model.constant is not None:
         return np.full(len(sizes), model.constant)
-    return _forward((x - model.mean) * model.scale, sizes, model.weights)[-1]
+    return _forward(_scaled(x, model.mean, model.scale), sizes, model.weights)[-1]
 
 
 def _gradients(x: np.ndarray, sizes: np.ndarray, weights: tuple, labels: np.ndarray, cost: np.ndarray) -> list[np.ndarray]:
@@ -155,8 +163,9 @@ def _gradients(x: np.ndarray, sizes: np.ndarray, weights: tuple, labels: np.ndar
 
 
 def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int = 16, epochs: int = 25, steps: int = 1000) -> Model:
-    """A model of documents given as passage features, by Adam over batches; both labels weigh alike.
+    """A model of documents given as passage features, by Adam over batches.
 
+    Documents of label 0, if they are the fewer, weigh more, by the root of how much fewer they are.
     It takes ``epochs`` rounds over the documents, or as many more as make up ``steps`` batches.
     """
     labels = np.asarray(labels, dtype=np.float64)
@@ -164,13 +173,13 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int
         return Model(np.zeros(0), np.zeros(0), (), float(labels[0]) if len(labels) else 1.0)
     stacked = np.concatenate(bags)
     mean, scale = stacked.mean(axis=0), 1 / (stacked.std(axis=0) + 0.02)
-    bags = [(b - mean) * scale for b in bags]
+    bags = [_scaled(b, mean, scale) for b in bags]
     rng = np.random.default_rng(SEED)
     shapes = [(FEATURES, codes), (codes,), (codes, gates), (codes, gates), (gates,), (codes,), (1,)]
     weights = [rng.normal(0, 1 / np.sqrt(s[0]), s) if i not in (1, 6) else np.zeros(s) for i, s in enumerate(shapes)]
     weights = [w.astype(np.float32) for w in weights]
     share = labels.mean()
-    cost = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    cost = np.where(labels == 1, 1.0, np.sqrt(share / (1 - share)).clip(1))
     first, second = [np.zeros(s) for s in shapes], [np.zeros(s) for s in shapes]
     epochs, step = max(epochs, -(-steps * BATCH_DOCS // len(bags))), 0
     for epoch in range(epochs):

@@ -100,4 +100,23 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_pivot_search": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), asked AS (
+            SELECT DISTINCT ON (vec_id) vec_id AS query_id, vec AS query FROM usable WHERE vec_id % 50 = 0
+        ), scored AS (
+            SELECT query_id, vec_id,
+                list_sum(list_transform(list_zip(query, vec), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM asked JOIN usable ON query_id <> vec_id AND len(query) = len(vec)
+        )
+        SELECT query_id, row_number() OVER best AS rank, vec_id, score
+        FROM scored
+        WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 5
+    """,
+}

@@ -45,3 +45,14 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all columns of ``frame``."""
+    taken = {c.lower() for c in frame.columns}
+    made = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        made.append(name)
+    return made

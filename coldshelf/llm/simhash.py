@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coldshelf.llm.components import components
-from coldshelf.llm.shared import each_batch, written
+from coldshelf.llm.shared import each_batch, free_names, written
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -285,10 +285,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_
     rows = grouped.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content", "n")).alias("first")
     kept = rows.groupBy("root").agg(first).select("first.doc_id", "first.content", "first.n")
-    kept = written(spark, kept.toDF("_kept_id", "_kept_content", "_kept_n"), "kept")
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"])
-    same &= F.xxhash64(docs["text"].cast("string")) == kept["_kept_content"]
+    names = kept_id, kept_content, kept_n = free_names(docs, "kept_id", "kept_content", "kept_n")
+    kept = written(spark, kept.toDF(*names), "kept")
+    same = docs["doc_id"].cast("long").eqNullSafe(kept[kept_id])
+    same &= F.xxhash64(docs["text"].cast("string")) == kept[kept_content]
     joined = docs.join(kept, same)
-    once = joined.where("_kept_n = 1")
-    repeated = joined.where("_kept_n > 1").dropDuplicates(["_kept_id", "_kept_content"])
+    once = joined.where(F.col(kept_n) == 1)
+    repeated = joined.where(F.col(kept_n) > 1).dropDuplicates([kept_id, kept_content])
     return once.unionAll(repeated).select(*[docs[c] for c in docs.columns])

@@ -41,7 +41,7 @@ def test_stages_take_odd_documents(spark, name, stage):
 
 def test_one_row_of_each_group_stays(spark):
     texts = [(1, "a b c"), (1, "a b c"), (2, "a b c"), (3, None), (None, ""), (None, "x y"), (None, "x y"), (5, "p q r"), (5, "s t u")]
-    docs = spark.createDataFrame([(*t, k) for k, t in enumerate(texts)], "doc_id long, text string, _kept_n int")
+    docs = spark.createDataFrame([(*t, k) for k, t in enumerate(texts)], "doc_id long, text string, kept_n int")
     got = simhash.keep_one(spark, docs)
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, "a b c"), (3, None), (None, "x y"), (5, "p q r"), (5, "s t u")], key=str)
