@@ -25,17 +25,18 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 NOTICES = (
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
+    ("permission is hereby granted free of charge", "mit"),
     ("licensed under the apache license version 2 0", "apache"),
     ("licensed under the gnu general public license version", "gpl"),
-    ("under the terms of the gnu general public license as published by the free software foundation", "gpl"),
+    ("under the terms of the gnu general public license", "gpl"),
     ("licensed under cc by nc", "cc-by-nc"),
     ("creative commons attribution noncommercial", "cc-by-nc"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
+    ("redistribution and use in source and binary forms", "bsd"),
     ("subject to the terms of the mozilla public license", "mpl"),
 )
-#: One edit for so many characters of a notice.
+#: One edit for so many characters of a notice, and at most so many: bounded-error search takes ever longer with more.
 CHARS_PER_EDIT = 10
+MAX_EDITS = 4
 
 _WORDS = bytes(
     (b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
@@ -64,7 +65,7 @@ def _notices() -> list[tuple[bytes, int, list[tuple[int, bytes]], regex.Pattern,
     made = []
     for text, label in NOTICES:
         notice = text.encode()
-        edits = len(notice) // CHARS_PER_EDIT
+        edits = min(MAX_EDITS, len(notice) // CHARS_PER_EDIT)
         cuts = [len(notice) * i // (edits + 1) for i in range(edits + 2)]
         pieces = [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
         pattern = regex.compile(rb"(?b)(?:" + regex.escape(notice) + rb"){e<=%d}" % edits)
@@ -76,12 +77,12 @@ def _fuzzy(line: bytes) -> list[tuple[int, int, str, float]]:
     """Places of notices in a line of words, with at most their number of edits."""
     found = []
     for notice, edits, pieces, pattern, label in _notices():
-        windows = []
+        windows = set()
         for place, piece in pieces:
             at = line.find(piece)
             while at >= 0:
                 start = at - place - edits
-                windows.append((max(0, start), min(len(line), start + len(notice) + 2 * edits)))
+                windows.add((max(0, start), min(len(line), start + len(notice) + 2 * edits)))
                 at = line.find(piece, at + 1)
         end = -1
         for a, b in sorted(windows):
