@@ -7,7 +7,6 @@ from pyspark.sql import Column, functions as F, types as T
 from coldshelf.spec import Granularity, Window, quoted
 
 UNSAFE_CHARACTERS = "[^A-Za-z0-9_-]"
-ERROR_LIMIT = 1900
 
 
 def col(name: str) -> Column:
@@ -44,10 +43,6 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def truncate_error(message: Column) -> Column:
-    return F.substring(message, 1, ERROR_LIMIT)
-
-
 def boolean_from_text(text: Column) -> Column:
     """``true`` in any case is true; every other text is false; NULL stays NULL."""
     return F.lower(text) == "true"

@@ -15,9 +15,14 @@ def delete_targets(table: DataFrame, archived: DataFrame, pk: tuple[str, ...]) -
     return by_membership(table, archived, pk, "left_semi", null_safe=False)
 
 
-def survivors(table: DataFrame, archived: DataFrame, pk: tuple[str, ...]) -> DataFrame:
-    """The table without the archived keys; rows with a NULL key always stay."""
-    return by_membership(table, archived, pk, "left_anti", null_safe=False)
+def survivors(table: DataFrame, archived: DataFrame, spec: TableSpec, window: Window) -> DataFrame:
+    """The table without the window's rows whose keys are archived; rows with a NULL key always stay.
+
+    Rows outside the window cannot be archived ones: they are passed on without being moved.
+    """
+    inside = F.coalesce(window_filter(table.schema, spec, window), F.lit(False))
+    kept = by_membership(table.where(inside), archived, spec.pk, "left_anti", null_safe=False)
+    return table.where(~inside).unionByName(kept)
 
 
 def survivors_of_window(table: DataFrame, spec: TableSpec, window: Window) -> DataFrame:
@@ -29,12 +34,6 @@ def survivors_of_window(table: DataFrame, spec: TableSpec, window: Window) -> Da
     return table.where(~F.coalesce(window_filter(table.schema, spec, window), F.lit(False)))
 
 
-def delete_batch_topk(table: DataFrame, spec: TableSpec, window: Window, n: int) -> DataFrame:
-    """The first ``n`` keys of the window in key order: one delete batch."""
-    keys = [col(c) for c in spec.pk]
-    return window_scan(table, spec, window).select(*keys).orderBy(*keys).limit(n)
-
-
 def delete_batch_plan(table: DataFrame, spec: TableSpec, window: Window, batch_rows: int) -> DataFrame:
     """Disjoint key ranges of at most ``batch_rows`` rows that cover the window.
 

@@ -10,14 +10,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from coldshelf.functions.columns import UNSAFE_CHARACTERS, archive_key, col, require_date
+from coldshelf.operators.reconcile import key_profile
 from coldshelf.sources.scan import typed_projection
 from coldshelf.spec import TableSpec, archive_schema
 
 KEY = "archive_key"
 
-# Tasks a key is spread over where adaptive execution is off.
-SALTS = 32
-
 
 @dataclass(frozen=True)
 class ExportStats:
@@ -41,7 +39,10 @@ def archive_rows(
     spec: TableSpec,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The rows as the archive stores them; reconcile applies the same to the live side."""
+    """The rows as the archive stores them; reconcile applies the same to the live side.
+
+    Whether a transform kept all rows is for ``refuse_lost_rows`` to say.
+    """
     if transform is not None:
         changed = rows.transform(transform)
         for name in (*spec.pk, spec.date_col):
@@ -51,17 +52,30 @@ def archive_rows(
     return typed_projection(rows, archive_schema(rows.schema))
 
 
+def refuse_lost_rows(rows: DataFrame, stored: DataFrame, pk: tuple[str, ...]) -> None:
+    """Fail if a transform dropped, added or renamed rows: what is not archived would be deleted too."""
+    seen = key_profile(rows, stored, pk)
+    if seen.source_rows != seen.archive_rows or seen.missing_in_archive or seen.missing_in_source:
+        raise ValueError(
+            f"the transform made {seen.archive_rows} rows of {seen.source_rows}, "
+            f"with {seen.missing_in_archive} keys lost and {seen.missing_in_source} new"
+        )
+
+
 def clustered(rows: DataFrame, key: str, pk: tuple[str, ...]) -> DataFrame:
     """Bring each key's rows together without giving a large key to one task.
 
     ``rebalance`` shuffles by key, then adaptive execution cuts an oversized
     key over several tasks and packs small keys into one, so a month holding a
     third of the rows is still written in parallel. Without adaptive execution
-    every key is spread over a fixed number of tasks instead.
+    every key is spread over the shuffle partitions, whose number the user sets
+    by the size of the data.
     """
-    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    conf = rows.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
         return rows.hint("rebalance", key)
-    return rows.repartition(F.col(key), F.pmod(F.xxhash64(*[col(c) for c in pk]), F.lit(SALTS)))
+    salts = F.lit(4 * int(conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(F.col(key), F.pmod(F.xxhash64(*[col(c) for c in pk]), salts))
 
 
 def safe_name(text: str) -> str:

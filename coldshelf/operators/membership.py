@@ -1,4 +1,4 @@
-"""Semi and anti joins on a key that stay even when one key holds many rows."""
+"""Semi and anti joins on a key."""
 
 from __future__ import annotations
 
@@ -6,15 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from coldshelf.functions.columns import col
 
-# A key is hot when it holds more than one in this many of a table's rows.
-# There can never be more hot keys than this, so a list of them may be broadcast.
-HOT_KEY_BOUND = 1_000_000
-
-
-def hot_threshold(rows: int) -> int:
-    """Copies above which a key of a table with this many rows is hot."""
-    return max(rows // HOT_KEY_BOUND, 1)
-
 
 def same_key(pk: tuple[str, ...], tag: str = "k", null_safe: bool = True) -> Column:
     """``pk`` columns of one side equal to the ``<tag><i>`` columns of the other."""
@@ -30,24 +21,9 @@ def by_membership(
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` join of rows with the keys of ``members``.
 
-    Member keys are made distinct, with partial results merged before the
-    shuffle. Hot keys of ``rows`` are found in one pass over the key columns;
-    their rows meet a broadcast list of at most ``HOT_KEY_BOUND`` keys and are
-    never moved. The rest spreads evenly over the shuffle.
+    One plain join: each side is shuffled once, or the keys are broadcast where
+    Spark finds them small. Adaptive execution splits what one key holds too
+    much of on the left side; of ``members`` only key columns are read.
     """
-    keys = members.select(*[col(c).alias(f"k{i}") for i, c in enumerate(pk)]).distinct()
-    hot = (
-        rows.groupBy(*[col(c).alias(f"h{i}") for i, c in enumerate(pk)])
-        .agg(F.count("*").alias("copies"))
-        .where(F.col("copies") > hot_threshold(rows.count()))
-        .drop("copies")
-    )
-    if hot.isEmpty():
-        return rows.join(keys, same_key(pk, "k", null_safe), how)
-    hot = F.broadcast(hot)
-    hot_keys = keys.join(hot, same_key(tuple(f"k{i}" for i in range(len(pk))), "h"), "left_semi")
-    few = rows.join(hot, same_key(pk, "h"), "left_semi").join(
-        F.broadcast(hot_keys), same_key(pk, "k", null_safe), how
-    )
-    rest = rows.join(hot, same_key(pk, "h"), "left_anti")
-    return few.unionByName(rest.join(keys, same_key(pk, "k", null_safe), how))
+    keys = members.select(*[col(c).alias(f"k{i}") for i, c in enumerate(pk)])
+    return rows.join(keys, same_key(pk, "k", null_safe), how)

@@ -9,7 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from coldshelf.functions.columns import col
-from coldshelf.operators.membership import by_membership, hot_threshold, same_key
+from coldshelf.operators.membership import by_membership
+from coldshelf.session import scratch_dir
 from coldshelf.spec import same_columns
 
 MATCH = "match"
@@ -110,16 +111,13 @@ def diff(
     profile = profile or key_profile(source, archive, pk)
     if profile.duplicate_keys == 0:
         return _compare(source, archive, pk)
-    census = key_census(source, archive, pk)
-    repeated = census.where("source_rows > 1 or archive_rows > 1")
-    threshold = hot_threshold(profile.source_rows + profile.archive_rows)
-    keys = [col(c).alias(f"k{i}") for i, c in enumerate(pk)]
-    hot = F.broadcast(repeated.where(F.expr(f"source_rows + archive_rows > {threshold}")).select(*keys))
-    cold = repeated.where(F.expr(f"source_rows + archive_rows <= {threshold}")).select(*keys)
-    single = [
-        side.join(hot, same_key(pk), "left_anti").join(cold, same_key(pk), "left_anti")
-        for side in (source, archive)
-    ]
+    # Written once: both sides and the report read it.
+    spark = source.sparkSession
+    path = scratch_dir(spark, "repeated-keys")
+    repeated = key_census(source, archive, pk).where("source_rows > 1 or archive_rows > 1").select(*[col(c) for c in pk])
+    repeated.write.parquet(path)
+    repeated = spark.read.schema(repeated.schema).parquet(path)
+    single = [by_membership(side, repeated, pk, "left_anti", null_safe=True) for side in (source, archive)]
     reported = repeated.select(
         *[col(c) for c in pk],
         F.lit(DUPLICATE_KEY).alias("verdict"),

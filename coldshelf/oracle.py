@@ -177,18 +177,20 @@ ORACLE: dict[str, str] = {
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "count_gates": f"""WITH {DAMAGED}, c AS (
             SELECT (SELECT count(*) FROM s) AS source_rows, (SELECT count(*) FROM a) AS archive_rows,
-                CAST(0 AS BIGINT) AS duplicate_keys,
+                (SELECT count(*) FROM (SELECT o_orderkey FROM s GROUP BY 1 HAVING count(*) > 1
+                    UNION SELECT o_orderkey FROM a GROUP BY 1 HAVING count(*) > 1)) AS duplicate_keys,
                 (SELECT count(*) FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)) AS missing_in_archive,
                 (SELECT count(*) FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)) AS missing_in_source)
-        SELECT *, archive_rows = source_rows AS archive_holds_export, true AS source_unchanged,
-            true AS keys_unique, missing_in_archive = 0 AND missing_in_source = 0 AS keys_equal FROM c""",
+            , x AS (SELECT count(*) AS exported FROM orders
+                WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01')
+        SELECT c.*, archive_rows = exported AS archive_holds_export, source_rows = exported AS source_unchanged,
+            duplicate_keys = 0 AS keys_unique, missing_in_archive = 0 AND missing_in_source = 0 AS keys_equal FROM c, x""",
     "delete_targets": f"""SELECT * FROM orders
         WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE {FIRST_WINDOW})""",
     "delete_survivors": f"""SELECT * FROM orders
         WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE {FIRST_WINDOW})""",
     "delete_survivors_filter": f"""SELECT * FROM {NULLED}
         WHERE NOT coalesce({MOST_YEARS} AND {EXTRA}, false)""",
-    "delete_batch_topk": f"SELECT o_orderkey FROM orders WHERE {MOST_YEARS} ORDER BY o_orderkey LIMIT 500",
     "delete_batch_plan": f"""SELECT count(*) AS n_rows, min(o_orderkey) AS first_pk, max(o_orderkey) AS last_pk,
         true AS within_batch, true AS disjoint FROM orders WHERE {MOST_YEARS}""",
     "restore_union": "SELECT * FROM orders",
@@ -204,8 +206,42 @@ ORACLE: dict[str, str] = {
     "restore_window_check": f"""WITH {FILES} SELECT count(DISTINCT (window_start, window_end)) AS n_windows,
         count(DISTINCT run_token) AS n_runs, min(window_start) AS window_start, min(window_end) AS window_end,
         min(run_token) AS run_token FROM found""",
-    "error_truncate": """SELECT doc_id, substr(text, 1, 1900) AS error_message,
-        CAST(length(text) AS INT) AS full_length FROM documents""",
+    "ledger_steps": """WITH e AS (
+            SELECT event_id AS seq, (['STARTED', 'EXPORTED', 'EXPORT_FAILED', 'RECONCILED', 'RECONCILE_FAILED',
+                'DELETED', 'DELETE_SKIPPED', 'DELETE_FAILED', 'RESTORE_STARTED', 'RESTORED', 'RESTORE_SKIPPED',
+                'RESTORE_FAILED'])[CAST(user_id % 12 + 1 AS INT)] AS status, event_type, CAST(ts AS DATE) AS day
+            FROM events),
+        p AS (SELECT seq, status, lag(status) OVER (PARTITION BY event_type, day ORDER BY seq) AS status_before FROM e)
+        SELECT *, status = 'STARTED' OR coalesce((status_before, status) IN (
+            ('STARTED', 'EXPORTED'), ('STARTED', 'EXPORT_FAILED'), ('EXPORTED', 'RECONCILED'),
+            ('EXPORTED', 'RECONCILE_FAILED'), ('RECONCILED', 'RECONCILED'), ('RECONCILED', 'DELETED'),
+            ('RECONCILED', 'DELETE_SKIPPED'), ('RECONCILED', 'DELETE_FAILED'), ('DELETED', 'RESTORE_STARTED'),
+            ('RESTORE_FAILED', 'RESTORE_STARTED'), ('DELETE_FAILED', 'DELETED'), ('DELETE_FAILED', 'DELETE_FAILED'),
+            ('RESTORE_STARTED', 'RESTORE_STARTED'), ('RESTORE_STARTED', 'RESTORED'),
+            ('RESTORE_STARTED', 'RESTORE_FAILED')), false) AS allowed FROM p""",
+    "resolve_explicit_start": f"""WITH x AS (SELECT CAST(s AS DATE) AS w, DATE '2001-10-01' AS c
+        FROM (VALUES ('1995-03-31'), ('2001-08-15'), ('2001-10-01')) AS v(s)) {WINDOW_OF}""",
+    "resolve_leap_day": f"""WITH x AS (SELECT CAST(min(o_orderdate) AS DATE) AS w, DATE '1999-02-28' AS c
+        FROM orders) {WINDOW_OF}""",
+    "export_refuses_overwrite": f"""SELECT strftime(o_orderdate, '%Y-%m') AS archive_key, count(*) AS n_rows,
+        true AS refused FROM orders WHERE {FIRST_WINDOW} GROUP BY 1""",
+    "export_order_in_files": """SELECT strftime(o_orderdate, '%Y-%m') AS archive_key, count(*) AS n_rows,
+        CAST(0 AS BIGINT) AS out_of_order FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01' GROUP BY 1""",
+    "archive_predicate_leftovers": f"""SELECT o_orderkey,
+        CASE WHEN coalesce({MOST_YEARS} AND {EXTRA}, false) THEN 'archive' ELSE 'table' END AS place FROM orders""",
+    "delete_after_drift": f"""SELECT 'DELETE_FAILED' AS first_status, 'DELETED' AS status, n AS exported,
+            n AS reconciled, n AS deleted, rows_left
+        FROM (SELECT count(*) FILTER ({FIRST_WINDOW} AND o_orderpriority NOT LIKE '1%') AS n,
+            count(*) FILTER (NOT ({FIRST_WINDOW})) AS rows_left FROM orders)""",
+    "delete_skipped": f"""WITH c AS (SELECT count(*) AS rows_left, count(*) FILTER ({FIRST_WINDOW}) AS n FROM orders)
+        SELECT 'DELETE_SKIPPED' AS status, reason || ': ' || n || ' rows would be deleted' AS error_message,
+            n AS reconciled, CAST(NULL AS BIGINT) AS deleted, rows_left
+        FROM c, (VALUES ('dry run'), ('deletes are switched off')) AS v(reason)""",
+    "restore_small_integers": "SELECT *, CAST(length(props) AS SMALLINT) AS n_props FROM events",
+    "restore_counts": """WITH c AS (SELECT count(*) AS total,
+            count(*) FILTER (ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-05-01') AS n FROM events)
+        SELECT total - n AS rows_left, n AS deleted, n AS restored, total AS rows_after FROM c""",
     "archive_window_job": f"""WITH w AS (
             SELECT CAST(min(o_orderdate) AS DATE) AS window_start,
                 least(CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 4 MONTH AS DATE), DATE '1998-01-01')

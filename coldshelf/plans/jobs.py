@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
@@ -17,6 +17,7 @@ from coldshelf.operators.export import (
     file_stem,
     manifest,
     read_archive,
+    refuse_lost_rows,
     safe_name,
     write_archive,
 )
@@ -31,7 +32,7 @@ from coldshelf.operators.reconcile import (
 from coldshelf.operators.restore import resolve_files, restore_union
 from coldshelf.plans.ledger import Ledger, Record, Status
 from coldshelf.plans.windows import ResolvedWindow, resolve_window
-from coldshelf.sources.archive import archive_scan
+from coldshelf.sources.archive import archive_scan, named_files
 from coldshelf.sources.scan import window_count, window_scan
 from coldshelf.spec import DEFAULTS, TableSpec, Window, archive_schema, quoted, same_columns
 
@@ -162,10 +163,14 @@ class Retention:
     ) -> Record:
         token = uuid.uuid4().hex
         at = datetime.now(timezone.utc)
-        record = self._record(spec, window, Status.STARTED, token)
+        record = self._record(spec, window, Status.STARTED, token, delete_begun=False)
         try:
             pinned = table.pin()
-            rows = archive_rows(window_scan(table.read(pinned, window), spec, window), spec, transform)
+            spec = _with_declared(spec, table, pinned)
+            found = window_scan(table.read(pinned, window), spec, window)
+            rows = archive_rows(found, spec, transform)
+            if transform is not None:
+                refuse_lost_rows(found, rows, spec.pk)
             path = f"{self.archive_root.rstrip('/')}/{safe_name(spec.name)}/run={token}"
             stats = write_archive(rows, spec, path, file_stem(spec, token, at))
             bad = {c: n for c, n in stats.null_rows.items() if n}
@@ -235,7 +240,9 @@ class Retention:
         _require(record, Status.RECONCILED, spec, window, "delete")
         token = record.run_token
         if not self.delete_enabled or dry_run:
+            there = window_count(table.read(table.pin(), window), spec, window).first().n_rows
             reason = "dry run" if self.delete_enabled else "deletes are switched off"
+            reason = f"{reason}: {there} rows would be deleted"
             return self._record(spec, window, Status.DELETE_SKIPPED, token, record, error=reason)
         try:
             pinned = table.pin()
@@ -249,6 +256,7 @@ class Retention:
                     # The window's files changed since reconcile: prove the window
                     # again for the version the delete will start from.
                     self._prove_equal(table, pinned, spec, window, record, transform)
+                record = self._record(spec, window, Status.RECONCILED, token, record, delete_begun=True)
                 deleted = table.delete_window(pinned, spec, window, record.reconciled)
         except Exception as failure:
             self._fail(spec, record, Status.DELETE_FAILED, failure)
@@ -257,14 +265,15 @@ class Retention:
     # -- restore -----------------------------------------------------------
 
     def restore_files(
-        self, table: Any, spec: TableSpec, files: list[str], allow_missing_columns: bool = False
+        self, table: Any, spec: TableSpec, files: list[str] | DataFrame, allow_missing_columns: bool = False
     ) -> Record:
         """Put the rows of one archived window back, from exactly the named files.
 
         The window is never an input: it is what the ledger recorded for the
-        files' base names. Files may have been moved since the export.
+        files' base names. Files may have been moved since the export. They are
+        given as a list, or as a table with a column ``file_path``.
         """
-        if not files:
+        if named_files(self.spark, files).isEmpty():
             raise RetentionRefused("no archive file was named")
         record, spec = self._window_of(spec, files)
         window = record.window
@@ -303,9 +312,8 @@ class Retention:
 
     # -- inside ------------------------------------------------------------
 
-    def _window_of(self, spec: TableSpec, files: list[str]) -> tuple[Record, TableSpec]:
-        given = self.spark.createDataFrame([(f,) for f in files], "file_path string")
-        found = resolve_files(given, self.ledger.manifest(spec.name)).first()
+    def _window_of(self, spec: TableSpec, files: list[str] | DataFrame) -> tuple[Record, TableSpec]:
+        found = resolve_files(named_files(self.spark, files), self.ledger.manifest(spec.name)).first()
         if found.n_unknown:
             raise RetentionRefused(
                 f"{found.n_unknown} file(s), for example '{found.an_unknown}', "
@@ -353,9 +361,11 @@ class Retention:
         """Complete a delete that removed some or all rows before its process died.
 
         Exporting such a window again would replace the only full archive by a
-        partial one. ``None`` means nothing was removed and a normal rerun is right.
+        partial one. Rows that are gone although no delete had begun were removed by
+        someone else: such a window is exported afresh, as is one of which nothing
+        was removed. Then the result is ``None``.
         """
-        if not record.reconciled or not self.delete_enabled:
+        if not record.reconciled or not record.delete_begun or not self.delete_enabled:
             return None
         pinned = table.pin()
         live, archived = self._both_sides(table, pinned, spec, window, record, transform)
@@ -425,6 +435,13 @@ def _require(record: Record | None, status: Status, spec: TableSpec, window: Win
         raise RetentionRefused(f"cannot {step} '{spec.name}' {window}: it is {found}")
 
 
+def _with_declared(spec: TableSpec, table: Any, pinned: Any) -> TableSpec:
+    """The spec with the columns added that the table itself declares NOT NULL."""
+    declared = [f.name for f in table.schema_of(pinned).fields if not f.nullable]
+    declared += getattr(table, "not_null", ())
+    return replace(spec, required=tuple(dict.fromkeys((*spec.required, *declared))))
+
+
 def _count_problem(profile: KeyProfile, exported: int) -> str | None:
     if profile.duplicate_keys:
         return f"{profile.duplicate_keys} key(s) occur more than once"

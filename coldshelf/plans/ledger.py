@@ -9,9 +9,9 @@ from enum import Enum
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from coldshelf.functions.columns import ERROR_LIMIT
 from coldshelf.operators.export import safe_name
 from coldshelf.operators.restore import WINDOW_KEY
+from coldshelf.session import numbered_folders
 from coldshelf.spec import Window
 
 
@@ -36,7 +36,8 @@ class Status(str, Enum):
 FOLLOWS = {
     Status.STARTED: {Status.EXPORTED, Status.EXPORT_FAILED},
     Status.EXPORTED: {Status.RECONCILED, Status.RECONCILE_FAILED},
-    Status.RECONCILED: {Status.DELETED, Status.DELETE_SKIPPED, Status.DELETE_FAILED},
+    # A second RECONCILED notes that the delete begins.
+    Status.RECONCILED: {Status.RECONCILED, Status.DELETED, Status.DELETE_SKIPPED, Status.DELETE_FAILED},
     Status.DELETED: {Status.RESTORE_STARTED},
     Status.RESTORE_FAILED: {Status.RESTORE_STARTED},
     # A delete that was cut short is finished by the next run.
@@ -64,6 +65,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("n_files", T.LongType()),
         T.StructField("transformed", T.BooleanType()),
         T.StructField("source_version", T.LongType()),
+        T.StructField("delete_begun", T.BooleanType()),
         T.StructField("error_message", T.StringType()),
     ]
 )
@@ -80,6 +82,7 @@ CARRIED = [
     "n_files",
     "transformed",
     "source_version",
+    "delete_begun",
 ]
 # Columns that every event replaces.
 REPLACED = ["at", "predicate", "run_token", "status", "error_message"]
@@ -148,6 +151,7 @@ class Record:
     n_files: int | None
     transformed: bool | None
     source_version: int | None
+    delete_begun: bool | None
     error_message: str | None
     at: datetime | None
 
@@ -228,7 +232,7 @@ class Ledger:
             predicate=predicate,
             run_token=run_token,
             status=status,
-            error_message=error[:ERROR_LIMIT] if error else None,
+            error_message=error or None,
         )
         latest, known = (after.seq, after) if after else self._lookup(table, window)
         record = _follow(known, table, window, latest + 1, values)
@@ -239,11 +243,10 @@ class Ledger:
             raise LedgerConflict(f"another writer is recording runs of '{table}'")
         # Either the caller's state was out of date, or a writer died before it
         # committed and left a folder without an event in it.
-        for seq in range(latest + 1, latest + 100):
-            record = _follow(known, table, window, seq, values)
-            if self._create(record):
-                return record
-        raise LedgerConflict(f"no free event number for '{table}' after {latest}")
+        record = _follow(known, table, window, self._last_folder(table) + 1, values)
+        if self._create(record):
+            return record
+        raise LedgerConflict(f"another writer is recording runs of '{table}'")
 
     def record_manifest(
         self, table: str, window: Window, run_token: str, files: DataFrame
@@ -304,6 +307,10 @@ class Ledger:
         values = {**found.asDict(), "status": Status(found.status)}
         return latest, Record(table_name=table, window=window, **values)
 
+    def _last_folder(self, table: str) -> int:
+        """The highest event number that has a folder, with an event in it or without."""
+        return max(numbered_folders(self.spark, self._folder("events", table), "seq="), default=0)
+
     def _folder(self, kind: str, table: str) -> str:
         return f"{self.root}/{kind}/t={safe_name(table)}"
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window as Window_, functions as F, types as T
 
-from coldshelf.functions.columns import safe_key as safe_key_of, truncate_error
+from coldshelf.functions.columns import safe_key as safe_key_of
 from coldshelf.operators import delete as delete_ops
 from coldshelf.operators import export as export_ops
 from coldshelf.operators import reconcile as reconcile_ops
 from coldshelf.operators import restore as restore_ops
 from coldshelf.plans import ledger as ledger_ops
 from coldshelf.plans import windows as window_ops
-from coldshelf.plans.jobs import Retention
+from coldshelf.plans.jobs import Retention, RetentionError
+from coldshelf.plans.ledger import Record
 from coldshelf.sources import scan
 from coldshelf.sources.archive import archive_scan
 from coldshelf.sources.snapshot import SnapshotTable
@@ -39,6 +42,7 @@ EVENTS = TableSpec("events", pk="event_id", date_col="ts", granularity=Granulari
 PREDICATE = "o_orderstatus = 'F' OR o_orderpriority LIKE '1%'"
 LINE_KEY = ("l_orderkey", "l_linenumber")
 BATCH_ROWS = 500
+FILE_ROWS = 100
 
 STATUSES = [s.value for s in ledger_ops.Status]
 
@@ -266,7 +270,7 @@ def rollover_files(spark, sf_dir):
     A key that adaptive execution split over tasks may have more.
     """
     orders = table(spark, sf_dir, "orders")
-    cap = max(1, orders.count() // 200)
+    cap = FILE_ROWS
     spec = TableSpec("orders", pk="o_orderkey", date_col="o_orderdate", max_rows_per_file=cap)
     archive, path, _ = _exported(spark, scan.window_scan(orders, spec, ALL_YEARS), spec)
     files = export_ops.manifest(archive, path).groupBy("archive_key")
@@ -285,7 +289,7 @@ def archive_scan_files(spark, sf_dir):
     """Read an export back from the list of its files, each file checked."""
     events = scan.window_scan(table(spark, sf_dir, "events"), EVENTS, EVENT_WINDOW)
     archive, path, _ = _exported(spark, events, EVENTS)
-    files = [r.file_path for r in export_ops.manifest(archive, path).select("file_path").collect()]
+    files = export_ops.manifest(archive, path).select("file_path")
     return archive_scan(spark, files, archive.drop("archive_key").schema)
 
 
@@ -333,7 +337,9 @@ def duplicate_keys(spark, sf_dir):
 
 def count_gates(spark, sf_dir):
     source, archive = damaged_orders(table(spark, sf_dir, "orders"))
-    exported = source.agg(F.count("*")).scalar()
+    # An export that is said to have had the rows of all years, which neither side has.
+    stated = scan.window_count(table(spark, sf_dir, "orders"), ORDERS, ALL_YEARS)
+    exported = stated.select("n_rows").scalar()
     return reconcile_ops.count_gates(source, archive, ORDERS.pk, exported)
 
 
@@ -346,7 +352,7 @@ def delete_targets(spark, sf_dir):
 def delete_survivors(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     archived = scan.window_scan(orders, ORDERS, FIRST_WINDOW)
-    return delete_ops.survivors(orders, archived, ORDERS.pk)
+    return delete_ops.survivors(orders, archived, ORDERS, FIRST_WINDOW)
 
 
 def delete_survivors_filter(spark, sf_dir):
@@ -355,11 +361,6 @@ def delete_survivors_filter(spark, sf_dir):
     return delete_ops.survivors_of_window(orders, ORDERS.with_predicate(PREDICATE), MOST_YEARS)
 
 
-def delete_batch_topk(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    return delete_ops.delete_batch_topk(orders, ORDERS, MOST_YEARS, BATCH_ROWS)
-
-
 def delete_batch_plan(spark, sf_dir):
     """Totals over the plan; where ranges begin depends on sampling."""
     plan = delete_ops.delete_batch_plan(table(spark, sf_dir, "orders"), ORDERS, MOST_YEARS, BATCH_ROWS)
@@ -408,11 +409,57 @@ def restore_window_check(spark, sf_dir):
     return restore_ops.window_check(file_lookup(spark, sf_dir))
 
 
-def error_truncate(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return documents.select(
-        "doc_id", truncate_error(F.col("text")).alias("error_message"), F.length("text").alias("full_length")
+def ledger_steps(spark, sf_dir):
+    """For each event, whether its status may follow the one before it in the same window."""
+    before = Window_.partitionBy(*restore_ops.WINDOW_KEY).orderBy("seq")
+    steps = derived_events(table(spark, sf_dir, "events")).select(
+        "seq", "status", F.lag("status").over(before).alias("status_before")
     )
+    allowed = F.lit(False)
+    for status, following in ledger_ops.FOLLOWS.items():
+        names = [s.value for s in following]
+        allowed = allowed | ((F.col("status_before") == status.value) & F.col("status").isin(names))
+    begins = F.col("status") == ledger_ops.Status.STARTED.value
+    return steps.withColumn("allowed", begins | F.coalesce(allowed, F.lit(False)))
+
+
+def resolve_explicit_start(spark, sf_dir):
+    """An early start, one that the cutoff clips, and the cutoff itself, which leaves nothing to archive."""
+    orders = table(spark, sf_dir, "orders")
+    starts = (date(1995, 3, 31), date(2001, 8, 15), date(2001, 10, 1))
+    frames = [window_ops.resolved_window(orders, ORDERS, date(2006, 10, 1), explicit_start=s) for s in starts]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def resolve_leap_day(spark, sf_dir):
+    """Five years before a 29 February there is none."""
+    return window_ops.resolved_window(table(spark, sf_dir, "orders"), ORDERS, date(2004, 2, 29))
+
+
+def export_refuses_overwrite(spark, sf_dir):
+    """A second export to the same place, of other rows: it is refused and the first one stays."""
+    orders = table(spark, sf_dir, "orders")
+    archive, path, _ = _exported(spark, scan.window_scan(orders, ORDERS, FIRST_WINDOW), ORDERS)
+    others = export_ops.archive_rows(scan.window_scan(orders, ORDERS, MOST_YEARS), ORDERS)
+    try:
+        export_ops.write_archive(others, ORDERS, path)
+        refused = False
+    except AnalysisException as taken:
+        refused = taken.getCondition() == "PATH_ALREADY_EXISTS"
+    return archive.groupBy("archive_key").agg(F.count("*").alias("n_rows")).withColumn("refused", F.lit(refused))
+
+
+def export_order_in_files(spark, sf_dir):
+    """Rows of each key that stand behind a larger key in their part file."""
+    rows = scan.window_scan(table(spark, sf_dir, "orders"), ORDERS, ALL_YEARS)
+    archive, _, _ = _exported(spark, rows, ORDERS)
+    placed = archive.select(
+        "archive_key", "o_orderkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    before = F.lag("o_orderkey").over(Window_.partitionBy("file").orderBy("at"))
+    behind = F.count_if(F.col("o_orderkey") < F.col("before"))
+    placed = placed.withColumn("before", before).groupBy("archive_key")
+    return placed.agg(F.count("*").alias("n_rows"), behind.alias("out_of_order"))
 
 
 # -- whole jobs --------------------------------------------------------------
@@ -441,6 +488,78 @@ def archive_window_job(spark, sf_dir):
     )
 
 
+def archive_predicate_leftovers(spark, sf_dir):
+    """Every order and where it is after a run with an extra predicate."""
+    spec = ORDERS.with_predicate(PREDICATE)
+    held, jobs = _job(spark, table(spark, sf_dir, "orders"), spec)
+    record = jobs.archive_window(held, spec, MOST_YEARS, EVENTS_AS_OF)
+    schema = T.StructType.fromJson(json.loads(record.archive_schema))
+    archive = export_ops.read_archive(spark, record.archive_path, schema)
+    here, there = (F.lit(x).alias("place") for x in ("table", "archive"))
+    return held.read().select("o_orderkey", here).unionByName(archive.select("o_orderkey", there))
+
+
+def delete_after_drift(spark, sf_dir):
+    """The owner removes rows between proof and delete: the delete is refused, a rerun archives what is left."""
+    held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS)
+    jobs.export_window(held, ORDERS, FIRST_WINDOW)
+    jobs.reconcile_window(held, ORDERS, FIRST_WINDOW)
+    pinned = held.pin()
+    owners = ORDERS.with_predicate("o_orderpriority LIKE '1%'")
+    gone = scan.window_count(held.read(pinned), owners, FIRST_WINDOW).first().n_rows
+    held.delete_window(pinned, owners, FIRST_WINDOW, gone)
+    try:
+        jobs.delete_window(held, ORDERS, FIRST_WINDOW)
+    except RetentionError:
+        pass
+    refused = jobs.ledger.find("orders", FIRST_WINDOW).status.value
+    jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF)
+    left = held.read().agg(F.count("*").alias("n")).scalar()
+    return jobs.ledger.state("orders").select(
+        F.lit(refused).alias("first_status"), "status", "exported", "reconciled", "deleted", left.alias("rows_left")
+    )
+
+
+def delete_skipped(spark, sf_dir):
+    """A dry run, and a run with deletes switched off: nothing goes, and the ledger says how much would."""
+    rows = table(spark, sf_dir, "orders")
+    states = []
+    for settings, dry_run in (({}, True), ({"delete_enabled": False}, False)):
+        held, jobs = _job(spark, rows, ORDERS, **settings)
+        jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF, dry_run=dry_run)
+        left = held.read().agg(F.count("*").alias("n")).scalar()
+        state = jobs.ledger.state("orders")
+        states.append(state.select("status", "error_message", "reconciled", "deleted", left.alias("rows_left")))
+    return reduce(DataFrame.unionByName, states)
+
+
+def _round_trip(spark: SparkSession, rows: DataFrame) -> tuple[SnapshotTable, int, Record]:
+    """Archive and restore all events; the table, the rows left in between, and the last record."""
+    held, jobs = _job(spark, rows, EVENTS)
+    record = jobs.archive_window(held, EVENTS, EVENT_WINDOW, EVENTS_AS_OF)
+    left = held.read().count()
+    files = jobs.ledger.output_files("events", record.window).select("file_path")
+    return held, left, jobs.restore_files(held, EVENTS, files)
+
+
+def restore_small_integers(spark, sf_dir):
+    """A 16-bit column is stored as 32 bits and comes back as 16."""
+    events = table(spark, sf_dir, "events").withColumn("n_props", F.length("props").cast("smallint"))
+    return _round_trip(spark, events)[0].read()
+
+
+def restore_counts(spark, sf_dir):
+    """Rows of the table between archive and restore and afterwards, and what the ledger counted."""
+    held, left, record = _round_trip(spark, table(spark, sf_dir, "events"))
+    counts = held.read().agg(F.count("*").alias("rows_after"))
+    return counts.select(
+        F.lit(left).cast("long").alias("rows_left"),
+        F.lit(record.deleted).cast("long").alias("deleted"),
+        F.lit(record.restored).cast("long").alias("restored"),
+        "rows_after",
+    )
+
+
 def archive_walk(spark, sf_dir):
     """Window after window up to the cutoff, a year each; then the table that is left."""
     held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS, window_months=12)
@@ -450,11 +569,7 @@ def archive_walk(spark, sf_dir):
 
 def restore_roundtrip(spark, sf_dir):
     """Archive all events, delete them, restore them from their files; the table afterwards."""
-    held, jobs = _job(spark, table(spark, sf_dir, "events"), EVENTS)
-    record = jobs.archive_window(held, EVENTS, EVENT_WINDOW, EVENTS_AS_OF)
-    files = [r.file_path for r in jobs.ledger.output_files("events", record.window).collect()]
-    jobs.restore_files(held, EVENTS, files)
-    return held.read()
+    return _round_trip(spark, table(spark, sf_dir, "events"))[0].read()
 
 
 QUERIES: dict[str, Query] = {
@@ -493,7 +608,6 @@ QUERIES: dict[str, Query] = {
     "delete_targets": delete_targets,
     "delete_survivors": delete_survivors,
     "delete_survivors_filter": delete_survivors_filter,
-    "delete_batch_topk": delete_batch_topk,
     "delete_batch_plan": delete_batch_plan,
     "restore_union": restore_union,
     "restore_roundtrip": restore_roundtrip,
@@ -503,7 +617,16 @@ QUERIES: dict[str, Query] = {
     "file_lookup": file_lookup,
     "unknown_files": unknown_files,
     "restore_window_check": restore_window_check,
-    "error_truncate": error_truncate,
+    "ledger_steps": ledger_steps,
+    "resolve_explicit_start": resolve_explicit_start,
+    "resolve_leap_day": resolve_leap_day,
+    "export_refuses_overwrite": export_refuses_overwrite,
+    "export_order_in_files": export_order_in_files,
+    "archive_predicate_leftovers": archive_predicate_leftovers,
+    "delete_after_drift": delete_after_drift,
+    "delete_skipped": delete_skipped,
+    "restore_small_integers": restore_small_integers,
+    "restore_counts": restore_counts,
     "archive_window_job": archive_window_job,
     "archive_walk": archive_walk,
 }

@@ -57,3 +57,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _own_folder()
     return f"{shared.rstrip('/')}/coldshelf/{label}-{uuid.uuid4().hex}"
+
+
+def numbered_folders(spark: SparkSession, parent: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``<prefix><n>`` below ``parent``, on any store that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [status.getPath().getName() for status in found]
+    return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit()]

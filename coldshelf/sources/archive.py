@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from coldshelf.spec import same_columns
 
 # Footer entry in which Spark's Parquet writer stores the schema of a file.
 SPARK_SCHEMA_ENTRY = b"org.apache.spark.sql.parquet.row.metadata"
@@ -19,7 +18,14 @@ class ArchiveSchemaError(ValueError):
     """A named file is missing, unreadable or does not have the expected columns."""
 
 
-def file_columns(spark: SparkSession, files: list[str]) -> DataFrame:
+def named_files(spark: SparkSession, files: list[str] | DataFrame) -> DataFrame:
+    """``(file_path)`` of files given as a list, or as a table with that column."""
+    if isinstance(files, DataFrame):
+        return files.select("file_path")
+    return spark.createDataFrame([(f,) for f in files], "file_path string")
+
+
+def file_columns(spark: SparkSession, files: list[str] | DataFrame) -> DataFrame:
     """Names and types of the columns in each named file; only footers are read, in tasks."""
 
     # Nested, so that executors receive it by value and need not have this package.
@@ -54,36 +60,34 @@ def file_columns(spark: SparkSession, files: list[str]) -> DataFrame:
             yield pd.DataFrame(found, columns=["file_path", "columns", "problem"])
 
     return (
-        spark.createDataFrame([(f,) for f in files], "file_path string")
+        named_files(spark, files)
         .repartition("file_path")
         .mapInPandas(read, "file_path string, columns string, problem string")
     )
 
 
-def check_files(spark: SparkSession, files: list[str], expected: T.StructType) -> None:
+def check_files(spark: SparkSession, files: list[str] | DataFrame, expected: T.StructType) -> None:
     """Fail unless every named file exists and has the expected column names and types."""
     wanted = expected.simpleString()
     wrong = (
         file_columns(spark, files)
         .where(F.col("problem").isNotNull() | (F.col("columns") != wanted))
-        .orderBy((F.col("problem") == UNSUPPORTED).asc_nulls_first(), "file_path")
+        .orderBy("file_path")
         .first()
     )
     if wrong is None:
         return
-    if wrong.problem == UNSUPPORTED:
-        # Footers cannot be read from Python here; Spark's merged schema still
-        # shows any extra column and any type conflict.
-        merged = spark.read.option("mergeSchema", True).parquet(*files).schema
-        if same_columns(merged, expected):
-            return
-        raise ArchiveSchemaError(f"expected {wanted}, the files have {merged.simpleString()}")
     raise ArchiveSchemaError(f"{wrong.file_path}: {wrong.problem or f'expected {wanted}, found {wrong.columns}'}")
 
 
-def archive_scan(spark: SparkSession, files: list[str], expected: T.StructType) -> DataFrame:
-    """Rows of exactly the named files, after checking each of them."""
-    if not files:
+def archive_scan(spark: SparkSession, files: list[str] | DataFrame, expected: T.StructType) -> DataFrame:
+    """Rows of exactly the named files, after checking each of them.
+
+    Spark plans a scan from paths on the driver, so the names pass through it
+    there; their number is that of the part files of what is read.
+    """
+    names = named_files(spark, files)
+    if names.isEmpty():
         raise ValueError("no archive file was named")
-    check_files(spark, files, expected)
-    return spark.read.schema(expected).parquet(*files)
+    check_files(spark, names, expected)
+    return spark.read.schema(expected).parquet(*[r.file_path for r in names.toLocalIterator()])

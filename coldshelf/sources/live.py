@@ -13,22 +13,28 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from coldshelf.operators.delete import delete_batch_plan
+from coldshelf.session import scratch_dir
 from coldshelf.spec import DEFAULTS, TableSpec, Window
 
 
+DeleteRange = Callable[[Window, str | None, Any, Any], int]
+
+
 @dataclass(frozen=True)
 class LiveTable:
     """``reader`` re-reads the table on every call; nothing is pinned.
 
-    ``delete_range(window, first_pk, last_pk)`` removes the window's rows in a
-    closed key range and returns how many it removed. ``writer`` must insert
-    all rows or none.
+    ``delete_range(window, predicate, first_pk, last_pk)`` removes the rows of
+    the window that the predicate (SQL text, or None) holds for, in a closed key
+    range, and returns how many it removed. ``writer`` must insert all rows or
+    none. ``not_null`` names the columns that the database declares NOT NULL.
     """
 
     reader: Callable[[], DataFrame]
-    delete_range: Callable[[Window, Any, Any], int]
+    delete_range: DeleteRange
     writer: Callable[[DataFrame], None]
     delete_batch_rows: int = DEFAULTS.delete_batch_rows
+    not_null: tuple[str, ...] = ()
 
     def pin(self) -> None:
         return None
@@ -49,15 +55,26 @@ class LiveTable:
     def delete_window(self, snapshot: None, spec: TableSpec, window: Window, expected: int) -> int:
         """Delete the window in key order, range by range, until the plan is done.
 
-        Ranges are streamed to the driver one partition at a time. The plan is
-        never larger than the window's keys, so the loop cannot run on.
+        The plan is written first. It has to hold exactly the expected rows, or
+        no row goes. Ranges are then streamed to the driver one partition at a
+        time; the first that removes more or fewer rows than planned ends it.
         """
         plan = delete_batch_plan(self.reader(), spec, window, self.delete_batch_rows)
+        path = scratch_dir(plan.sparkSession, "delete-plan")
+        plan.write.parquet(path)
+        plan = plan.sparkSession.read.schema(plan.schema).parquet(path)
+        planned = plan.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+        if planned != expected:
+            raise ValueError(f"would delete {planned} rows where {expected} were reconciled")
         deleted = 0
         for batch in plan.orderBy("range_no", "batch_in_range").toLocalIterator():
-            deleted += self.delete_range(window, batch.first_pk, batch.last_pk)
-        if deleted != expected:
-            raise ValueError(f"deleted {deleted} rows where {expected} were reconciled")
+            gone = self.delete_range(window, spec.predicate, batch.first_pk, batch.last_pk)
+            deleted += gone
+            if gone != batch.n_rows:
+                raise ValueError(
+                    f"keys {batch.first_pk} to {batch.last_pk}: {gone} rows were deleted, {batch.n_rows} were planned; "
+                    f"{deleted} rows are gone in all"
+                )
         return deleted
 
     def insert(self, snapshot: None, rows: DataFrame, spec: TableSpec) -> int:
@@ -91,15 +108,21 @@ def jdbc_options(
 def jdbc_table(
     spark: SparkSession,
     options: dict[str, str],
-    delete_range: Callable[[Window, Any, Any], int],
+    delete_range: DeleteRange,
+    not_null: tuple[str, ...] | None = None,
 ) -> LiveTable:
-    """A database table. The insert runs in one task, which is one transaction."""
+    """A database table. The insert runs in one task, which is one transaction.
+
+    The NOT NULL columns are looked up in the database's catalog unless given.
+    """
+    if not_null is None:
+        not_null = required_columns(spark, options, options["dbtable"])
 
     def append(rows: DataFrame) -> None:
         target = {k: options[k] for k in options if k in ("url", "dbtable", "user", "password", "driver")}
         rows.coalesce(1).write.format("jdbc").options(**target).mode("append").save()
 
-    return LiveTable(lambda: spark.read.format("jdbc").options(**options).load(), delete_range, append)
+    return LiveTable(lambda: spark.read.format("jdbc").options(**options).load(), delete_range, append, not_null=not_null)
 
 
 def required_columns(spark: SparkSession, options: dict[str, str], table: str) -> tuple[str, ...]:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from coldshelf.functions.columns import archive_key, col, require_date
 from coldshelf.operators.delete import survivors_of_window
 from coldshelf.operators.export import clustered
+from coldshelf.session import numbered_folders
 from coldshelf.spec import Granularity, TableSpec, Window, same_columns
 
 PERIOD = "period"
@@ -97,7 +98,7 @@ class SnapshotTable:
         snapshot = snapshot or self.pin()
         segments = snapshot.segments
         if window is not None:
-            segments = [s for s in segments if self._touches(s, window)]
+            segments = [s for s in segments if self._touches(s, window, _slack(snapshot.schema))]
         return self._rows(snapshot.schema, segments)
 
     def schema_of(self, snapshot: Snapshot) -> T.StructType:
@@ -129,8 +130,9 @@ class SnapshotTable:
 
         Segments wholly inside the window are dropped without being read.
         """
-        touched = [s for s in snapshot.segments if self._touches(s, window)]
-        whole = [] if spec.predicate else [s for s in touched if self._inside(s, window)]
+        slack = _slack(snapshot.schema)
+        touched = [s for s in snapshot.segments if self._touches(s, window, slack)]
+        whole = [] if spec.predicate else [s for s in touched if self._inside(s, window, slack)]
         cut = [s for s in touched if s not in whole]
         kept = [s for s in snapshot.segments if s not in touched]
         left: list[Segment] = []
@@ -196,20 +198,22 @@ class SnapshotTable:
             [(s.period, s.path, s.n_rows) for s in segments],
         )
         one = self.spark.createDataFrame([row], SNAPSHOT_DDL).coalesce(1)
-        for version in range(newest + 1, newest + 100):
+        folder = f"{self.root}/snapshots"
+        for version in (lambda: newest + 1, lambda: max(numbered_folders(self.spark, folder, "v=")) + 1):
+            number = version()
             try:
-                one.write.mode("errorifexists").parquet(f"{self.root}/snapshots/v={version}")
-                return Snapshot(version, schema, tuple(segments))
+                one.write.mode("errorifexists").parquet(f"{folder}/v={number}")
+                return Snapshot(number, schema, tuple(segments))
             except AnalysisException as taken:
                 if taken.getCondition() != "PATH_ALREADY_EXISTS":
                     raise
                 # A folder without a row in it was left by a writer that died.
                 if parent is None or self.pin().version > newest:
                     raise SnapshotConflict(f"{self.root} was changed by another writer") from taken
-        raise SnapshotConflict(f"no free version number after {newest}")
+        raise SnapshotConflict(f"{self.root} is being changed by another writer")
 
     def _paths(self, snapshot: Snapshot, window: Window) -> set[str]:
-        return {s.path for s in snapshot.segments if self._touches(s, window)}
+        return {s.path for s in snapshot.segments if self._touches(s, window, _slack(snapshot.schema))}
 
     def _label(self, day: date) -> str:
         return {
@@ -218,14 +222,19 @@ class SnapshotTable:
             Granularity.YEAR: f"{day:%Y}",
         }[self.period]
 
-    def _touches(self, segment: Segment, window: Window) -> bool:
+    def _touches(self, segment: Segment, window: Window, slack: timedelta) -> bool:
         if segment.period == "unknown":
             return False
-        return self._label(window.start) <= segment.period <= self._label(window.end - timedelta(days=1))
+        last = window.end - timedelta(days=1)
+        return self._label(window.start - slack) <= segment.period <= self._label(last + slack)
 
-    def _inside(self, segment: Segment, window: Window) -> bool:
+    def _inside(self, segment: Segment, window: Window, slack: timedelta) -> bool:
         """Whether every date of the segment's period lies in the window."""
-        if not self._touches(segment, window):
-            return False
-        before = self._label(window.start - timedelta(days=1))
-        return before < segment.period < self._label(window.end)
+        before = self._label(window.start - timedelta(days=1) + slack)
+        return segment.period != "unknown" and before < segment.period < self._label(window.end - slack)
+
+
+def _slack(schema: T.StructType) -> timedelta:
+    """How far a row's date may be from its segment's: instants were filed under the date of another session's zone."""
+    zoned = any(isinstance(f.dataType, T.TimestampType) for f in schema.fields)
+    return timedelta(days=1 if zoned else 0)

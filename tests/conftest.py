@@ -1,4 +1,6 @@
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,7 +13,9 @@ from coldshelf.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", shuffle_partitions=2)
+    shared = tempfile.mkdtemp(prefix="coldshelf-tests-")
+    session = local_session("4", shuffle_partitions=2, shared=shared)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(shared, ignore_errors=True)

@@ -20,7 +20,7 @@ def test_archive_then_restore_brings_back_the_same_rows(spark):
     done = shelf.archive()
     assert (done.status, done.exported, done.reconciled, done.deleted) == (Status.DELETED, 30, 30, 30)
     assert shelf.rows() == without_window(before) and len(shelf.rows()) == 20
-    assert shelf.statuses() == ["STARTED", "EXPORTED", "RECONCILED", "DELETED"]
+    assert shelf.statuses() == ["STARTED", "EXPORTED", "RECONCILED", "RECONCILED", "DELETED"]
     assert shelf.ledger.watermark(SPEC.name) == OLD.end
 
     version = shelf.table.pin().version
@@ -99,7 +99,7 @@ def test_restore_refuses_a_window_with_rows(spark):
 def test_dry_run_and_kill_switch_delete_nothing(spark):
     shelf = Shelf(spark)
     skipped = shelf.archive(dry_run=True)
-    assert (skipped.status, skipped.error_message, skipped.reconciled) == (Status.DELETE_SKIPPED, "dry run", 30)
+    assert (skipped.status, skipped.error_message, skipped.reconciled) == (Status.DELETE_SKIPPED, "dry run: 30 rows would be deleted", 30)
     assert len(shelf.rows()) == 50
     assert shelf.archive().status is Status.DELETED
 
@@ -179,17 +179,62 @@ def test_rows_next_to_the_window_lead_to_a_second_proof(spark):
     assert len(shelf.rows()) == 51 - held
 
 
-def test_a_delete_whose_record_was_lost_is_finished(spark):
+def test_a_delete_whose_record_was_lost_is_finished(spark, monkeypatch):
     shelf = Shelf(spark)
     before = shelf.rows()
     reconciled(shelf)
-    # The table was published without the window, then the process died.
-    shelf.table.delete_window(shelf.table.pin(), SPEC, OLD, 30)
+    publish = SnapshotTable.delete_window
+
+    def dies_after(*given):
+        publish(*given)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(SnapshotTable, "delete_window", dies_after)
+    with pytest.raises(KeyboardInterrupt):
+        shelf.jobs.delete_window(shelf.table, SPEC, OLD)
+    monkeypatch.setattr(SnapshotTable, "delete_window", publish)
+    assert len(shelf.rows()) == 20 and shelf.status() is Status.RECONCILED
     done = shelf.archive()
     assert (done.status, done.deleted) == (Status.DELETED, 30)
     assert shelf.restore(shelf.files()).status is Status.RESTORED and shelf.rows() == before
 
 
+def test_a_row_removed_by_its_owner_is_not_taken_for_a_begun_delete(spark):
+    shelf = Shelf(spark)
+    reconciled(shelf)
+    shelf.table.delete_window(shelf.table.pin(), SPEC.with_predicate("order_id = 3"), OLD, 1)
+    with pytest.raises(RetentionError, match="29 rows"):
+        shelf.jobs.delete_window(shelf.table, SPEC, OLD)
+    done = shelf.archive()
+    assert (done.status, done.exported, done.deleted) == (Status.DELETED, 29, 29)
+    shelf.restore(shelf.files())
+    assert 3 not in [r[0] for r in shelf.rows()] and len(shelf.rows()) == 49
+
+
+def test_a_table_filed_under_another_time_zone(spark):
+    """Instants near midnight lie in segments of the neighbouring date."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = spark.sql("select id, timestamp'2015-01-01 02:00:00' + make_dt_interval(cast(id as int), 0, 0, 0) as fye from range(151)")
+    root = scratch_dir(spark, "zone")
+    spec = SPEC.__class__("zoned", pk="id")
+    table = SnapshotTable.create(spark, f"{root}/table", rows, spec)
+    jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        done = [jobs.archive_window(table, spec, Window(date(2015, m, 1), date(2015, m + 1, 1)), AS_OF) for m in (1, 2, 3)]
+        assert [(r.status, r.deleted) for r in done] == [(Status.DELETED, 31), (Status.DELETED, 28), (Status.DELETED, 31)]
+        assert table.read().count() == 151 - 90
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_transform_that_drops_rows_is_refused(spark):
+    shelf = Shelf(spark)
+    with pytest.raises(RetentionError, match="29 rows of 30"):
+        shelf.archive(transform=lambda df: df.where("order_id <> 15"))
+    assert shelf.status() is Status.EXPORT_FAILED and len(shelf.rows()) == 50
+
+
 def test_extra_predicate_is_part_of_the_window(spark):
     spec = SPEC.with_predicate("order_id <= 20 OR order_id = 35")
     shelf = Shelf(spark, spec=spec)
@@ -285,7 +330,7 @@ def test_ledger_carries_counts_and_replaces_errors(spark):
     ledger.record("t", OLD, Status.EXPORTED, "a", exported=5, n_files=2, export_run="a")
     ledger.record("t", OLD, Status.RECONCILE_FAILED, "a", error="x" * 2500)
     failed = ledger.find("t", OLD)
-    assert (failed.exported, failed.n_files, len(failed.error_message)) == (5, 2, 1900)
+    assert (failed.exported, failed.n_files, len(failed.error_message)) == (5, 2, 2500)
     again = ledger.record("t", OLD, Status.STARTED, "b")
     assert (again.exported, again.export_run, again.error_message) == (5, "a", None)
     assert ledger.find("t", OLD) == again.__class__(**{**again.__dict__, "at": ledger.find("t", OLD).at})
@@ -351,7 +396,8 @@ def test_live_table_is_deleted_by_key_ranges(spark):
     held = {r[0]: r for r in order_rows()}
     ranges = []
 
-    def delete_range(window, first, last):
+    def delete_range(window, predicate, first, last):
+        assert predicate is None
         gone = [k for k, r in held.items() if first <= k <= last and window.start <= r[2] < window.end]
         for k in gone:
             del held[k]
@@ -377,7 +423,7 @@ def test_live_delete_cut_short_is_finished(spark):
     held = {r[0]: r for r in order_rows()}
     calls = []
 
-    def delete_range(window, first, last):
+    def delete_range(window, predicate, first, last):
         calls.append(first)
         if len(calls) == 3:
             raise ConnectionError("lost")
@@ -397,6 +443,53 @@ def test_live_delete_cut_short_is_finished(spark):
     assert done.exported == 30 and jobs.ledger.output_files(SPEC.name, OLD).agg(F.sum("n_rows")).first()[0] == 30
 
 
+def live(spark, held, delete_range, **options):
+    table = LiveTable(lambda: orders(spark, list(held.values())), delete_range, None, delete_batch_rows=7, **options)
+    root = scratch_dir(spark, "live")
+    return table, Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
+
+
+def test_live_delete_with_a_predicate_takes_its_rows_only(spark):
+    held = {r[0]: r for r in order_rows()}
+
+    def delete_range(window, predicate, first, last):
+        assert predicate == "order_id in (1, 20)"
+        gone = [k for k, r in held.items() if first <= k <= last and window.start <= r[2] < window.end and k in (1, 20)]
+        for k in gone:
+            del held[k]
+        return len(gone)
+
+    table, jobs = live(spark, held, delete_range)
+    spec = SPEC.with_predicate("order_id in (1, 20)")
+    assert jobs.archive_window(table, spec, OLD, AS_OF).deleted == 2 and len(held) == 48
+
+
+def test_live_delete_stops_at_the_first_batch_that_differs(spark):
+    held = {r[0]: r for r in order_rows()}
+    calls = []
+
+    def careless(window, predicate, first, last):
+        calls.append(first)
+        gone = [k for k in held if first <= k <= last]
+        for k in gone:
+            del held[k]
+        return len(gone)
+
+    table, jobs = live(spark, held, careless)
+    spec = SPEC.with_predicate("order_id in (1, 20)")
+    with pytest.raises(RetentionError, match="were planned"):
+        jobs.archive_window(table, spec, OLD, AS_OF)
+    assert len(calls) == 1
+
+
+def test_declared_not_null_columns_are_required(spark):
+    held = {r[0]: r for r in order_rows()}
+    held[3] = held[3][:4] + (None,) + held[3][5:]
+    table, jobs = live(spark, held, None, not_null=("status",))
+    with pytest.raises(RetentionError, match="status.*'order_id': 3"):
+        jobs.archive_window(table, SPEC.__class__("test_orders", pk="order_id"), OLD, AS_OF)
+
+
 def test_jdbc_read_options():
     from coldshelf.sources.live import jdbc_options
 
