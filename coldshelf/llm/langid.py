@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coldshelf.llm.shared import each_batch, slices
+from coldshelf.llm.shared import each_batch, slices, small
 
 ORDERS = 3
 BUCKETS = 1 << 16
@@ -68,7 +68,7 @@ def count_ngrams(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for a, b in slices([len(t) for t in texts], SLICE):
                 orders, begins, lengths = _ngrams(texts[a:b])

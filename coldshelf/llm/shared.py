@@ -20,17 +20,23 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of at most so many rows, which bounds what a Python worker holds at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def each_batch(
     make: Callable[[pa.RecordBatch], pa.RecordBatch | None],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for ``mapInArrow`` that turns one batch of rows into one other."""
+    """A function for ``mapInArrow`` that turns one small batch of rows into one other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = make(batch)
-                if made is not None and made.num_rows:
-                    yield made
+        for batch in small(batches):
+            made = make(batch)
+            if made is not None and made.num_rows:
+                yield made
 
     return run
 

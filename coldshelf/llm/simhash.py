@@ -38,6 +38,16 @@ from coldshelf.llm.shared import each_batch, free_names, written
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 3
+
+#: Near copies: shingle length and similarity (share of common shingles) from which texts are copies.
+COPY_SHINGLE_WORDS = 5
+COPY_SIMILARITY = 0.8
+#: Samples of a text's shingles; the least hash by each order, of which a byte is kept.
+SAMPLES = 128
+#: Standard errors that a measured similarity may lie below the wanted one, so that few true copies are missed.
+ERRORS = 2.0
+#: A sample print is the SimHash of so many samples; so many of them are made.
+PRINT_SAMPLES, PRINTS = 3, 10
 #: More fingerprints with one key than this are compared block by block.
 BLOCK = 512
 
@@ -48,11 +58,11 @@ GENERATOR = 0b110001110101
 # -- fingerprints -----------------------------------------------------------
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """SimHash of the text's word shingles; zero for a text without words."""
+def shingle_hashes(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
+    """Hash of each of the text's word shingles, repeats included; of the whole text where it has fewer words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, ASCII white space only
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     n = max(1, len(words) - shingle_words + 1)
     if n == 1:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
@@ -63,11 +73,16 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
         stops = (ends[shingle_words - 1 :] - 1).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(line[b:e], seed) for b, e in zip(begins, stops)]
-    return _majority(np.array(hashes, dtype=np.uint64))
+    return np.array(hashes, dtype=np.uint64)
+
+
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """SimHash of the text's word shingles; zero for a text without words."""
+    return majority(shingle_hashes(text, shingle_words, seed))
 
 
-def _majority(hashes: np.ndarray, step: int = 1 << 16) -> int:
-    """The number whose bits are set in over half the hashes."""
+def majority(hashes: np.ndarray, step: int = 1 << 16) -> int:
+    """The number whose bits are set in over half the hashes; zero of none."""
     counts = np.zeros(64, dtype=np.int64)
     for i in range(0, len(hashes), step):
         part = hashes[i : i + step].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -76,6 +91,56 @@ def _majority(hashes: np.ndarray, step: int = 1 << 16) -> int:
     return int(bits.view("<u8")[0])
 
 
+def sampled(hashes: np.ndarray, step: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
+    """Sample prints and signature of a text's shingle hashes; of no shingles, zeros.
+
+    Each of ``SAMPLES`` orders of all shingles picks the least in the text: two
+    texts agree in one with the probability of their similarity. The signature
+    has a byte of each. A sample print is the SimHash of the shingles that three
+    orders pick, so texts share it with the third power of that probability.
+    """
+    orders = _orders()
+    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(hashes), step):
+        mixed = hashes[i : i + step, None] * orders[None, :]
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, (mixed * _ODD).min(axis=0), out=least)
+    if not len(hashes):
+        least[:] = 0
+    a, b, c = least[: PRINTS * PRINT_SAMPLES].reshape(PRINT_SAMPLES, PRINTS)
+    return ((a & b) | (a & c) | (b & c)).view(np.int64), (least >> np.uint64(20)).astype(np.uint8)
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+@cache
+def _orders() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def copy_prints(docs: DataFrame, shingle_words: int = COPY_SHINGLE_WORDS) -> DataFrame:
+    """``(doc_id, content, fp, prints, signature)``: as ``fingerprints``, with what ``sampled`` makes of each text."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = [shingle_hashes(t, shingle_words) for t in batch.column("text").to_pylist()]
+        whole = np.array([majority(h) for h in hashes], dtype=np.uint64).view(np.int64)
+        drawn = [sampled(h) for h in hashes]
+        prints = pa.array([p for p, _ in drawn], pa.list_(pa.int64()))
+        signatures = pa.array([s.tobytes() for _, s in drawn], pa.binary())
+        columns = [batch.column("doc_id"), batch.column("content"), pa.array(whole), prints, signatures]
+        return pa.record_batch(columns, names=["doc_id", "content", "fp", "prints", "signature"])
+
+    return _texts(docs).mapInArrow(
+        each_batch(make), "doc_id long, content long, fp long, prints array<long>, signature binary"
+    )
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id, content, fp)`` for each row of ``documents``.
 
@@ -88,9 +153,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
         columns = [batch.column("doc_id"), batch.column("content"), pa.array(bits)]
         return pa.record_batch(columns, names=["doc_id", "content", "fp"])
 
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
-    return rows.mapInArrow(each_batch(make), "doc_id long, content long, fp long")
+    return _texts(docs).mapInArrow(each_batch(make), "doc_id long, content long, fp long")
 
 
 # -- Golay keys -------------------------------------------------------------
@@ -159,81 +222,86 @@ def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # -- links ------------------------------------------------------------------
 
 
-def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ y) <= MAX_BITS
+def _near(x: np.ndarray, y: np.ndarray, similarity: float | None) -> np.ndarray:
+    """Whether fingerprints differ in few bits; with a similarity, whether signatures agree in about that share of bytes."""
+    if similarity is None:
+        return np.bitwise_count(x ^ y) <= MAX_BITS
+    return (x == y).sum(axis=-1) >= similarity * SAMPLES - ERRORS * (similarity * (1 - similarity) * SAMPLES) ** 0.5
 
 
-def _chains(fps: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links that connect what is within three bits in each run of equal cells."""
+def _chains(fps: np.ndarray, marks: np.ndarray, cells: np.ndarray, similarity: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links that connect what is near in each run of equal cells; ``marks`` are what is compared."""
     starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
     sizes = np.diff(np.append(starts, len(cells)))
     left, right = [], []
     small = np.repeat(sizes <= 8, sizes)
     for lag in range(1, 8):  # of small cells, all of them at once
         i = np.flatnonzero((cells[:-lag] == cells[lag:]) & small[lag:]) if len(cells) > lag else np.empty(0, int)
-        i = i[_close(fps[i], fps[i + lag])]
+        i = i[_near(marks[i], marks[i + lag], similarity)]
         left.append(fps[i])
         right.append(fps[i + lag])
     for s, n in zip(starts[sizes > 8], sizes[sizes > 8]):
-        member = np.unique(fps[s : s + n])
-        label = _spanning(member)
-        linked = member != label
-        left.append(label[linked])
-        right.append(member[linked])
+        root = _spanning(marks[s : s + n], similarity)
+        linked = root != np.arange(n)
+        left.append(fps[s + root[linked]])
+        right.append(fps[s : s + n][linked])
     return np.concatenate(left), np.concatenate(right)
 
 
-def _spanning(member: np.ndarray) -> np.ndarray:
-    """For each fingerprint the first one that is reachable from it within ``member``."""
-    label = member.copy()
-    waiting = np.arange(len(member))
+def _spanning(marks: np.ndarray, similarity: float | None) -> np.ndarray:
+    """For each place the first place that is reachable from it by steps between near marks."""
+    root = np.arange(len(marks))
+    waiting = np.arange(len(marks))
     while len(waiting):
-        root, front, waiting = member[waiting[0]], waiting[:1], waiting[1:]
+        first, front, waiting = waiting[0], waiting[:1], waiting[1:]
         while len(front):
-            label[front] = root
+            root[front] = first
             reached = np.zeros(len(waiting), dtype=bool)
             for i in range(0, len(front), 64):
-                reached |= _close(member[waiting][:, None], member[front[i : i + 64]][None, :]).any(axis=1)
+                rest = np.flatnonzero(~reached)
+                near = _near(marks[waiting[rest]][:, None], marks[front[i : i + 64]][None, :], similarity)
+                reached[rest[near.any(axis=1)]] = True
             front, waiting = waiting[reached], waiting[~reached]
-    return label
+    return root
 
 
-def _links_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by cell; a cell that goes on in the next batch waits for it."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _links_in_cells(similarity: float | None):
+    """For ``mapInArrow``: rows come sorted by cell; a cell that goes on in the next batch waits for it."""
 
-    def linked(fps: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
-        a, b = _chains(fps, cells)
+    def linked(fps: np.ndarray, marks: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
+        a, b = _chains(fps, marks, cells, similarity)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")], axis=1)
-        held.append((batch.column("fp").to_numpy(), keys))
-        fps = np.concatenate([x for x, _ in held])
-        keys = np.concatenate([x for _, x in held])
-        new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
-        last = np.flatnonzero(new)[-1]
-        if last:
-            yield linked(fps[:last], np.cumsum(new)[:last])
-        held = [(fps[last:], keys[last:])]
-    if held:
-        yield linked(held[0][0], np.zeros(len(held[0][0]), dtype=np.int64))
-
-
-def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
-    """``(a, b)``: verified links that connect all fingerprints ``fp`` reachable by steps of three bits or fewer."""
-
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = batch.column("fp").to_numpy()
-        rows, keys = fuzzy_keys(fps)
-        return pa.record_batch([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
-
-    keys = written(spark, distinct.select("fp").mapInArrow(each_batch(make), "key long, fp long"), "golay-keys")
+    def marks_of(batch: pa.RecordBatch) -> np.ndarray:
+        if similarity is None:
+            return batch.column("fp").to_numpy()
+        return np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")], axis=1)
+            held.append((batch.column("fp").to_numpy(), marks_of(batch), keys))
+            fps, marks, keys = (np.concatenate(parts) for parts in zip(*held))
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+            last = np.flatnonzero(new)[-1]
+            if last:
+                yield linked(fps[:last], marks[:last], np.cumsum(new)[:last])
+            held = [(fps[last:], marks[last:], keys[last:])]
+        if held:
+            fps, marks, _ = held[0]
+            yield linked(fps, marks, np.zeros(len(fps), dtype=np.int64))
+
+    return run
+
+
+def _linked(keys: DataFrame, similarity: float | None = None) -> DataFrame:
+    """``(a, b)``: verified links among the rows ``(key, fp, ...)`` that share a key."""
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     # Block pairs (i, j), i <= j, that hold this row's block; one cell where there is one block.
     others = F.transform(
@@ -242,25 +310,48 @@ def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     )
     cells = (
         keys.join(shared, "key")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("mine", mine)
-        .select("key", "fp", F.explode(others).alias("cell"))
+        .select(*keys.columns, F.explode(others).alias("cell"))
     )
     return (
         cells.repartition("key", "cell")
         .sortWithinPartitions("key", "cell")
-        .mapInArrow(_links_in_cells, "a long, b long")
+        .mapInArrow(_links_in_cells(similarity), "a long, b long")
     )
 
 
-def _grouped(spark: SparkSession, docs: DataFrame, shingle_words: int) -> DataFrame:
-    """``(doc_id, content, fp, root, component_id)``; ``root`` is the smallest fingerprint of the component."""
-    prints = written(spark, fingerprints(docs, shingle_words), "fingerprints")
+def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
+    """``(a, b)``: verified links that connect all fingerprints ``fp`` reachable by steps of three bits or fewer."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fps = batch.column("fp").to_numpy()
+        rows, keys = fuzzy_keys(fps)
+        return pa.record_batch([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
+
+    keys = distinct.select("fp").mapInArrow(each_batch(make), "key long, fp long")
+    return _linked(written(spark, keys, "golay-keys"))
+
+
+def sample_links(prints: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
+    """``(a, b)``: links between fingerprints of texts that share a sample print and whose signatures are similar."""
+    texts = prints.select("fp", "prints", "signature").distinct()
+    keys = texts.select(F.posexplode("prints").alias("nth", "print"), "fp", "signature")
+    return _linked(keys.select(F.xxhash64("nth", "print").alias("key"), "fp", "signature"), similarity)
+
+
+def _grouped(spark: SparkSession, prints: DataFrame, further: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, content, fp, root, component_id)``; ``root`` is the smallest fingerprint of the component.
+
+    ``prints`` has to be written already; ``further`` are links beside those of few bits.
+    """
     distinct = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    groups = components(spark, links(spark, distinct)).toDF("fp", "root")
+    edges = links(spark, distinct)
+    groups = components(spark, edges if further is None else edges.union(further)).toDF("fp", "root")
     rooted = distinct.join(groups, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+    of_print = rooted.join(lowest, "root").select("fp", "root", "component_id")
+    return prints.select("doc_id", "content", "fp").join(of_print, "fp")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -271,17 +362,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     them are null. Null, empty and blank texts have fingerprint zero and link
     like any other.
     """
+    prints = written(spark, fingerprints(docs, shingle_words), "fingerprints")
     fingerprint_hex = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return _grouped(spark, docs, shingle_words).select("doc_id", fingerprint_hex, "component_id")
+    return _grouped(spark, prints).select("doc_id", fingerprint_hex, "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+def keep_one(
+    spark: SparkSession,
+    docs: DataFrame,
+    shingle_words: int = COPY_SHINGLE_WORDS,
+    similarity: float = COPY_SIMILARITY,
+) -> DataFrame:
     """One row of ``documents`` for each component, with all its columns: the one of smallest doc_id, null ids last.
 
-    Of different texts with that id the one of smallest ``content`` stays, and of
+    Links are those of three bits or fewer and, as a fingerprint of a whole text
+    moves by more than that where a few of its words differ, those of texts that
+    share a sample print and are similar by their signatures (see ``sampled``).
+    Of different texts with one id the one of smallest ``content`` stays, and of
     repeated rows with the same id and text any one.
     """
-    grouped = _grouped(spark, docs, shingle_words)
+    prints = written(spark, copy_prints(docs, shingle_words), "copy-prints")
+    grouped = _grouped(spark, prints, sample_links(prints, similarity))
     rows = grouped.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content", "n")).alias("first")
     kept = rows.groupBy("root").agg(first).select("first.doc_id", "first.content", "first.n")
@@ -289,7 +390,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_
     kept = written(spark, kept.toDF(*names), "kept")
     same = docs["doc_id"].cast("long").eqNullSafe(kept[kept_id])
     same &= F.xxhash64(docs["text"].cast("string")) == kept[kept_content]
-    joined = docs.join(kept, same)
+    # Texts are not sorted for it: the kept ids, a few bytes a row, are what is hashed.
+    joined = docs.join(kept.hint("shuffle_hash"), same)
     once = joined.where(F.col(kept_n) == 1)
     repeated = joined.where(F.col(kept_n) > 1).dropDuplicates([kept_id, kept_content])
     return once.unionAll(repeated).select(*[docs[c] for c in docs.columns])

@@ -1,9 +1,9 @@
+import numpy as np
 import pytest
 from helpers import ODD_TEXTS, SF_DIR, nothing, odd_documents, rows
 from test_decontaminate import plain_contaminated
 from test_pieces import PLAIN
 from test_pii import plain as plain_spans
-from test_simhash import plain_components, plain_fingerprint
 
 import corpus_pipeline
 from coldshelf.llm import simhash
@@ -11,13 +11,30 @@ from coldshelf.llm.queries import quality_model, table
 from coldshelf.llm.quality import scores_of
 
 
+def plain_first_copies(docs):
+    """One document of each group, by comparing all pairs of fingerprints and of signatures."""
+    hashes = [simhash.shingle_hashes(t, 5) for _, t in docs]
+    prints = np.array([simhash.majority(h) for h in hashes], dtype=np.uint64)
+    drawn = [simhash.sampled(h) for h in hashes]
+    label = np.array([i for i, _ in docs])
+    close = []
+    for p, (own, signature) in zip(prints, drawn):
+        near = np.bitwise_count(prints ^ p) <= 3
+        shares = [(a == own).any() and simhash._near(b, signature, 0.8) for a, b in drawn]
+        close.append(near | np.array(shares))
+    while True:
+        lower = np.array([label[c].min() for c in close])
+        if (lower == label).all():
+            return [d for d, g in zip(docs, label) if d[0] == g]
+        label = lower
+
+
 def test_run_equals_stages_done_plainly(spark):
     docs = rows("documents", "doc_id, text")
     frame = table(spark, SF_DIR, "documents")
     model = quality_model(spark, frame, SF_DIR)
     docs = [d for d, s in zip(docs, scores_of([t for _, t in docs], model)) if s >= 0.7]
-    group = plain_components([i for i, _ in docs], [plain_fingerprint(t) for _, t in docs])
-    docs = [d for d, g in zip(docs, group) if d[0] == g]
+    docs = plain_first_copies(docs)
     bad = {d for d, *_ in plain_contaminated(docs, rows("benchmark", "item_id, text"))}
     docs = {i: t for i, t in docs if i not in bad}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF_DIR).collect()}

@@ -89,3 +89,35 @@ def test_a_key_with_many_prints_loses_no_link(spark, monkeypatch):
     for members in groups.values():
         if len(members) > 1:
             assert {got[m] for m in members} == {min(members)}
+
+
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_are_found_and_other_texts_left_alone(spark):
+    """Copies with one word in fifty changed: nearly all that are similar enough go, and nothing else does."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(500)]
+    originals = [[rng.choice(words) for _ in range(rng.randint(60, 400))] for _ in range(60)]
+    texts = [" ".join(w) for w in originals]
+    for w in originals[:30]:
+        for _ in range(3):
+            texts.append(" ".join(rng.choice(words) if rng.random() < 0.02 else x for x in w))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(spark, frame).collect()}
+    assert set(range(60)) <= kept
+    near = lambda i, j: len(shingle_set(texts[i]) & shingle_set(texts[j])) / len(shingle_set(texts[i]) | shingle_set(texts[j]))
+    similar = [i for i in range(60, len(texts)) if near(i, (i - 60) // 3) >= 0.82]
+    assert similar and len([i for i in similar if i not in kept]) >= 0.95 * len(similar)
+
+
+def test_signatures_measure_similarity():
+    rng = np.random.default_rng(3)
+    shared, own = rng.integers(0, 1 << 62, (2, 2000)).astype(np.uint64)
+    a, b = np.concatenate([shared, own[:200]]), np.concatenate([shared, own[200:400]])
+    (pa_, sa), (pb, sb) = simhash.sampled(a), simhash.sampled(b)
+    assert abs((sa == sb).mean() - 2000 / 2400) < 0.15 and (pa_ == pb).any()
+    assert (simhash.sampled(a[::-1], step=100)[1] == sa).all()
+    assert simhash.sampled(own[:0])[0].tolist() == [0] * simhash.PRINTS
