@@ -41,8 +41,8 @@ def resolved_window(
     """The next window as one row: explicit start, else watermark, else oldest date.
 
     ``watermark`` is a one-row frame with a ``watermark`` date. An ineligible
-    window (no start, or a start at or past the cutoff) is empty. The table is
-    only read where neither an explicit start nor a watermark is known.
+    window (no start, or a start at or past the cutoff) is empty. With an explicit
+    start the table is not read; else its oldest date is.
     """
     cutoff = cutoff_date(as_of, retention_years)
     candidates: list[Column] = []
@@ -125,9 +125,9 @@ def window_plan_counts(
 ) -> DataFrame:
     """Rows per planned window, empty windows included.
 
-    Rows older than the cutoff are first counted per calendar date, in one scan;
-    the oldest of those dates begins the plan, and what gets assigned to a window
-    is at most one row per date, whatever the table holds.
+    Rows older than the cutoff are counted per calendar date, in one scan. What
+    is left is one list of dates and counts, as long as the calendar and not the
+    table; the plan begins at the oldest of them and adds them up by window.
     """
     kind = require_date(table.schema, spec.date_col)
     cutoff = cutoff_date(as_of, retention_years)
@@ -137,27 +137,14 @@ def window_plan_counts(
         .groupBy(F.to_date(col(spec.date_col)).alias("day"))
         .agg(F.count("*").alias("n"))
     )
-    starts = daily.agg(F.min("day").alias("oldest")).select(
-        _starts(F.col("oldest"), cutoff, window_months).alias("starts")
-    )
-    plan = _with_ends(starts.select(F.explode("starts").alias("window_start")), cutoff, window_months)
-    # The default never applies. It keeps the key from being nullable, or the
-    # optimizer would test it for NULL on every row below the daily counts.
-    first_day = F.lit(date(1970, 1, 1))
-    counted = (
-        daily.withColumn("starts", starts.scalar())
-        .select(
-            F.coalesce(
-                F.element_at(F.filter("starts", lambda s: s <= F.col("day")), -1), first_day
-            ).alias("window_start"),
-            "n",
-        )
-        .groupBy("window_start")
-        .agg(F.sum("n").alias("n"))
-    )
-    return plan.join(counted, "window_start", "left").select(
-        "window_start", "window_end", F.coalesce("n", F.lit(0)).alias("n_rows")
+    days = daily.agg(F.collect_list(F.struct("day", "n")).alias("days"))
+    starts = _starts(F.array_min(F.col("days.day")), cutoff, window_months)
+    plan = days.select("days", F.explode(starts).alias("window_start")).select(
+        "days", "window_start", F.least(F.add_months("window_start", window_months), cutoff).alias("window_end")
     )
+    inside = F.filter("days", lambda d: (d["day"] >= F.col("window_start")) & (d["day"] < F.col("window_end")))
+    total = F.aggregate(inside, F.lit(0).cast("long"), lambda n, d: n + d["n"])
+    return plan.select("window_start", "window_end", total.alias("n_rows"))
 
 
 def plan_windows(

@@ -166,7 +166,7 @@ def oldest_date(spark, sf_dir):
 
 
 def schema_discovery(spark, sf_dir):
-    return scan.schema_discovery(orders_with_nulls(table(spark, sf_dir, "orders")))
+    return scan.schema_discovery(orders_with_nulls(table(spark, sf_dir, "orders")), count_nulls=True)
 
 
 def resolve_window(spark, sf_dir):

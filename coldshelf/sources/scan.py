@@ -34,17 +34,21 @@ def typed_projection(table: DataFrame, target: T.StructType | None = None) -> Da
     )
 
 
-def schema_discovery(table: DataFrame, required: tuple[str, ...] = ()) -> DataFrame:
-    """One row per column: ordinal, archive type, nullability and the NULLs it holds now.
-
-    Parquet and JDBC scans report every column as nullable; the NULL count (one
-    pass over the whole table) tells which columns a caller may declare required.
+def schema_discovery(
+    table: DataFrame, required: tuple[str, ...] = (), count_nulls: bool = False
+) -> DataFrame:
+    """One row per column: ordinal, archive type and nullability; no row of the table is read.
+
+    Parquet and JDBC scans report every column as nullable. With ``count_nulls``
+    one pass over the whole table adds ``null_rows``, which tells what a caller
+    may declare required.
     """
     fields = archive_schema(table.schema).fields
     described = []
     for i, f in enumerate(table.schema.fields):
         kind, stored = archive_type(f.name, f.dataType)
         decimal = isinstance(stored, T.DecimalType)
+        counted = [F.col(f"nulls_{i}").alias("null_rows")] if count_nulls else []
         described.append(
             F.struct(
                 F.lit(i + 1).alias("ordinal"),
@@ -53,12 +57,13 @@ def schema_discovery(table: DataFrame, required: tuple[str, ...] = ()) -> DataFr
                 F.lit(stored.precision if decimal else None).cast("int").alias("num_precision"),
                 F.lit(stored.scale if decimal else None).cast("int").alias("num_scale"),
                 F.lit(f.nullable and f.name not in required).alias("nullable"),
-                F.col(f"nulls_{i}").alias("null_rows"),
+                *counted,
             )
         )
-    counts = table.agg(
-        *[F.count_if(col(f.name).isNull()).alias(f"nulls_{i}") for i, f in enumerate(fields)]
-    )
+    counts = table.sparkSession.range(1)
+    if count_nulls:
+        nulls = [(F.count("*") - F.count(col(f.name))).alias(f"nulls_{i}") for i, f in enumerate(fields)]
+        counts = table.agg(*nulls)
     return counts.select(F.inline(F.array(*described)))
 
 

@@ -20,7 +20,7 @@ SPEC = TableSpec("test_orders", pk="order_id", required=("order_id", "customer_i
 
 def order(key: int, fye: date, amount: str):
     midnight = datetime.combine(fye, datetime.min.time())
-    return (key, 500 + key % 5, fye, Decimal(amount), "CLOSED", midnight)
+    return (key, 9000 + key * 7 % 11, fye, Decimal(amount), "CLOSED", midnight)
 
 
 def order_rows():
@@ -28,7 +28,7 @@ def order_rows():
     dates = [OLD.start + timedelta(days=3 * i) for i in range(30)]
     dates += [OLD.end + timedelta(days=5 * i) for i in range(10)]
     dates += [AS_OF - timedelta(days=30 * i) for i in range(10)]
-    amounts = ["10.00"] * 30 + ["20.00"] * 10 + ["30.00"] * 10
+    amounts = ["41.50"] * 30 + ["7.25"] * 10 + ["0.99"] * 10
     return [order(i + 1, d, a) for i, (d, a) in enumerate(zip(dates, amounts))]
 
 

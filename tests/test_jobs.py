@@ -129,7 +129,7 @@ def test_a_changed_archive_file_fails_reconcile(spark):
     shelf = Shelf(spark)
     record = shelf.jobs.export_window(shelf.table, SPEC, OLD)
     changed = shelf.table.read().where("order_id <= 30").withColumn(
-        "order_amount", F.when(F.col("order_id") == 7, F.lit("10.01")).otherwise("10.00").cast("decimal(12,2)")
+        "order_amount", F.when(F.col("order_id") == 7, F.lit("41.51")).otherwise("41.50").cast("decimal(12,2)")
     )
     folder = scratch_dir(spark, "forged")
     changed.withColumn("archive_key", F.lit("2015-01")).write.partitionBy("archive_key").parquet(folder)

@@ -20,13 +20,13 @@ ALL_TYPES = (
 
 
 def typed_rows(spark):
-    moment = datetime(2018, 3, 16, 9, 30, 0, 123457)
+    moment = datetime(2017, 3, 16, 21, 5, 7, 123457)
     nan, zero = float("nan"), -0.0
     return spark.createDataFrame(
         [
-            (42, date(2018, 3, 15), 1, 2, 3, Decimal("1234.56"), "closed-period", True, moment, nan, 0.5, b"\x00\xff"),
-            (43, date(2018, 3, 16)) + (None,) * 10,
-            (44, date(2018, 4, 1), -1, -2, -3, Decimal("-0.01"), "", False, moment, zero, nan, b""),
+            (7101, date(2017, 3, 15), 1, 2, 3, Decimal("907.18"), "first half", True, moment, nan, 0.5, b"\x00\xff"),
+            (7102, date(2017, 3, 16)) + (None,) * 10,
+            (7103, date(2017, 4, 1), -1, -2, -3, Decimal("-0.01"), "", False, moment, zero, nan, b""),
         ],
         ALL_TYPES,
     )
@@ -89,13 +89,29 @@ def test_small_integers_are_widened(spark):
 
 
 def test_schema_discovery_lists_columns_in_order(spark):
-    found = scan.schema_discovery(typed_rows(spark), required=("id",)).orderBy("ordinal").collect()
+    found = scan.schema_discovery(typed_rows(spark), required=("id",), count_nulls=True).orderBy("ordinal").collect()
     assert [r.column_name for r in found] == typed_rows(spark).columns
     assert [r.archive_type for r in found] == (
         "LONG DATE INT INT INT DECIMAL STRING BOOLEAN TIMESTAMP DOUBLE FLOAT BYTES".split()
     )
     assert (found[0].nullable, found[0].null_rows) == (False, 0)
     assert (found[5].num_precision, found[5].num_scale, found[5].null_rows) == (12, 2, 1)
+    assert "null_rows" not in scan.schema_discovery(typed_rows(spark)).columns
+
+
+def scans(frame):
+    """Scan nodes of a table's files in the initial plan."""
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("FileScan parquet")
+
+
+def test_plans_read_a_table_once(spark):
+    from coldshelf.queries import QUERIES
+
+    found = {n: scans(QUERIES[n](spark, "/root/testdata/sf0.001")) for n in ("window_plan_counts", "reconcile_duplicates")}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert found["window_plan_counts"] == 1 and found["reconcile_duplicates"] <= 5
+    assert scans(scan.schema_discovery(orders)) == 0
 
 
 def test_projection_rescales_half_up_and_refuses_overflow(spark):
@@ -136,9 +152,9 @@ def test_safe_key(spark):
 @pytest.mark.parametrize(
     "granularity, keys",
     [
-        (Granularity.EXACT_DATE, {"2018-03-15", "2018-03-16", "2018-04-01"}),
-        (Granularity.MONTH, {"2018-03", "2018-04"}),
-        (Granularity.YEAR, {"2018"}),
+        (Granularity.EXACT_DATE, {"2017-03-15", "2017-03-16", "2017-04-01"}),
+        (Granularity.MONTH, {"2017-03", "2017-04"}),
+        (Granularity.YEAR, {"2017"}),
         (Granularity.NONE, {"all"}),
     ],
 )
