@@ -100,7 +100,75 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
 }
 
+PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
+RULES_SQL = "(VALUES " + ", ".join(map(str, url_filter.RULES)) + ") AS rules(action, rule_host, rule_path)"
+
+
+def host_sql(url: str) -> str:
+    return f"translate(coalesce(regexp_extract({url}, '{PARTS}', 1), ''), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+
+
+def path_sql(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '{PARTS}', 2), '')"
+
+
+def node_sql(url: str) -> str:
+    shown = rf"regexp_replace(regexp_extract({url}, '{PARTS}', 3), '[?&](?:utm_[^&]*|gclid=[^&]*|fbclid=[^&]*)', '', 'g')"
+    path = f"regexp_replace({path_sql(url)}, '/+$', '')"
+    return f"CASE WHEN {host_sql(url)} <> '' THEN {host_sql(url)} || {path} || regexp_replace({shown}, '^&', '?') END"
+
+
+def rule_sql(host: str, path: str) -> str:
+    """The longest fitting rule as a struct, NULL without one."""
+    return f"""(SELECT arg_max({{'action': action, 'rule': rule_host || rule_path}}, length(rule_host || rule_path))
+            FROM {RULES_SQL}
+            WHERE ({host} = rule_host OR ends_with({host}, '.' || rule_host)) AND starts_with({path}, rule_path))"""
+
+
+URL_FILTER_SQL = rf"""
+    WITH RECURSIVE tags AS (
+        SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages
+    ), found AS (
+        SELECT url, CASE
+            WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b')
+                THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+            WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
+                THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) END AS link
+        FROM tags
+    ), linked AS (
+        SELECT url, CASE
+            WHEN regexp_matches(link, '(?i)^[a-z][a-z0-9+.-]*://') THEN link
+            WHEN starts_with(link, '//') THEN 'http:' || link
+            WHEN starts_with(link, '/') THEN 'http://' || {host_sql("url")} || link
+            WHEN link <> '' THEN 'http://' || {host_sql("url")} || regexp_replace({path_sql("url")}, '[^/]*$', '') || link
+            END AS target
+        FROM found WHERE link IS NOT NULL
+    ), ends AS (
+        SELECT {node_sql("url")} AS a, {node_sql("target")} AS b FROM linked
+    ), edges AS (
+        SELECT a, b FROM ends WHERE a <> b UNION SELECT b, a FROM ends WHERE a <> b
+    ), reach AS (
+        SELECT a AS node, a AS other FROM edges UNION SELECT node, b FROM reach JOIN edges ON other = a
+    ), judged AS (
+        SELECT DISTINCT other, regexp_extract(other, '^[^/?]*') AS host,
+            regexp_extract(other, '^[^/?]*([^?]*)', 1) || '/' AS path FROM reach
+    ), acted AS (
+        SELECT other, {rule_sql("judged.host", "judged.path")} AS found FROM judged
+    ), aliased AS (
+        SELECT node, CASE WHEN bool_or(found.action = 'allow') THEN 'allow'
+            WHEN bool_or(found.action = 'block') THEN 'block' END AS verdict
+        FROM reach JOIN acted USING (other) GROUP BY node
+    ), parts AS (
+        SELECT page_id, {host_sql("url")} AS host, {path_sql("url")} AS path, {node_sql("url")} AS node FROM pages
+    ), ruled AS (
+        SELECT *, {rule_sql("parts.host", "parts.path")} AS found FROM parts
+    )
+    SELECT page_id, host, path, found.rule AS rule, coalesce(found.action, aliased.verdict, 'allow') AS verdict
+    FROM ruled LEFT JOIN aliased USING (node)
+"""
+
 ORACLE: dict[str, str] = {
+    "op6_url_filter": URL_FILTER_SQL,
     "op8_pivot_search": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec

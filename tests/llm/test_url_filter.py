@@ -58,6 +58,17 @@ def test_aliases(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_aliases_equal_their_sql(spark, tmp_path):
+    import duckdb
+    from compare import differences
+
+    frame = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert differences(queries.op6_url_filter(spark, str(tmp_path)), con, queries.ORACLE["op6_url_filter"]) is None
+
+
 def test_redirect_table_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "http://a.org/", None)], "page_id long, url string, html string")
     redirects = spark.createDataFrame(
