@@ -3,11 +3,12 @@
 The model file is parsed and rebuilt as a tokenizer: its normaliser (character
 map, extra white space, leading space), the metaspace marker for spaces, its
 pieces with unigram scores, or merges ranked by score for BPE models, and byte
-fallback. No piece of a model that splits at white space has a marker after
-another character (checked), so no token crosses the place before a marker:
-normalised texts are cut there, and each distinct part is encoded once
-(``chunk_memo``), in batches that the library spreads over threads. Each such
-part is also encoded by the sentencepiece library, and the ids are compared.
+fallback. A token cannot cross two neighbouring characters that no piece has
+side by side. Normalised texts are cut at such places: before markers, between
+letters and points, around line ends, as far as the model's pieces allow it. Each
+distinct part is encoded once (``chunk_memo``), in batches that the library
+spreads over threads; each is also encoded by the sentencepiece library, and the
+ids are compared.
 """
 
 from __future__ import annotations
@@ -64,6 +65,25 @@ def _normalizer(spec):
     return normalizers.Sequence(steps)
 
 
+def _cuts(pieces: list[str], fallback: bool):
+    """A function that cuts a normalised text where no piece can cross.
+
+    Without byte fallback, neighbouring characters that have no piece become
+    one unknown token, so texts are cut before markers only.
+    """
+    joined = [p for p in pieces if len(p) > 1]
+    rules = []
+    if not any(MARK in p.lstrip(MARK) for p in joined):
+        rules.append(f"(?<=[^{MARK}])(?={MARK})")
+    letter = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+    marks = [m for m in ".,!|" if fallback and not any(re.search(letter + re.escape(m), p) for p in joined)]
+    if marks:
+        rules.append(f"(?<={letter})(?=[{''.join(marks)}])")
+    if fallback and not any("\n" in p for p in joined):
+        rules.append("(?<=[^\n])(?=\n)|(?<=\n)(?=[^\n])")
+    return re.compile("|".join(rules)).split if rules else lambda text: [text]
+
+
 class PieceTokenizer:
     """A rebuilt model. ``threads`` is how many threads the library may use in one Python worker."""
 
@@ -88,6 +108,8 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer(model)
         self.normalizer = _normalizer(spec)
         self._prefix = spec.add_dummy_prefix
+        # Where only spaces are marked, a plain replacement gives the same.
+        self._marks_only = spec.escape_whitespaces and not (spec.precompiled_charsmap or spec.remove_extra_whitespaces)
         steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence(steps + [decoders.Strip(" ", 1, 0)] * self._prefix)
         # The same model without a normaliser: it is given parts that are normalised already.
@@ -95,8 +117,8 @@ class PieceTokenizer:
         spec.add_dummy_prefix = spec.remove_extra_whitespaces = False
         spec.escape_whitespaces = True
         self._plain = SentencePieceProcessor(model_proto=proto.SerializeToString())
-        crossing = any(MARK in piece.lstrip(MARK) for piece, _ in vocabulary)
-        cut = (lambda text: [text]) if crossing else re.compile(f"(?<=[^{MARK}])(?={MARK})").split
+        # Bytes that stand for characters without a piece are not texts.
+        cut = _cuts([p.piece for p in proto.pieces if p.type in (NORMAL, USER_DEFINED)], fallback)
         self._memo = ChunkMemo(cut, self._encode_parts)
         self.differing: set[str] = set()
 
@@ -111,22 +133,26 @@ class PieceTokenizer:
 
     def normalize(self, text: str | None) -> str:
         """Null is empty, and an empty text stays so."""
+        if text and self._marks_only:
+            return MARK * self._prefix + text.replace(" ", MARK)
         return self.normalizer.normalize_str(text) if text else ""
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         """Ids of all texts in one array, their number by text, and whether sentencepiece agrees on all parts of each."""
-        made = [self.normalize(t) for t in texts]
+        return self.encode_normalized([self.normalize(t) for t in texts])
+
+    def encode_normalized(self, made: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         ids, sizes = self._memo.encode(made)
         if not self.differing:
-            return ids, sizes, [True] * len(texts)
+            return ids, sizes, [True] * len(made)
         return ids, sizes, [self.differing.isdisjoint(self._memo.split(t)) if t else True for t in made]
 
     def decode(self, lists: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(lists, skip_special_tokens=False)
 
-    def restored(self, text: str | None) -> str:
-        """What decoding the ids of ``text`` has to give: the normalised text with spaces for markers."""
-        made = self.normalize(text).replace(MARK, " ")
+    def restored(self, normalized: str) -> str:
+        """What decoding has to give: the normalised text with spaces for markers."""
+        made = normalized.replace(MARK, " ")
         return made[1:] if self._prefix else made
 
 
@@ -152,9 +178,10 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
         texts = batch.column("text").to_pylist()
         ids, sizes, parity, back = [], [], [], []
         for a, b in slices([len(t or "") for t in texts], SLICE):
-            flat, counts, same = tokenizer.encode(texts[a:b])
+            made = [tokenizer.normalize(t) for t in texts[a:b]]
+            flat, counts, same = tokenizer.encode_normalized(made)
             lists = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
-            back += [d == tokenizer.restored(t) for d, t in zip(tokenizer.decode(lists), texts[a:b])]
+            back += [d == tokenizer.restored(m) for d, m in zip(tokenizer.decode(lists), made)]
             ids.append(flat.astype(np.int32))
             sizes.append(counts)
             parity += same

@@ -37,7 +37,8 @@ def test_ids_and_texts_equal_sentencepiece(tokenizer, text):
     ids, sizes, same = tokenizer.encode([text])
     assert ids.tolist() == PLAIN.encode(text) and same == [True] and sizes.tolist() == [len(ids)]
     back = tokenizer.decode([ids.tolist()])[0]
-    assert back == PLAIN.decode(ids.tolist()) == tokenizer.restored(text)
+    assert back == PLAIN.decode(ids.tolist()) == tokenizer.restored(tokenizer.normalize(text))
+    assert tokenizer.normalize(text) == (tokenizer.normalizer.normalize_str(text) if text else "")
 
 
 def test_unigram_model_is_rebuilt(tmp_path):
@@ -51,7 +52,7 @@ def test_unigram_model_is_rebuilt(tmp_path):
     for text in ("The quick brown fox", "  two   spaces  ", "über", "日本 🙂", ""):
         ids, _, _ = mine.encode([text])
         assert ids.tolist() == plain.encode(text)
-        assert mine.decode([ids.tolist()])[0] == mine.restored(text)
+        assert mine.decode([ids.tolist()])[0] == mine.restored(mine.normalize(text))
 
 
 def test_a_difference_is_reported(tokenizer):
