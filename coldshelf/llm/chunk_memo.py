@@ -7,6 +7,8 @@ from itertools import chain
 
 import numpy as np
 
+from coldshelf.llm.rolling import stretch_hashes
+
 
 class ChunkMemo:
     """Cuts texts where no token can cross, and remembers the ids of each piece.
@@ -55,3 +57,100 @@ class ChunkMemo:
         added = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
         self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
         self._pool = np.concatenate([self._pool, added])
+
+
+class HashedMemo:
+    """As ``ChunkMemo``, for texts cut by their UTF-8 bytes, and with all pieces of a call looked up at once.
+
+    ``cuts`` marks the bytes at which pieces begin. Pieces are told apart by a
+    64-bit hash: among ``limit`` of them two have the same one with a
+    probability below one in ten million.
+    """
+
+    def __init__(
+        self,
+        cuts: Callable[[np.ndarray], np.ndarray],
+        encode: Callable[[list[str]], Iterable[list[int]]],
+        limit: int = 1_500_000,
+    ) -> None:
+        self._cuts, self._encode, self._limit = cuts, encode, limit
+        self._bits = int(2 * limit).bit_length()
+        self._forget()
+
+    def _forget(self) -> None:
+        self._keys = np.zeros(1 << self._bits, dtype=np.uint64)  # 0: free
+        self._numbers = np.zeros(1 << self._bits, dtype=np.int32)
+        self._pool = np.empty(0, dtype=np.uint32)
+        self._ends = np.zeros(1, dtype=np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and how many belong to each text."""
+        if len(self._ends) > self._limit:
+            self._forget()
+        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        whole = b"".join(coded)
+        data = np.frombuffer(whole, dtype=np.uint8)
+        text_ends = np.cumsum([0, *map(len, coded)], dtype=np.int64)
+        begins = self._cuts(data)
+        begins[text_ends[:-1][np.diff(text_ends) > 0]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        hashes = np.maximum(stretch_hashes(data, starts, ends), np.uint64(1))
+        at = self._find(hashes)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            fresh, first = np.unique(hashes[unknown], return_index=True)
+            places = zip(starts[unknown[first]].tolist(), ends[unknown[first]].tolist())
+            self._learn(fresh, [whole[s:e].decode("utf-8", "surrogatepass") for s, e in places])
+            at[unknown] = self._find(hashes[unknown])
+        sizes = self._ends[at + 1] - self._ends[at]
+        borders = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(borders[-1]) + np.repeat(self._ends[at] - borders[:-1], sizes)
+        return self._pool[places], np.diff(borders[np.searchsorted(starts, text_ends)])
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it is not known."""
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        slot, left = self._slots(hashes), np.arange(len(hashes))
+        while len(left):
+            there = self._keys[slot]
+            hit = there == hashes[left]
+            found[left[hit]] = self._numbers[slot[hit]]
+            on = ~hit & (there != 0)
+            left, slot = left[on], (slot[on] + 1) & (len(self._keys) - 1)
+        return found
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Enter distinct hashes that are not known yet, with the ids of their pieces."""
+        ids = list(self._encode(pieces))
+        numbers = np.arange(len(hashes)) + len(self._ends) - 1
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        added = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+        self._pool = np.concatenate([self._pool, added])
+        if len(self._ends) > len(self._keys) // 2:  # one call with very many new pieces
+            self._bits += 2
+            self._rebuild()
+        self._enter(hashes, numbers)
+
+    def _enter(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        slot, left = self._slots(hashes), np.arange(len(hashes))
+        while len(left):
+            free = np.flatnonzero(self._keys[slot] == 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            won = free[first]
+            self._keys[taken], self._numbers[taken] = hashes[left[won]], numbers[left[won]]
+            on = np.ones(len(left), dtype=bool)
+            on[won] = False
+            left, slot = left[on], (slot[on] + 1) & (len(self._keys) - 1)
+
+    def _rebuild(self) -> None:
+        """A larger table with the same entries."""
+        used = np.flatnonzero(self._keys)
+        hashes, numbers = self._keys[used], self._numbers[used]
+        self._keys = np.zeros(1 << self._bits, dtype=np.uint64)
+        self._numbers = np.zeros(1 << self._bits, dtype=np.int32)
+        self._enter(hashes, numbers)

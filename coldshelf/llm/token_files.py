@@ -2,9 +2,10 @@
 
 Texts are encoded by the tokenizers library with a byte-level BPE vocabulary.
 A text is cut before each space that follows a visible ASCII character or a
-word character, and between a lower-case letter and a point or comma: the
-vocabulary's pattern begins a new pre-token at both, whatever stands around,
-so the ids of the pieces are those of the whole text (see ``chunk_memo``).
+letter of the Latin-1 range, and between a small ASCII letter and a point or
+comma: the vocabulary's pattern begins a new pre-token at both, whatever stands
+around, so the ids of the pieces are those of the whole text. Each distinct piece
+is encoded once and then known by a 64-bit hash (see ``chunk_memo``).
 
 A folder of token files holds Parquet files of one range of ids each. A row
 is a document: ``part``, the range; ``row``, its place in it; ``doc_id``;
@@ -26,30 +27,65 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from coldshelf.llm import simple8b
-from coldshelf.llm.chunk_memo import ChunkMemo
+from coldshelf.llm.chunk_memo import HashedMemo
 from coldshelf.llm.shared import each_batch, slices, written
 
 END_ID = 0
 #: Characters handled at a time within a batch.
 SLICE = 1 << 20
 
-_CUT = re.compile(r"(?<=[!-~\w])(?= )|(?<=[a-z])(?=[.,])")
+#: A word of Latin letters, perhaps after a space: one pre-token.
+_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
 @cache
-def _memo(vocabulary: str) -> ChunkMemo:
+def _memo(vocabulary: str) -> HashedMemo:
     """One for each Python worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import Sequence
 
     tokenizer = Tokenizer.from_file(vocabulary)
-
-    def encode(pieces: list[str]) -> Iterator[list[int]]:
-        for i in range(0, len(pieces), 10_000):
-            for made in tokenizer.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False):
-                yield made.ids
-
-    return ChunkMemo(_CUT.split, encode)
+    # The same merges without the search for pre-tokens, for pieces that are one pre-token.
+    bare = Tokenizer.from_file(vocabulary)
+    bare.pre_tokenizer = Sequence([])
+    shown = _shown_bytes()
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        made: list[list[int]] = [[]] * len(pieces)
+        words, rest = [], []
+        for i, piece in enumerate(pieces):
+            (words if _WORD.fullmatch(piece) else rest).append(i)
+        for some, how in ((words, bare), (rest, tokenizer)):
+            texts = [pieces[i] for i in some]
+            if how is bare:
+                texts = [
+                    t.replace(" ", chr(shown[32])) if t.isascii() else t.encode().decode("latin-1").translate(shown)
+                    for t in texts
+                ]
+            for k in range(0, len(some), 10_000):
+                for i, e in zip(some[k:], how.encode_batch_fast(texts[k : k + 10_000], add_special_tokens=False)):
+                    made[i] = e.ids
+        return made
+
+    return HashedMemo(_cuts, encode)
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where pieces begin in UTF-8 bytes, as a mask."""
+    before, two_before = np.zeros_like(data), np.zeros_like(data)
+    before[1:], two_before[2:] = data[:-1], data[:-2]
+    # Two bytes from C3 on are a letter, but for the signs of multiplication and division.
+    latin = (two_before == 0xC3) & (before != 0x97) & (before != 0xB7)
+    space = (data == 32) & (((before > 32) & (before < 127)) | latin)
+    return space | (((data == 46) | (data == 44)) & (before >= 97) & (before <= 122))
+
+
+def _shown_bytes() -> dict[int, int]:
+    """The character by which byte-level vocabularies show each byte: itself if visible, else the next from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
 def encode_texts(texts: list[str | None], vocabulary: str, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
