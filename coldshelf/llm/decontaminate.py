@@ -16,12 +16,11 @@ read; beyond that, all seeds of the documents are joined.
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from coldshelf.llm.rolling import powers, stretch_hashes
 from coldshelf.llm.shared import each_batch, free_names, slices, written
 
 MIN_MATCH = 5
@@ -30,8 +29,6 @@ THRESHOLD = 0.5
 SENT_SEEDS = 1 << 22
 SLICE = 1 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORDS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -40,35 +37,10 @@ def words_of(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
 
 
-@cache
-def _byte_values() -> np.ndarray:
-    return np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    made = np.full(n, base, dtype=np.uint64)
-    made[0] = 1
-    return np.cumprod(made, dtype=np.uint64)
-
-
-_power_cache: dict[str, np.ndarray] = {}
-
-
-def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least n of each."""
-    if not _power_cache or len(_power_cache["up"]) < n:
-        size = max(n, SLICE + 4096)
-        _power_cache.update(up=_powers(_BASE, size), down=_powers(_INVERSE, size))
-    return _power_cache["up"], _power_cache["down"]
-
-
 def seeds_of(lines: list[bytes], length: int = MIN_MATCH) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each ``length`` consecutive words, and which of the lines of words it lies in."""
     whole = b"\n".join(lines) + b"\n"
     data = np.frombuffer(whole, dtype=np.uint8)
-    up, down = _both_powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_values()[data] * up[: len(data)], out=sums[1:])
     ends = np.flatnonzero(data <= 32)  # of words
     starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
     line = np.cumsum(np.concatenate([[0], data[ends[:-1]] == 10]))
@@ -76,9 +48,7 @@ def seeds_of(lines: list[bytes], length: int = MIN_MATCH) -> tuple[np.ndarray, n
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     first, last = slice(0, len(ends) - length + 1), slice(length - 1, None)
     inside = line[first] == line[last]
-    s, e = starts[first][inside], ends[last][inside]
-    mixed = (sums[e] - sums[s]) * down[s]
-    return mixed ^ (mixed >> np.uint64(32)), line[first][inside]
+    return stretch_hashes(data, starts[first][inside], ends[last][inside]), line[first][inside]
 
 
 def tiles(item: list, text: list, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
@@ -110,7 +80,7 @@ def tiles(item: list, text: list, min_match: int = MIN_MATCH) -> list[tuple[int,
 
 def _rolling(codes: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hash of each ``length`` consecutive codes."""
-    up, down = _both_powers(len(codes) + 1)
+    up, down = powers(len(codes) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * up[: len(codes)], dtype=np.uint64)])
     return (sums[length:] - sums[:-length]) * down[: len(codes) - length + 1]
 
@@ -140,7 +110,7 @@ def _seed_rows(rows: DataFrame, name: str) -> DataFrame:
 
 def _with_seeds(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
     """``(doc_id, text, seeds)`` of documents that have a known seed; of all that have any, where ``known`` is None."""
-    sent = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
+    sent = None if known is None else docs.sparkSession.sparkContext.broadcast((known, _first_test(known)))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = [words_of(t) for t in batch.column("text").to_pylist()]
@@ -148,8 +118,9 @@ def _with_seeds(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
         for a, b in slices([len(x) for x in lines], SLICE):
             hashes, line = seeds_of(lines[a:b])
             if sent is not None:
-                at = np.flatnonzero(_table(sent.value)[hashes >> np.uint64(44)])
-                at = at[np.isin(hashes[at], sent.value)]
+                seeds, first_test = sent.value
+                at = np.flatnonzero(first_test[hashes >> np.uint64(44)])
+                at = at[np.isin(hashes[at], seeds)]
                 hashes, line = hashes[at], line[at]
             cuts = np.flatnonzero(np.diff(line)) + 1
             for part, n in zip(np.split(hashes, cuts), line[np.concatenate([[0], cuts])] if len(line) else []):
@@ -162,17 +133,11 @@ def _with_seeds(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
     return rows.mapInArrow(each_batch(make), "doc_id long, text string, seeds array<long>")
 
 
-_tables: dict[int, np.ndarray] = {}
-
-
-def _table(known: np.ndarray) -> np.ndarray:
+def _first_test(known: np.ndarray) -> np.ndarray:
     """Whether a known seed has these upper 20 bits: a first test that leaves few to look up."""
-    if id(known) not in _tables:
-        _tables.clear()
-        made = np.zeros(1 << 20, dtype=bool)
-        made[known >> np.uint64(44)] = True
-        _tables[id(known)] = made
-    return _tables[id(known)]
+    made = np.zeros(1 << 20, dtype=bool)
+    made[known >> np.uint64(44)] = True
+    return made
 
 
 def contaminated(
