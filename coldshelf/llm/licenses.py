@@ -1,20 +1,22 @@
 """License notices in texts: exact phrases, and short notices with a bounded number of edits.
 
 A notice that occurs with at most k edits has one of any k + 1 pieces of it
-unchanged (pigeonhole). Pieces are looked up as plain strings; only around a
-piece found does the ``regex`` library look for the whole notice with bounded
-errors. Texts are compared as words: A-Z lower-cased, all other ASCII but
-letters and digits taken as gaps.
+unchanged (pigeonhole). Pieces are looked up as plain strings; only around the
+pieces found is the whole notice looked for, by bit-parallel dynamic programming
+(Myers, "A fast bit-vector algorithm for approximate string matching", 1999),
+whose time is linear in what it reads, whatever the number of edits. Texts are
+compared as words: A-Z lower-cased, all other ASCII but letters and digits taken
+as gaps.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from coldshelf.llm.shared import each_batch
@@ -25,18 +27,19 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 NOTICES = (
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
-    ("permission is hereby granted free of charge", "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
     ("licensed under the apache license version 2 0", "apache"),
     ("licensed under the gnu general public license version", "gpl"),
-    ("under the terms of the gnu general public license", "gpl"),
+    ("under the terms of the gnu general public license as published by the free software foundation", "gpl"),
     ("licensed under cc by nc", "cc-by-nc"),
     ("creative commons attribution noncommercial", "cc-by-nc"),
-    ("redistribution and use in source and binary forms", "bsd"),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
     ("subject to the terms of the mozilla public license", "mpl"),
 )
-#: One edit for so many characters of a notice, and at most so many: bounded-error search takes ever longer with more.
+#: One edit for so many characters of a notice.
 CHARS_PER_EDIT = 10
-MAX_EDITS = 4
+#: The edits of the longest notice; caps none.
+MAX_EDITS = max(len(text) for text, _ in NOTICES) // CHARS_PER_EDIT
 
 _WORDS = bytes(
     (b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
@@ -59,41 +62,101 @@ def _phrases() -> list[tuple[re.Pattern, bytes, str]]:
     return made
 
 
+class Bounded:
+    """A notice with at most so many edits (characters changed, added or left out)."""
+
+    def __init__(self, notice: bytes, edits: int) -> None:
+        self.notice, self.edits = notice, edits
+        self._places, self._places_back = _places(notice), _places(notice[::-1])
+
+    def _distances(self, line: bytes, places: list[int], anchored: bool) -> Iterator[int]:
+        """After each byte, the fewest edits of the notice to what ends there; begins anywhere, or at the first byte."""
+        every = (1 << len(self.notice)) - 1
+        top = 1 << len(self.notice) - 1
+        more, less, edits = every, 0, len(self.notice)
+        for byte in line:
+            equal = places[byte]
+            across = (((equal & more) + more) ^ more) | equal
+            up = less | (every & ~(across | more))
+            down = more & across
+            if up & top:
+                edits += 1
+            elif down & top:
+                edits -= 1
+            up = up << 1 | anchored
+            equal |= less
+            more = (down << 1 | ~(equal | up)) & every
+            less = up & equal
+            yield edits
+
+    def search(self, line: bytes, start: int = 0, stop: int | None = None) -> tuple[int, int, int] | None:
+        """Start, end and edits of the first match; of those that end close together, one of fewest edits."""
+        stop = len(line) if stop is None else stop
+        best, end, last = self.edits + 1, -1, stop
+        for at, edits in enumerate(self._distances(line[start:stop], self._places, False), start + 1):
+            if at > last:
+                break
+            if edits < best:
+                if end < 0:  # ends of one match lie within twice its edits
+                    last = at + 2 * self.edits
+                best, end = edits, at
+        if end < 0:
+            return None
+        back = line[max(start, end - len(self.notice) - best) : end][::-1]
+        lengths = [n for n, edits in enumerate(self._distances(back, self._places_back, True), 1) if edits == best]
+        return end - min(lengths, key=lambda n: abs(n - len(self.notice))), end, best
+
+
+def _places(notice: bytes) -> list[int]:
+    """For each byte the bits of its places in the notice."""
+    made = [0] * 256
+    for i, byte in enumerate(notice):
+        made[byte] |= 1 << i
+    return made
+
+
 @cache
-def _notices() -> list[tuple[bytes, int, list[tuple[int, bytes]], regex.Pattern, str]]:
-    """Notice, edits allowed, its pieces with their places, and the pattern that verifies it."""
+def _notices() -> list[tuple[bytes, int, list[tuple[int, bytes]], Bounded, str]]:
+    """Notice, edits allowed, its pieces with their places, and what verifies it."""
     made = []
     for text, label in NOTICES:
         notice = text.encode()
-        edits = min(MAX_EDITS, len(notice) // CHARS_PER_EDIT)
+        edits = len(notice) // CHARS_PER_EDIT
         cuts = [len(notice) * i // (edits + 1) for i in range(edits + 2)]
         pieces = [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
-        pattern = regex.compile(rb"(?b)(?:" + regex.escape(notice) + rb"){e<=%d}" % edits)
-        made.append((notice, edits, pieces, pattern, label))
+        made.append((notice, edits, pieces, Bounded(notice, edits), label))
     return made
 
 
 def _fuzzy(line: bytes) -> list[tuple[int, int, str, float]]:
     """Places of notices in a line of words, with at most their number of edits."""
     found = []
-    for notice, edits, pieces, pattern, label in _notices():
-        windows = set()
+    for notice, edits, pieces, bounded, label in _notices():
+        windows = []
         for place, piece in pieces:
             at = line.find(piece)
             while at >= 0:
                 start = at - place - edits
-                windows.add((max(0, start), min(len(line), start + len(notice) + 2 * edits)))
+                windows.append((max(0, start), min(len(line), start + len(notice) + 2 * edits)))
                 at = line.find(piece, at + 1)
-        end = -1
-        for a, b in sorted(windows):
-            if a < end:  # inside the last match
-                continue
-            if m := pattern.search(line, a, b):
-                found.append((*m.span(), label, 1 - sum(m.fuzzy_counts) / len(notice)))
-                end = m.end()
+        for a, b in _merged(windows):
+            while m := bounded.search(line, a, b):
+                start, a, changed = m
+                found.append((start, a, label, 1 - changed / len(notice)))
     return found
 
 
+def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Windows in order, those that overlap made one."""
+    made: list[tuple[int, int]] = []
+    for a, b in sorted(windows):
+        if made and a < made[-1][1]:
+            made[-1] = made[-1][0], max(b, made[-1][1])
+        else:
+            made.append((a, b))
+    return made
+
+
 def scan(text: str | None) -> tuple[int, list[Match], list[Match]]:
     """Number of words, exact phrases, and notices found by bounded-error matching. Null is empty."""
     line = b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())

@@ -71,3 +71,50 @@ def test_every_place_within_the_edits_is_found():
         line = b"before it " + "".join(chars).encode() + b" and after"
         found = {label for _, _, label, _ in licenses._fuzzy(line)}
         assert {label for n, _, _, pattern, label in licenses._notices() if pattern.search(line)} == found
+
+
+def plain_edits(notice, line):
+    """Fewest edits of the notice to any part of the line, cell by cell."""
+    column = list(range(len(notice) + 1))
+    best = column[-1]
+    for c in line:
+        made = [0]
+        for i, x in enumerate(notice):
+            made.append(min(column[i] + (x != c), column[i + 1] + 1, made[i] + 1))
+        column = made
+        best = min(best, column[-1])
+    return best
+
+
+def test_whole_notices_and_all_their_edits():
+    """Edits may stand close together; what only begins like a notice is not one."""
+    changed = "permlsslon ls hereby qranted free of charqe to any person obtaining a copy"
+    assert [(m.label, m.start, m.end) for m in licenses.scan("x " + changed + " y")[2]] == [("mit", 1, 14)]
+    boost = "Permission is hereby granted, free of charge, to any person or organization obtaining a copy"
+    assert licenses.scan(boost)[2] == []
+    twice = "Redistribution and use in source and binary forms, with or without modification, are permitted. " * 2
+    assert [(m.label, m.start, m.end, m.score) for m in licenses.scan(twice)[2]] == [("bsd", 0, 14, 1), ("bsd", 14, 28, 1)]
+
+
+def test_edits_equal_plain_edits():
+    import random
+
+    rng = random.Random(5)
+    seen = set()
+    for _ in range(60):
+        notice, edits, _, _, label = rng.choice(licenses._notices())
+        chars = list(notice.decode())
+        for _ in range(rng.randint(0, edits + 4)):
+            i = rng.randrange(len(chars))
+            chars[i : i + 1] = rng.choice(("", "x", chars[i] + "q"))
+        line = b"before it " + "".join(chars).encode() + b" and after"
+        for other, most, _, _, name in licenses._notices():
+            fewest = plain_edits(other, line)
+            scores = [s for _, _, l, s in licenses._fuzzy(line) if l == name]  # noqa: E741
+            assert fewest > most or max(scores) >= 1 - fewest / len(other)
+            if other == notice:
+                seen.add(fewest <= most)
+                got = licenses._notices()[[n for n, *_ in licenses._notices()].index(notice)][3].search(line)
+                assert (got is not None) == (fewest <= most) and (got is None or got[2] == fewest)
+                assert got is None or plain_edits(notice, line[got[0] : got[1]]) == fewest
+    assert seen == {True, False}
