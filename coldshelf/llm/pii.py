@@ -2,7 +2,7 @@
 
 The base kinds (email, ip, card, phone) always stay. Further kinds are found by
 their own patterns and kept where their score reaches ``KEEP``: a bank account
-number (iban) has to pass mod 97; a national number (ssn) has no checksum and
+number (iban) has to have its country's length and pass mod 97; a national number (ssn) has no checksum and
 needs a context word nearby. Positions are code points, ends exclusive. Every
 search is linear in the length of a text.
 """
@@ -30,9 +30,26 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?= ?[A-Z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
+# Fixed value: length of an account number by its country. Of other countries, each length is tried, longest first.
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBAN_OF_LENGTH = {
+    n: re.compile(
+        r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){%d}%s(?![A-Za-z0-9])" % (n // 4 - 1, r" ?[A-Z0-9]{%d}" % (n % 4) if n % 4 else "")
+    )
+    for n in range(34, 14, -1)
+}
 _CONTEXT_WORDS = {
     "email": re.compile(r"\b(?:e-?mail|mailto|contact|correo|courriel)\b", re.I),
     "ip": re.compile(r"\b(?:ip|server|host|address|adresse)\b", re.I),
@@ -90,6 +107,21 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or "0") <= 255
 
 
+def _accounts(text: str) -> list[tuple[int, int]]:
+    """Account numbers of their country's length and with right check digits, whatever word or number follows."""
+    found, at = [], 0
+    while start := _IBAN.search(text, at):
+        at = start.start() + 1
+        length = _IBAN_LENGTHS.get(start[1])
+        for n in _IBAN_OF_LENGTH if length is None else (length,):
+            m = _IBAN_OF_LENGTH[n].match(text, start.start())
+            if m and mod97(m[0].replace(" ", "")):
+                found.append(m.span())
+                at = m.end()
+                break
+    return found
+
+
 def _proposed(text: str) -> list[tuple[int, int, str]]:
     """Spans of all kinds whose validator, if any, agrees."""
     found = [(a, b, "email") for a, b in _emails(text)]
@@ -100,9 +132,7 @@ def _proposed(text: str) -> list[tuple[int, int, str]]:
                 found.append((*m.span(), "card"))
         if "+" in text:
             found += [(*m.span(), "phone") for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
-        for m in _IBAN.finditer(text):
-            if 15 <= len(account := m[0].replace(" ", "")) <= 34 and mod97(account):
-                found.append((*m.span(), "iban"))
+        found += [(a, b, "iban") for a, b in _accounts(text)]
         found += [(*m.span(), "ssn") for m in _SSN.finditer(text)]
     return found
 

@@ -80,3 +80,17 @@ def test_masked():
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 100_000, "A1" * 150_000, "a@" * 100_000):
         pii.find(text)
+
+
+def test_account_numbers_end_where_their_country_says():
+    for number in ("AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "BE68 5390 0754 7034"):
+        for after in (" BIC GIBAATWW", " BBVA", " BIC X", " 12 May", " 1234 5678", ", BIC X", ""):
+            text = f"IBAN {number}{after}"
+            assert [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"] == [number], text
+            assert pii.redact(text).startswith("IBAN [IBAN]")
+    # A failed start hides nothing after it; a country without a fixed length is tried at each end.
+    text = "AT99 1904 AT61 1904 3002 3457 3201 REF"
+    assert [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"] == ["AT61 1904 3002 3457 3201"]
+    other = next(f"ZZ{n:02} 1904 3002 3457 3201" for n in range(2, 99) if pii.mod97(f"ZZ{n:02}1904300234573201"))
+    assert [(other + " BIC")[s.start : s.end] for s in pii.find(other + " BIC") if s.kind == "iban"] == [other]
+    pii.find("AT61 " * 60_000 + "ZZ11 " * 60_000)
