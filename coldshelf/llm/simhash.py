@@ -19,6 +19,10 @@ candidate is verified. Equal fingerprints are one node before keys are made:
 exact copies cost nothing, however many. A key that many fingerprints have is
 cut into blocks, and each pair of blocks is compared by a task of its own.
 Where rows meet, only the edges that keep them connected are passed on.
+
+Near copies (``keep_one``) are a matter of similarity, the exact share of common
+distinct shingles. Golay keys, and MinHash bands of three samples, only propose
+which texts meet; every link is verified by the shingle hashes themselves.
 """
 
 from __future__ import annotations
@@ -44,9 +48,9 @@ COPY_SHINGLE_WORDS = 5
 COPY_SIMILARITY = 0.8
 #: Samples of a text's shingles; the least hash by each order, of which a byte is kept.
 SAMPLES = 128
-#: Standard errors that a measured similarity may lie below the wanted one, so that few true copies are missed.
+#: Standard errors that an estimate from samples may lie below a similarity and still agree with it.
 ERRORS = 2.0
-#: A sample print is the SimHash of so many samples; so many of them are made.
+#: A sample print is a MinHash band, the majority of so many samples; so many of them are made.
 PRINT_SAMPLES, PRINTS = 3, 10
 #: More fingerprints with one key than this are compared block by block.
 BLOCK = 512
@@ -96,8 +100,9 @@ def sampled(hashes: np.ndarray, step: int = 1 << 13) -> tuple[np.ndarray, np.nda
 
     Each of ``SAMPLES`` orders of all shingles picks the least in the text: two
     texts agree in one with the probability of their similarity. The signature
-    has a byte of each. A sample print is the SimHash of the shingles that three
-    orders pick, so texts share it with the third power of that probability.
+    has a byte of each, from which a similarity can be estimated. A sample print is
+    a MinHash band, the majority of the shingles that three orders pick, so texts
+    share it with the third power of that probability.
     """
     orders = _orders()
     least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -120,19 +125,21 @@ def _orders() -> np.ndarray:
 
 
 def copy_prints(docs: DataFrame, shingle_words: int = COPY_SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, content, fp, prints, signature)``: as ``fingerprints``, with what ``sampled`` makes of each text."""
+    """``(doc_id, content, fp, prints, node)``: as ``fingerprints``, with sample prints and a hash of the distinct shingles.
+
+    Texts of one ``node`` have the same distinct shingles: their similarity is 1.
+    """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes = [shingle_hashes(t, shingle_words) for t in batch.column("text").to_pylist()]
         whole = np.array([majority(h) for h in hashes], dtype=np.uint64).view(np.int64)
-        drawn = [sampled(h) for h in hashes]
-        prints = pa.array([p for p, _ in drawn], pa.list_(pa.int64()))
-        signatures = pa.array([s.tobytes() for _, s in drawn], pa.binary())
-        columns = [batch.column("doc_id"), batch.column("content"), pa.array(whole), prints, signatures]
-        return pa.record_batch(columns, names=["doc_id", "content", "fp", "prints", "signature"])
+        prints = pa.array([sampled(h)[0] for h in hashes], pa.list_(pa.int64()))
+        nodes = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes(), SEED) for h in hashes], dtype=np.uint64)
+        columns = [batch.column("doc_id"), batch.column("content"), pa.array(whole), prints, pa.array(nodes.view(np.int64))]
+        return pa.record_batch(columns, names=["doc_id", "content", "fp", "prints", "node"])
 
     return _texts(docs).mapInArrow(
-        each_batch(make), "doc_id long, content long, fp long, prints array<long>, signature binary"
+        each_batch(make), "doc_id long, content long, fp long, prints array<long>, node long"
     )
 
 
@@ -222,36 +229,36 @@ def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # -- links ------------------------------------------------------------------
 
 
-def _near(x: np.ndarray, y: np.ndarray, similarity: float | None) -> np.ndarray:
-    """Whether fingerprints differ in few bits; with a similarity, whether signatures agree in about that share of bytes."""
+def _near(x: np.ndarray, y: np.ndarray, similarity: float | None = None) -> np.ndarray:
+    """Whether fingerprints differ in few bits; with a similarity, whether signatures let expect it (an estimate, no proof)."""
     if similarity is None:
         return np.bitwise_count(x ^ y) <= MAX_BITS
     return (x == y).sum(axis=-1) >= similarity * SAMPLES - ERRORS * (similarity * (1 - similarity) * SAMPLES) ** 0.5
 
 
-def _chains(fps: np.ndarray, marks: np.ndarray, cells: np.ndarray, similarity: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links that connect what is near in each run of equal cells; ``marks`` are what is compared."""
+def _chains(fps: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links that connect what is near in each run of equal cells."""
     starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
     sizes = np.diff(np.append(starts, len(cells)))
     left, right = [], []
     small = np.repeat(sizes <= 8, sizes)
     for lag in range(1, 8):  # of small cells, all of them at once
         i = np.flatnonzero((cells[:-lag] == cells[lag:]) & small[lag:]) if len(cells) > lag else np.empty(0, int)
-        i = i[_near(marks[i], marks[i + lag], similarity)]
+        i = i[_near(fps[i], fps[i + lag])]
         left.append(fps[i])
         right.append(fps[i + lag])
     for s, n in zip(starts[sizes > 8], sizes[sizes > 8]):
-        root = _spanning(marks[s : s + n], similarity)
+        root = _spanning(fps[s : s + n])
         linked = root != np.arange(n)
         left.append(fps[s + root[linked]])
         right.append(fps[s : s + n][linked])
     return np.concatenate(left), np.concatenate(right)
 
 
-def _spanning(marks: np.ndarray, similarity: float | None) -> np.ndarray:
-    """For each place the first place that is reachable from it by steps between near marks."""
-    root = np.arange(len(marks))
-    waiting = np.arange(len(marks))
+def _spanning(fps: np.ndarray) -> np.ndarray:
+    """For each place the first place that is reachable from it by steps between near fingerprints."""
+    root = np.arange(len(fps))
+    waiting = np.arange(len(fps))
     while len(waiting):
         first, front, waiting = waiting[0], waiting[:1], waiting[1:]
         while len(front):
@@ -259,66 +266,100 @@ def _spanning(marks: np.ndarray, similarity: float | None) -> np.ndarray:
             reached = np.zeros(len(waiting), dtype=bool)
             for i in range(0, len(front), 64):
                 rest = np.flatnonzero(~reached)
-                near = _near(marks[waiting[rest]][:, None], marks[front[i : i + 64]][None, :], similarity)
+                near = _near(fps[waiting[rest]][:, None], fps[front[i : i + 64]][None, :])
                 reached[rest[near.any(axis=1)]] = True
             front, waiting = waiting[reached], waiting[~reached]
     return root
 
 
-def _links_in_cells(similarity: float | None):
+def _links_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For ``mapInArrow``: rows come sorted by cell; a cell that goes on in the next batch waits for it."""
 
-    def linked(fps: np.ndarray, marks: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
-        a, b = _chains(fps, marks, cells, similarity)
+    def linked(fps: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
+        a, b = _chains(fps, cells)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    def marks_of(batch: pa.RecordBatch) -> np.ndarray:
-        if similarity is None:
-            return batch.column("fp").to_numpy()
-        return np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")], axis=1)
+        held.append((batch.column("fp").to_numpy(), keys))
+        fps, keys = (np.concatenate(parts) for parts in zip(*held))
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+        last = np.flatnonzero(new)[-1]
+        if last:
+            yield linked(fps[:last], np.cumsum(new)[:last])
+        held = [(fps[last:], keys[last:])]
+    if held:
+        yield linked(held[0][0], np.zeros(len(held[0][0]), dtype=np.int64))
+
+
+def similar(shingles: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Pairs of places that connect all sets of distinct shingles reachable by steps of at least the similarity."""
+    sizes = np.array([len(h) for h in shingles])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    known, ids = np.unique(np.concatenate(shingles), return_inverse=True)
+    waiting, found = np.arange(len(shingles)), []
+    while len(waiting):
+        front, waiting = [waiting[0]], waiting[1:]
+        while front and len(waiting):
+            i = front.pop()
+            own = np.zeros(len(known), dtype=bool)
+            own[ids[starts[i] : ends[i]]] = True
+            common = np.concatenate([[0], np.cumsum(own[ids])])
+            common = common[ends[waiting]] - common[starts[waiting]]
+            union = sizes[i] + sizes[waiting] - common
+            near = common / np.maximum(union, 1) >= similarity
+            found += [(i, j) for j in waiting[near]]
+            front += waiting[near].tolist()
+            waiting = waiting[~near]
+    return found
+
+
+def _copies_in_cells(similarity: float):
+    """For ``mapInArrow``: rows come sorted by cell; yields the links of each cell, verified by its shingles."""
+
+    def linked(nodes: list[int], shingles: list[np.ndarray]) -> list[tuple[int, int]]:
+        pairs = similar(shingles, similarity) if len(set(nodes)) > 1 else []
+        return [(nodes[i], nodes[j]) for i, j in pairs if nodes[i] != nodes[j]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        def made(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        cell, nodes, shingles = None, [], []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")], axis=1)
-            held.append((batch.column("fp").to_numpy(), marks_of(batch), keys))
-            fps, marks, keys = (np.concatenate(parts) for parts in zip(*held))
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
-            last = np.flatnonzero(new)[-1]
-            if last:
-                yield linked(fps[:last], marks[:last], np.cumsum(new)[:last])
-            held = [(fps[last:], marks[last:], keys[last:])]
-        if held:
-            fps, marks, _ = held[0]
-            yield linked(fps, marks, np.zeros(len(fps), dtype=np.int64))
+            pairs = []
+            for at, key in enumerate(zip(batch.column("key").to_pylist(), batch.column("cell").to_pylist())):
+                if key != cell:
+                    pairs += linked(nodes, shingles)
+                    cell, nodes, shingles = key, [], []
+                nodes.append(batch.column("node")[at].as_py())
+                shingles.append(np.frombuffer(batch.column("shingles")[at].as_py(), dtype=np.uint64))
+            yield made(pairs)
+        yield made(linked(nodes, shingles))
 
     return run
 
 
-def _linked(keys: DataFrame, similarity: float | None = None) -> DataFrame:
-    """``(a, b)``: verified links among the rows ``(key, fp, ...)`` that share a key."""
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+def _cells(keys: DataFrame, shared: DataFrame, item: str) -> DataFrame:
+    """The rows ``(key, item)`` of the keys ``shared(key, n)``, once for each cell in which they meet others."""
+    mine = F.pmod(F.xxhash64(item), F.col("blocks")).cast("int")
     # Block pairs (i, j), i <= j, that hold this row's block; one cell where there is one block.
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda x: F.least(x, F.col("mine")).cast("long") * F.col("blocks") + F.greatest(x, F.col("mine")),
     )
-    cells = (
+    return (
         keys.join(shared, "key")
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("mine", mine)
         .select(*keys.columns, F.explode(others).alias("cell"))
     )
-    return (
-        cells.repartition("key", "cell")
-        .sortWithinPartitions("key", "cell")
-        .mapInArrow(_links_in_cells(similarity), "a long, b long")
-    )
 
 
 def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
@@ -330,27 +371,73 @@ def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
         return pa.record_batch([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
 
     keys = distinct.select("fp").mapInArrow(each_batch(make), "key long, fp long")
-    return _linked(written(spark, keys, "golay-keys"))
+    keys = written(spark, keys, "golay-keys")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return (
+        _cells(keys, shared, "fp")
+        .repartition("key", "cell")
+        .sortWithinPartitions("key", "cell")
+        .mapInArrow(_links_in_cells, "a long, b long")
+    )
+
+
+def copy_links(
+    spark: SparkSession, docs: DataFrame, prints: DataFrame, shingle_words: int, similarity: float
+) -> DataFrame:
+    """``(a, b)``: links between nodes of ``prints`` that share a key and have the similarity by their distinct shingles.
+
+    Keys are the Golay keys of the fingerprint and the sample prints. ``prints`` has to be written already.
+    """
 
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nodes = batch.column("node").to_numpy()
+        rows, keys = fuzzy_keys(batch.column("fp").to_numpy())
+        return pa.record_batch([pa.array(keys), pa.array(nodes[rows])], names=["key", "node"])
+
+    def shingled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(t, shingle_words)).tobytes() for t in batch.column("text").to_pylist()]
+        return pa.record_batch([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    golay = prints.select("node", "fp").distinct().mapInArrow(each_batch(make), "key long, node long")
+    bands = prints.select("node", "prints").distinct().select("node", F.posexplode("prints").alias("nth", "print"))
+    bands = bands.select(F.xxhash64("nth", "print").alias("key"), "node")
+    keys = _shared(spark, golay, "golay-keys").union(_shared(spark, bands, "band-keys"))
+    # Keys of the same nodes need one comparison: copies that share many keys meet once.
+    members = [F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high")]
+    members += [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    shared = keys.groupBy("key").agg(*members).where("low < high")
+    shared = shared.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
+    met = written(spark, _cells(keys, shared, "node"), "copy-cells")
+    # One row of documents for each node that meets another: only these are cut into shingles again.
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content")).alias("first")
+    chosen = prints.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(first)
+    chosen = chosen.select("node", F.col("first.doc_id").alias("id"), F.col("first.content").alias("hash"))
+    texts = _texts(docs)
+    same = texts["doc_id"].eqNullSafe(chosen["id"]) & (texts["content"] == chosen["hash"])
+    texts = texts.join(chosen.hint("shuffle_hash"), same).select("node", "text")
+    sets = written(spark, texts.mapInArrow(each_batch(shingled), "node long, shingles binary"), "copy-shingles")
+    return (
+        met.join(sets.dropDuplicates(["node"]), "node")
+        .repartition("key", "cell")
+        .sortWithinPartitions("key", "cell")
+        .mapInArrow(_copies_in_cells(similarity), "a long, b long")
+    )
 
-def sample_links(prints: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """``(a, b)``: links between fingerprints of texts that share a sample print and whose signatures are similar."""
-    texts = prints.select("fp", "prints", "signature").distinct()
-    keys = texts.select(F.posexplode("prints").alias("nth", "print"), "fp", "signature")
-    return _linked(keys.select(F.xxhash64("nth", "print").alias("key"), "fp", "signature"), similarity)
 
+def _shared(spark: SparkSession, keys: DataFrame, label: str) -> DataFrame:
+    """The rows ``(key, node)`` whose key others have too, written: most keys are nobody else's."""
+    keys = written(spark, keys, label)
+    often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return written(spark, keys.join(often, "key", "left_semi"), f"shared-{label}")
 
-def _grouped(spark: SparkSession, prints: DataFrame, further: DataFrame | None = None) -> DataFrame:
-    """``(doc_id, content, fp, root, component_id)``; ``root`` is the smallest fingerprint of the component.
 
-    ``prints`` has to be written already; ``further`` are links beside those of few bits.
-    """
+def _grouped(spark: SparkSession, prints: DataFrame) -> DataFrame:
+    """``(doc_id, content, fp, component_id)``. ``prints`` has to be written already."""
     distinct = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    edges = links(spark, distinct)
-    groups = components(spark, edges if further is None else edges.union(further)).toDF("fp", "root")
+    groups = components(spark, links(spark, distinct)).toDF("fp", "root")
     rooted = distinct.join(groups, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_print = rooted.join(lowest, "root").select("fp", "root", "component_id")
+    of_print = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.select("doc_id", "content", "fp").join(of_print, "fp")
 
 
@@ -375,14 +462,16 @@ def keep_one(
 ) -> DataFrame:
     """One row of ``documents`` for each component, with all its columns: the one of smallest doc_id, null ids last.
 
-    Links are those of three bits or fewer and, as a fingerprint of a whole text
-    moves by more than that where a few of its words differ, those of texts that
-    share a sample print and are similar by their signatures (see ``sampled``).
+    Links are those of texts whose distinct shingles have the similarity, exactly
+    measured. Which texts are measured is told by fingerprints of three bits or
+    fewer apart and, as a fingerprint of a whole text moves by more than that where
+    a few of its words differ, by common sample prints (see ``sampled``).
     Of different texts with one id the one of smallest ``content`` stays, and of
     repeated rows with the same id and text any one.
     """
     prints = written(spark, copy_prints(docs, shingle_words), "copy-prints")
-    grouped = _grouped(spark, prints, sample_links(prints, similarity))
+    groups = components(spark, copy_links(spark, docs, prints, shingle_words, similarity)).toDF("node", "root")
+    grouped = prints.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = grouped.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content", "n")).alias("first")
     kept = rows.groupBy("root").agg(first).select("first.doc_id", "first.content", "first.n")

@@ -121,3 +121,47 @@ def test_signatures_measure_similarity():
     assert abs((sa == sb).mean() - 2000 / 2400) < 0.15 and (pa_ == pb).any()
     assert (simhash.sampled(a[::-1], step=100)[1] == sa).all()
     assert simhash.sampled(own[:0])[0].tolist() == [0] * simhash.PRINTS
+
+
+def exact_groups(texts, similarity=0.8):
+    """Smallest place of each text's group, by comparing the shingles of all pairs."""
+    sets = [shingle_set(t) for t in texts]
+    label = list(range(len(texts)))
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    while any(label[i] != label[j] for i, j in pairs):
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    return label
+
+
+def test_copies_are_what_exact_similarity_says(spark, monkeypatch):
+    """Pairs from 0.6 to 0.95, and texts of one repeated line: nothing below 0.8 goes, also across blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    rng = random.Random(12)
+    new = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for k in range(120):
+        words = new(200)
+        own = round(200 * (0.02 + 0.25 * k / 120))
+        texts += [" ".join(words), " ".join(words[: 200 - own] + new(own))]
+    line = new(6)
+    texts += [" ".join(line * 60 + new(20)) for _ in range(6)]
+    prints = [simhash.fingerprint(t, 5) for t in texts[-6:]]
+    assert any((x ^ y).bit_count() <= 3 for x in prints for y in prints if x != y)
+    base = new(300)
+    for _ in range(20):
+        texts.append(" ".join(w if rng.random() > 0.01 else "changed" for w in base))
+    label = exact_groups(texts)
+    kept = {r.doc_id for r in simhash.keep_one(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == set(label) and 60 < len(label) - len(kept) < 150
+
+
+def test_given_documents_below_the_similarity_all_stay(spark):
+    docs = rows("documents", "doc_id, text")
+    label = exact_groups([t for _, t in docs])
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(spark, frame).collect()}
+    groups = {}
+    for (i, _), g in zip(docs, label):
+        groups.setdefault(g, set()).add(i)
+    assert kept == {min(g) for g in groups.values()} and len(kept) < len(docs)
