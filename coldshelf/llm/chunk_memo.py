@@ -62,9 +62,9 @@ class ChunkMemo:
 class HashedMemo:
     """As ``ChunkMemo``, for texts cut by their UTF-8 bytes, and with all pieces of a call looked up at once.
 
-    ``cuts`` marks the bytes at which pieces begin. Pieces are told apart by a
-    64-bit hash: among ``limit`` of them two have the same one with a
-    probability below one in ten million.
+    ``cuts`` marks the bytes at which pieces begin. A 64-bit hash only finds a
+    piece: its bytes are kept and compared at every use. A piece whose hash
+    belongs to other bytes is encoded by itself, each time it comes.
     """
 
     def __init__(
@@ -82,10 +82,12 @@ class HashedMemo:
         self._numbers = np.zeros(1 << self._bits, dtype=np.int32)
         self._pool = np.empty(0, dtype=np.uint32)
         self._ends = np.zeros(1, dtype=np.int64)
+        self._bytes = np.empty(0, dtype=np.uint8)
+        self._byte_ends = np.zeros(1, dtype=np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many belong to each text."""
-        if len(self._ends) > self._limit:
+        if len(self._ends) > self._limit or len(self._bytes) > 32 * self._limit:
             self._forget()
         coded = [t.encode("utf-8", "surrogatepass") for t in texts]
         whole = b"".join(coded)
@@ -100,9 +102,11 @@ class HashedMemo:
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
             fresh, first = np.unique(hashes[unknown], return_index=True)
-            places = zip(starts[unknown[first]].tolist(), ends[unknown[first]].tolist())
-            self._learn(fresh, [whole[s:e].decode("utf-8", "surrogatepass") for s, e in places])
+            self._enter_all(fresh, self._learn(whole, starts[unknown[first]], ends[unknown[first]]))
             at[unknown] = self._find(hashes[unknown])
+        other = self._differing(data, starts, ends, at)
+        if len(other):
+            at[other] = self._learn(whole, starts[other], ends[other])
         sizes = self._ends[at + 1] - self._ends[at]
         borders = np.concatenate([[0], np.cumsum(sizes)])
         places = np.arange(borders[-1]) + np.repeat(self._ends[at] - borders[:-1], sizes)
@@ -123,14 +127,31 @@ class HashedMemo:
             left, slot = left[on], (slot[on] + 1) & (len(self._keys) - 1)
         return found
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Enter distinct hashes that are not known yet, with the ids of their pieces."""
-        ids = list(self._encode(pieces))
-        numbers = np.arange(len(hashes)) + len(self._ends) - 1
+    def _differing(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which pieces have other bytes than those kept under the numbers ``at``; the pieces make up all of ``data``."""
+        kept = self._byte_ends[at]
+        wrong = self._byte_ends[at + 1] - kept != ends - starts
+        kept[wrong] = 0  # compared with anything: wrong as it is
+        places = np.arange(len(data)) + np.repeat(kept - starts, ends - starts)
+        off = np.flatnonzero(self._bytes.take(places, mode="clip") != data)
+        wrong[np.searchsorted(starts, off, side="right") - 1] = True
+        return np.flatnonzero(wrong)
+
+    def _learn(self, whole: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Keep the bytes and the ids of the pieces; their numbers."""
+        pieces = [whole[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        ids = list(self._encode([p.decode("utf-8", "surrogatepass") for p in pieces]))
+        numbers = np.arange(len(pieces)) + len(self._ends) - 1
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         added = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
         self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
         self._pool = np.concatenate([self._pool, added])
+        self._byte_ends = np.concatenate([self._byte_ends, self._byte_ends[-1] + np.cumsum(ends - starts)])
+        self._bytes = np.concatenate([self._bytes, np.frombuffer(b"".join(pieces), dtype=np.uint8)])
+        return numbers
+
+    def _enter_all(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Enter distinct hashes that are not known yet."""
         if len(self._ends) > len(self._keys) // 2:  # one call with very many new pieces
             self._bits += 2
             self._rebuild()

@@ -5,7 +5,7 @@ A text is cut before each space that follows a visible ASCII character or a
 letter of the Latin-1 range, and between a small ASCII letter and a point or
 comma: the vocabulary's pattern begins a new pre-token at both, whatever stands
 around, so the ids of the pieces are those of the whole text. Each distinct piece
-is encoded once and then known by a 64-bit hash (see ``chunk_memo``).
+is encoded once, found again by a hash and compared (see ``chunk_memo``).
 
 A folder of token files holds Parquet files of one range of ids each. A row
 is a document: ``part``, the range; ``row``, its place in it; ``doc_id``;

@@ -59,6 +59,20 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
     assert sizes.tolist() == [len(plain(t)) for t in texts]
 
 
+def test_different_pieces_with_one_hash_keep_their_own_ids():
+    word = "a"
+    while len(word) < 4096:  # Thue-Morse: sums of powers modulo 2^64 cannot tell it from its mirror image
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = []
+    for n in (512, 1024, 2048, 4096):
+        for text in (word[:n], word[:n].translate(str.maketrans("ab", "ba"))):
+            texts += [text, f"see {text} here", text]
+    for _ in range(2):
+        ids, sizes = token_files.encode_texts(texts, VOCABULARY)
+        assert ids.tolist() == [x for t in texts for x in plain(t)]
+        assert sizes.tolist() == [len(plain(t)) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3) | st.integers(0, 70_000) | st.integers(0, 2**64 - 1), max_size=300), max_size=5))
 def test_code_round_trip(lists):
