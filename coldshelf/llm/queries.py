@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coldshelf.llm import decontaminate, langid, licenses, pieces, pii, pivots, quality, simhash, token_files, url_filter
+from coldshelf.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    packing,
+    pieces,
+    pii,
+    pivots,
+    quality,
+    simhash,
+    token_files,
+    url_filter,
+)
 from coldshelf.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +99,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces, packed into sequences of 2048."""
+    pieces = packing.cut(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(spark, pieces)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -98,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_search": op8_pivot_search,
     "op9_personal_data": op9_personal_data,
     "op10_license_scan": op10_license_scan,
+    "op13_best_fit": op13_best_fit,
 }
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
