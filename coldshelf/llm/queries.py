@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coldshelf.llm import (
+    collocations,
     decontaminate,
     langid,
     licenses,
@@ -99,6 +100,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words stand together most above chance."""
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces, packed into sequences of 2048."""
     pieces = packing.cut(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_search": op8_pivot_search,
     "op9_personal_data": op9_personal_data,
     "op10_license_scan": op10_license_scan,
+    "op12_collocations": op12_collocations,
     "op13_best_fit": op13_best_fit,
 }
 
@@ -186,7 +193,50 @@ URL_FILTER_SQL = rf"""
     FROM ruled LEFT JOIN aliased USING (node)
 """
 
+COLLOCATIONS_SQL = r"""
+    WITH parts AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS part
+        FROM documents
+    ), pieces AS (
+        SELECT lang, list_filter(regexp_split_to_array(part, '[\x20\x09]+'), lambda w: w <> '') AS words FROM parts
+    ), placed AS (
+        SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+    ), grams AS (
+        SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase
+        FROM placed, (SELECT unnest([1, 2, 3, 4, 5]) AS k) AS sizes WHERE i + k - 1 <= len(words)
+    ), counted AS (
+        SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100
+    ), totals AS (
+        SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+    ), longer AS (
+        SELECT lang, f AS inside_f, unnest([
+            array_to_string(string_split(phrase, ' ')[1 : k - 1], ' '), array_to_string(string_split(phrase, ' ')[2 : k], ' ')
+        ]) AS phrase FROM counted WHERE k > 2
+    ), grown AS (
+        SELECT lang, phrase, max(inside_f) AS inside_f FROM longer GROUP BY lang, phrase
+    ), kept AS (
+        SELECT c.* FROM counted AS c LEFT JOIN grown AS g USING (lang, phrase)
+        WHERE k > 1 AND (inside_f IS NULL OR 100 * inside_f < 100 * f)
+    ), cuts AS (
+        SELECT lang, phrase, k, f, unnest(range(1, k)) AS cut FROM kept
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.cut, c.f AS a, x.f AS l, y.f AS r, n,
+            ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts AS c JOIN totals USING (lang)
+        JOIN counted AS x ON x.lang = c.lang AND x.phrase = array_to_string(string_split(c.phrase, ' ')[1 : c.cut], ' ')
+        JOIN counted AS y ON y.lang = c.lang AND y.phrase = array_to_string(string_split(c.phrase, ' ')[c.cut + 1 : c.k], ' ')
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    )
+    SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score
+    FROM lowest WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+    QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_collocations": COLLOCATIONS_SQL,
     "op6_url_filter": URL_FILTER_SQL,
     "op8_pivot_search": """
         WITH usable AS (
