@@ -16,11 +16,13 @@ from coldshelf.llm import (
     pieces,
     pii,
     pivots,
+    prefix_trie,
     quality,
     simhash,
     token_files,
     url_filter,
 )
+from coldshelf.llm.shared import written
 from coldshelf.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +102,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each begun with turns of the one whose id is the next lower multiple of five."""
+    turns = written(spark, prefix_trie.ordered_turns(spark, table(spark, sf_dir, "conversations")), "ordered-turns")
+    return prefix_trie.prefix_trie(spark, *rebuilt(spark, turns))
+
+
+def rebuilt(spark: SparkSession, turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of all rebuilt conversations, and the ids of all, turnless ones included."""
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    head = (id_crc("conv_id") % 9).alias("head")
+    convs = sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), head)
+    found = convs.join(sizes.toDF("base", "n"), "base", "left")
+    taken = F.least("head", F.coalesce("n", F.lit(0))).alias("taken")
+    convs = written(spark, found.select("conv_id", "base", "head", taken), "convs")
+    first = turns.where((F.col("pos") <= 8) & (F.col("conv_id") % 5 == 0)).withColumnRenamed("conv_id", "base")
+    before = convs.join(first, "base").where(F.col("pos") <= F.col("taken"))
+    own = turns.join(convs, "conv_id").where(F.col("pos") > F.col("head"))
+    own = own.withColumn("pos", F.col("pos") - F.col("head") + F.col("taken"))
+    columns = ["conv_id", "pos", "content", "n_bytes"]
+    return before.select(columns).union(own.select(columns)), convs.select("conv_id")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The phrases of each language whose words stand together most above chance."""
     return collocations.collocations(spark, table(spark, sf_dir, "documents"))
@@ -122,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_search": op8_pivot_search,
     "op9_personal_data": op9_personal_data,
     "op10_license_scan": op10_license_scan,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_collocations": op12_collocations,
     "op13_best_fit": op13_best_fit,
 }
