@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from coldshelf.llm.shared import slices, small, written
 
 #: Positions of a block; a single longer piece is a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 #: Bytes of text split at a time.
 SLICE = 1 << 20
 #: Blocks of a task are numbered by the positions before them, below this many bits for the task.
