@@ -33,9 +33,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from coldshelf.llm.shared import slices, small, written
 
 #: Positions of a block; a single longer piece is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bytes of text split at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Blocks of a task are numbered by the positions before them, below this many bits for the task.
 _TASK_BITS = 41
 
@@ -235,33 +235,39 @@ def _in_pieces(codes: np.ndarray, block: int) -> Iterator[np.ndarray]:
         yield codes
 
 
-def _joined(codes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _joined(codes: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     """Merge-join of a relation with itself at the next position.
 
-    The distinct pairs of codes in order, as left and right code, with their
-    counts; and for every position the pair that begins there, from 1, or 0.
+    The positions where two phrases follow each other, and their codes as one
+    number: left code times the last result, plus right code.
     """
-    held = np.frombuffer(codes, dtype=np.int32).astype(np.int64)
-    left, right = held[:-1], held[1:]
-    at = np.flatnonzero((left > 0) & (right > 0))
+    held = np.frombuffer(codes, dtype=np.int32)
+    at = np.flatnonzero((held[:-1] > 0) & (held[1:] > 0))
     width = int(held.max(initial=0)) + 1
-    pairs, which, counts = np.unique(left[at] * width + right[at], return_inverse=True, return_counts=True)
-    begins = np.zeros(len(held), dtype=np.int32)
-    begins[at] = which + 1
-    return pairs // width, pairs % width, counts, begins
+    return at, held[at].astype(np.int64) * width + held[at + 1], width
+
+
+def _begins(codes: bytes) -> np.ndarray:
+    """For every position the number, from 1, of the distinct pair that begins there, or 0."""
+    at, pairs, _ = _joined(codes)
+    begins = np.zeros(len(codes) // 4, dtype=np.int32)
+    begins[at] = np.unique(pairs, return_inverse=True)[1] + 1
+    return begins
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct phrases of one word more in each block, with their counts."""
+    names = ["block", "place", "left_id", "right_id", "n"]
     for batch in batches:
         for block, codes, ids in zip(*(batch.column(c) for c in ("block", "codes", "ids"))):
-            left, right, counts, _ = _joined(codes.as_py())
+            _, pairs, width = _joined(codes.as_py())
+            pairs, counts = np.unique(pairs, return_counts=True)
             known = np.frombuffer(ids.as_py(), dtype=np.int64)
-            place = np.arange(1, len(left) + 1, dtype=np.int32)
-            columns = [np.full(len(left), block.as_py()), place, known[left - 1], known[right - 1], counts]
-            made = pa.record_batch(columns, names=["block", "place", "left_id", "right_id", "n"])
-            for i in range(0, len(left), 100_000):
-                yield made.slice(i, 100_000)
+            for i in range(0, len(pairs), 50_000):
+                some = pairs[i : i + 50_000]
+                place = np.arange(i + 1, i + 1 + len(some), dtype=np.int32)
+                columns = [np.full(len(some), block.as_py()), place, known[some // width - 1], known[some % width - 1]]
+                yield pa.record_batch([*columns, counts[i : i + 50_000]], names=names)
 
 
 def _semi_join(held: DataFrame, common: DataFrame) -> DataFrame:
@@ -275,7 +281,7 @@ def _semi_join(held: DataFrame, common: DataFrame) -> DataFrame:
         if relation.num_rows == 0 or frequent.num_rows == 0:
             return relation.slice(0, 0)
         (row,) = relation.to_pylist()
-        begins = np.frombuffer(row["codes"], dtype=np.int32) if row["ids"] is None else _joined(row["codes"])[3]
+        begins = np.frombuffer(row["codes"], dtype=np.int32) if row["ids"] is None else _begins(row["codes"])
         places = frequent.column("place").to_numpy()
         codes = np.zeros(int(begins.max(initial=0)) + 1, dtype=np.int32)
         codes[places] = np.arange(1, len(places) + 1)

