@@ -1,22 +1,24 @@
 """License notices in texts: exact phrases, and short notices with a bounded number of edits.
 
 A notice that occurs with at most k edits has one of any k + 1 pieces of it
-unchanged (pigeonhole). Pieces are looked up as plain strings; only around the
-pieces found is the whole notice looked for, by bit-parallel dynamic programming
-(Myers, "A fast bit-vector algorithm for approximate string matching", 1999),
-whose time is linear in what it reads, whatever the number of edits. Texts are
-compared as words: A-Z lower-cased, all other ASCII but letters and digits taken
-as gaps.
+unchanged (pigeonhole). Pieces are looked up as plain strings; around each piece
+found, the regex library's bounded-error matching verifies the edits and gives
+the span. It does so in two steps, as its time grows fast with length and edits.
+The notice is cut into parts of some 25 characters, and each is matched by itself
+near where it must stand; the sum of their fewest edits is a lower bound, and
+with it most places go. The whole notice is matched where the bound leaves it
+possible. Texts are compared as words: A-Z lower-cased, all other ASCII but
+letters and digits taken as gaps.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from coldshelf.llm.shared import each_batch
@@ -38,8 +40,10 @@ NOTICES = (
 )
 #: One edit for so many characters of a notice.
 CHARS_PER_EDIT = 10
-#: The edits of the longest notice; caps none.
-MAX_EDITS = max(len(text) for text, _ in NOTICES) // CHARS_PER_EDIT
+#: Characters of a part, and the edits up to which it is looked for first.
+PART_CHARS, EASY_EDITS = 25, 2
+#: Verified windows that a worker remembers.
+REMEMBERED = 20_000
 
 _WORDS = bytes(
     (b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
@@ -62,101 +66,102 @@ def _phrases() -> list[tuple[re.Pattern, bytes, str]]:
     return made
 
 
-class Bounded:
-    """A notice with at most so many edits (characters changed, added or left out)."""
-
-    def __init__(self, notice: bytes, edits: int) -> None:
-        self.notice, self.edits = notice, edits
-        self._places, self._places_back = _places(notice), _places(notice[::-1])
-
-    def _distances(self, line: bytes, places: list[int], anchored: bool) -> Iterator[int]:
-        """After each byte, the fewest edits of the notice to what ends there; begins anywhere, or at the first byte."""
-        every = (1 << len(self.notice)) - 1
-        top = 1 << len(self.notice) - 1
-        more, less, edits = every, 0, len(self.notice)
-        for byte in line:
-            equal = places[byte]
-            across = (((equal & more) + more) ^ more) | equal
-            up = less | (every & ~(across | more))
-            down = more & across
-            if up & top:
-                edits += 1
-            elif down & top:
-                edits -= 1
-            up = up << 1 | anchored
-            equal |= less
-            more = (down << 1 | ~(equal | up)) & every
-            less = up & equal
-            yield edits
-
-    def search(self, line: bytes, start: int = 0, stop: int | None = None) -> tuple[int, int, int] | None:
-        """Start, end and edits of the first match; of those that end close together, one of fewest edits."""
-        stop = len(line) if stop is None else stop
-        best, end, last = self.edits + 1, -1, stop
-        for at, edits in enumerate(self._distances(line[start:stop], self._places, False), start + 1):
-            if at > last:
+class Notice:
+    """A notice, its label, the edits allowed (characters changed, added or left out), and what finds it."""
+
+    def __init__(self, text: str, label: str) -> None:
+        self.text, self.label = text.encode(), label
+        n = len(self.text)
+        self.edits = n // CHARS_PER_EDIT
+        self.seeds = [(a, self.text[a:b]) for a, b in _cut(n, self.edits + 1)]
+        parts = _cut(n, max(1, n // PART_CHARS))
+        self._parts = [(a, b, _pattern(self.text[a:b], min(EASY_EDITS, self.edits)), _pattern(self.text[a:b], self.edits)) for a, b in parts]
+        self._whole = _pattern(self.text, self.edits)
+
+    def verify(self, line: bytes, start: int) -> tuple[int, int, int] | None:
+        """Start, end and edits of the match with fewest edits that begins at ``start``, or up to its edits early or late.
+
+        ``start`` is where a seed says; the match is one that has this seed unchanged.
+        """
+        first = start - self.edits
+        before = max(0, -first)  # what the line lacks of the window
+        stop = start + len(self.text) + self.edits
+        at = line.find(self.text, max(0, first), stop)
+        if at >= 0:
+            return at, at + len(self.text), 0
+        found = self._best(line[max(0, first) : stop], before)
+        return found and (first + before + found[0], first + before + found[1], found[2])
+
+    def _best(self, window: bytes, before: int) -> tuple[int, int, int] | None:
+        key = (self.text, window, before)
+        if key not in _verified:
+            if len(_verified) >= REMEMBERED:
+                _verified.clear()
+            m = self._whole.search(window) if self._fewest(window, before) <= self.edits else None
+            _verified[key] = m and (m.start(), m.end(), sum(m.fuzzy_counts))
+        return _verified[key]
+
+    def _fewest(self, window: bytes, before: int) -> int:
+        """A number of edits that the match has at least: the fewest of its parts, each where the seed lets it be."""
+
+        def near(pattern: regex.Pattern, a: int, b: int) -> regex.Match | None:
+            return pattern.search(window, max(0, a - before), max(0, b + 2 * self.edits - before))
+
+        fewest, hard, least = 0, [], min(EASY_EDITS, self.edits) + 1
+        for a, b, easy, any_edits in self._parts:
+            m = near(easy, a, b)
+            fewest += sum(m.fuzzy_counts) if m else least
+            if not m:
+                hard.append((a, b, any_edits))
+            if fewest > self.edits:
+                return fewest
+        for a, b, any_edits in hard:
+            m = near(any_edits, a, b)
+            fewest += (sum(m.fuzzy_counts) if m else self.edits + 1) - least
+            if fewest > self.edits:
                 break
-            if edits < best:
-                if end < 0:  # ends of one match lie within twice its edits
-                    last = at + 2 * self.edits
-                best, end = edits, at
-        if end < 0:
-            return None
-        back = line[max(start, end - len(self.notice) - best) : end][::-1]
-        lengths = [n for n, edits in enumerate(self._distances(back, self._places_back, True), 1) if edits == best]
-        return end - min(lengths, key=lambda n: abs(n - len(self.notice))), end, best
-
-
-def _places(notice: bytes) -> list[int]:
-    """For each byte the bits of its places in the notice."""
-    made = [0] * 256
-    for i, byte in enumerate(notice):
-        made[byte] |= 1 << i
-    return made
+        return fewest
+
+
+_verified: dict[tuple[bytes, bytes, int], tuple[int, int, int] | None] = {}
+
+
+def _cut(n: int, parts: int) -> list[tuple[int, int]]:
+    cuts = [n * i // parts for i in range(parts + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def _pattern(text: bytes, edits: int) -> regex.Pattern:
+    return regex.compile(b"(?b)(?:" + regex.escape(text) + b"){e<=%d}" % edits)
 
 
 @cache
-def _notices() -> list[tuple[bytes, int, list[tuple[int, bytes]], Bounded, str]]:
-    """Notice, edits allowed, its pieces with their places, and what verifies it."""
-    made = []
-    for text, label in NOTICES:
-        notice = text.encode()
-        edits = len(notice) // CHARS_PER_EDIT
-        cuts = [len(notice) * i // (edits + 1) for i in range(edits + 2)]
-        pieces = [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
-        made.append((notice, edits, pieces, Bounded(notice, edits), label))
-    return made
+def _notices() -> list[Notice]:
+    return [Notice(text, label) for text, label in NOTICES]
 
 
 def _fuzzy(line: bytes) -> list[tuple[int, int, str, float]]:
-    """Places of notices in a line of words, with at most their number of edits."""
+    """Places of notices in a line of words, with at most their number of edits; of those that overlap, the one of fewest."""
     found = []
-    for notice, edits, pieces, bounded, label in _notices():
-        windows = []
-        for place, piece in pieces:
-            at = line.find(piece)
+    for notice in _notices():
+        starts = set()
+        for place, seed in notice.seeds:
+            at = line.find(seed)
             while at >= 0:
-                start = at - place - edits
-                windows.append((max(0, start), min(len(line), start + len(notice) + 2 * edits)))
-                at = line.find(piece, at + 1)
-        for a, b in _merged(windows):
-            while m := bounded.search(line, a, b):
-                start, a, changed = m
-                found.append((start, a, label, 1 - changed / len(notice)))
+                starts.add(at - place)
+                at = line.find(seed, at + 1)
+        matches = set()
+        for start in starts:
+            if m := notice.verify(line, start):
+                matches.add(m)
+        taken: list[tuple[int, int]] = []
+        for start, end, edits in sorted(matches, key=lambda m: (m[2], m[0], m[1])):
+            if all(end <= a or b <= start for a, b in taken):
+                taken.append((start, end))
+                found.append((start, end, notice.label, 1 - edits / len(notice.text)))
     return found
 
 
-def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Windows in order, those that overlap made one."""
-    made: list[tuple[int, int]] = []
-    for a, b in sorted(windows):
-        if made and a < made[-1][1]:
-            made[-1] = made[-1][0], max(b, made[-1][1])
-        else:
-            made.append((a, b))
-    return made
-
-
 def scan(text: str | None) -> tuple[int, list[Match], list[Match]]:
     """Number of words, exact phrases, and notices found by bounded-error matching. Null is empty."""
     line = b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
