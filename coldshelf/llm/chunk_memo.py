@@ -1,4 +1,4 @@
-"""Token ids of many texts, with each distinct piece of text encoded only once by a tokenizer."""
+"""Token ids of many texts, with each distinct piece of text encoded, and checked, only once."""
 
 from __future__ import annotations
 
@@ -10,59 +10,14 @@ import numpy as np
 from coldshelf.llm.rolling import stretch_hashes
 
 
-class ChunkMemo:
-    """Cuts texts where no token can cross, and remembers the ids of each piece.
-
-    ``split`` must cut only there, and a piece's ids must not depend on what
-    stands around it. The memory is bounded: it is emptied when it holds
-    ``limit`` pieces, which changes the time taken and nothing else.
-    """
-
-    def __init__(
-        self,
-        split: Callable[[str], list[str]],
-        encode: Callable[[list[str]], Iterable[list[int]]],
-        limit: int = 600_000,
-    ) -> None:
-        self.split, self._encode, self._limit = split, encode, limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self._index: dict[str, int] = {}
-        self._pool = np.empty(0, dtype=np.uint32)
-        self._ends = np.zeros(1, dtype=np.int64)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in one array, and how many belong to each text."""
-        if len(self._index) > self._limit:
-            self._forget()
-        split = self.split
-        pieces = [split(t) if t else [] for t in texts]
-        flat = list(chain.from_iterable(pieces))
-        self._learn([c for c in set(flat) if c not in self._index])
-        at = np.fromiter(map(self._index.__getitem__, flat), dtype=np.int64, count=len(flat))
-        begins, sizes = self._ends[at], self._ends[at + 1] - self._ends[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.arange(ends[-1]) + np.repeat(begins - ends[:-1], sizes)
-        borders = ends[np.cumsum([0, *map(len, pieces)], dtype=np.int64)]
-        return self._pool[places], np.diff(borders)
-
-    def _learn(self, fresh: list[str]) -> None:
-        if not fresh:
-            return
-        ids = list(self._encode(fresh))
-        n = len(self._index)
-        self._index.update(zip(fresh, range(n, n + len(fresh))))
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        added = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
-        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
-        self._pool = np.concatenate([self._pool, added])
-
-
 class HashedMemo:
-    """As ``ChunkMemo``, for texts cut by their UTF-8 bytes, and with all pieces of a call looked up at once.
+    """Cuts texts where no token can cross, and remembers the ids of each piece.
 
-    ``cuts`` marks the bytes at which pieces begin. A 64-bit hash only finds a
+    ``cuts`` marks the UTF-8 bytes at which pieces begin. It must cut only where
+    no token can cross, and a piece's ids must not depend on what stands around
+    it. All pieces of a call are looked up at once. The memory is bounded: it is
+    emptied when it holds ``limit`` pieces, which changes the time taken and
+    nothing else. A 64-bit hash only finds a
     piece: its bytes are kept and compared at every use. A piece whose hash
     belongs to other bytes is encoded by itself, each time it comes.
     """
@@ -72,8 +27,9 @@ class HashedMemo:
         cuts: Callable[[np.ndarray], np.ndarray],
         encode: Callable[[list[str]], Iterable[list[int]]],
         limit: int = 1_500_000,
+        check: Callable[[list[str], list[list[int]]], Iterable[int]] | None = None,
     ) -> None:
-        self._cuts, self._encode, self._limit = cuts, encode, limit
+        self._cuts, self._encode, self._limit, self._check = cuts, encode, limit, check
         self._bits = int(2 * limit).bit_length()
         self._forget()
 
@@ -84,9 +40,14 @@ class HashedMemo:
         self._ends = np.zeros(1, dtype=np.int64)
         self._bytes = np.empty(0, dtype=np.uint8)
         self._byte_ends = np.zeros(1, dtype=np.int64)
+        self._faults = np.empty(0, dtype=np.uint8)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many belong to each text."""
+        return self.checked(texts)[:2]
+
+    def checked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``encode``, and for each text the faults (bits) that ``check`` found in any of its pieces."""
         if len(self._ends) > self._limit or len(self._bytes) > 32 * self._limit:
             self._forget()
         coded = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -110,7 +71,13 @@ class HashedMemo:
         sizes = self._ends[at + 1] - self._ends[at]
         borders = np.concatenate([[0], np.cumsum(sizes)])
         places = np.arange(borders[-1]) + np.repeat(self._ends[at] - borders[:-1], sizes)
-        return self._pool[places], np.diff(borders[np.searchsorted(starts, text_ends)])
+        begin = np.searchsorted(starts, text_ends)
+        faults = np.zeros(len(texts), dtype=np.uint8)
+        if self._faults.any():
+            found = self._faults[at]
+            faulty = np.flatnonzero(found)
+            np.bitwise_or.at(faults, np.searchsorted(begin, faulty, side="right") - 1, found[faulty])
+        return self._pool[places], np.diff(borders[begin]), faults
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - self._bits)).astype(np.int64)
@@ -140,7 +107,10 @@ class HashedMemo:
     def _learn(self, whole: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Keep the bytes and the ids of the pieces; their numbers."""
         pieces = [whole[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
-        ids = list(self._encode([p.decode("utf-8", "surrogatepass") for p in pieces]))
+        texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
+        ids = list(self._encode(texts))
+        faults = np.fromiter(self._check(texts, ids), np.uint8, len(ids)) if self._check else np.zeros(len(ids), np.uint8)
+        self._faults = np.concatenate([self._faults, faults])
         numbers = np.arange(len(pieces)) + len(self._ends) - 1
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         added = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))

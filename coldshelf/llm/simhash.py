@@ -46,10 +46,6 @@ MAX_BITS = 3
 #: Near copies: shingle length and similarity (share of common shingles) from which texts are copies.
 COPY_SHINGLE_WORDS = 5
 COPY_SIMILARITY = 0.8
-#: Samples of a text's shingles; the least hash by each order, of which a byte is kept.
-SAMPLES = 128
-#: Standard errors that an estimate from samples may lie below a similarity and still agree with it.
-ERRORS = 2.0
 #: A sample print is a MinHash band, the majority of so many samples; so many of them are made.
 PRINT_SAMPLES, PRINTS = 3, 10
 #: More fingerprints with one key than this are compared block by block.
@@ -95,25 +91,24 @@ def majority(hashes: np.ndarray, step: int = 1 << 16) -> int:
     return int(bits.view("<u8")[0])
 
 
-def sampled(hashes: np.ndarray, step: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
-    """Sample prints and signature of a text's shingle hashes; of no shingles, zeros.
+def sample_prints(hashes: np.ndarray, step: int = 1 << 13) -> np.ndarray:
+    """Sample prints of a text's shingle hashes; of no shingles, zeros.
 
-    Each of ``SAMPLES`` orders of all shingles picks the least in the text: two
-    texts agree in one with the probability of their similarity. The signature
-    has a byte of each, from which a similarity can be estimated. A sample print is
-    a MinHash band, the majority of the shingles that three orders pick, so texts
+    Each of some orders of all shingles picks the least in the text: two texts
+    agree in one with the probability of their similarity. A sample print is a
+    MinHash band, the majority of the shingles that three orders pick, so texts
     share it with the third power of that probability.
     """
     orders = _orders()
-    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(len(orders), np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), step):
         mixed = hashes[i : i + step, None] * orders[None, :]
         mixed ^= mixed >> np.uint64(32)
         np.minimum(least, (mixed * _ODD).min(axis=0), out=least)
     if not len(hashes):
         least[:] = 0
-    a, b, c = least[: PRINTS * PRINT_SAMPLES].reshape(PRINT_SAMPLES, PRINTS)
-    return ((a & b) | (a & c) | (b & c)).view(np.int64), (least >> np.uint64(20)).astype(np.uint8)
+    a, b, c = least.reshape(PRINT_SAMPLES, PRINTS)
+    return ((a & b) | (a & c) | (b & c)).view(np.int64)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +116,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 @cache
 def _orders() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.random.default_rng(SEED).integers(0, 1 << 63, PRINTS * PRINT_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def copy_prints(docs: DataFrame, shingle_words: int = COPY_SHINGLE_WORDS) -> DataFrame:
@@ -133,7 +128,7 @@ def copy_prints(docs: DataFrame, shingle_words: int = COPY_SHINGLE_WORDS) -> Dat
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes = [shingle_hashes(t, shingle_words) for t in batch.column("text").to_pylist()]
         whole = np.array([majority(h) for h in hashes], dtype=np.uint64).view(np.int64)
-        prints = pa.array([sampled(h)[0] for h in hashes], pa.list_(pa.int64()))
+        prints = pa.array([sample_prints(h) for h in hashes], pa.list_(pa.int64()))
         nodes = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes(), SEED) for h in hashes], dtype=np.uint64)
         columns = [batch.column("doc_id"), batch.column("content"), pa.array(whole), prints, pa.array(nodes.view(np.int64))]
         return pa.record_batch(columns, names=["doc_id", "content", "fp", "prints", "node"])
@@ -229,11 +224,8 @@ def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # -- links ------------------------------------------------------------------
 
 
-def _near(x: np.ndarray, y: np.ndarray, similarity: float | None = None) -> np.ndarray:
-    """Whether fingerprints differ in few bits; with a similarity, whether signatures let expect it (an estimate, no proof)."""
-    if similarity is None:
-        return np.bitwise_count(x ^ y) <= MAX_BITS
-    return (x == y).sum(axis=-1) >= similarity * SAMPLES - ERRORS * (similarity * (1 - similarity) * SAMPLES) ** 0.5
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y) <= MAX_BITS
 
 
 def _chains(fps: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
-import numpy as np
+import re
+
 import pytest
 from helpers import ODD_TEXTS, SF_DIR, nothing, odd_documents, rows
 from test_decontaminate import plain_contaminated
@@ -12,21 +13,25 @@ from coldshelf.llm.quality import scores_of
 
 
 def plain_first_copies(docs):
-    """One document of each group, by comparing all pairs of fingerprints and of signatures."""
-    hashes = [simhash.shingle_hashes(t, 5) for _, t in docs]
-    prints = np.array([simhash.majority(h) for h in hashes], dtype=np.uint64)
-    drawn = [simhash.sampled(h) for h in hashes]
-    label = np.array([i for i, _ in docs])
-    close = []
-    for p, (own, signature) in zip(prints, drawn):
-        near = np.bitwise_count(prints ^ p) <= 3
-        shares = [(a == own).any() and simhash._near(b, signature, 0.8) for a, b in drawn]
-        close.append(near | np.array(shares))
-    while True:
-        lower = np.array([label[c].min() for c in close])
-        if (lower == label).all():
-            return [d for d, g in zip(docs, label) if d[0] == g]
-        label = lower
+    """One document of each group: the exact share of common distinct five-word shingles, over all pairs."""
+    sets = []
+    for _, text in docs:
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall("[^\x20\x09-\x0d]+", lowered)
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    group = list(range(len(docs)))
+
+    def first(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((first(i), first(j)), key=lambda k: docs[k][0])
+                group[b] = a
+    return [d for i, d in enumerate(docs) if first(i) == i]
 
 
 def test_run_equals_stages_done_plainly(spark):
