@@ -11,7 +11,8 @@ A relation is written in blocks: a block has whole pieces of one language.
 Position p of a block holds the number of the phrase that begins there, or 0
 where none does; one position is left empty between pieces, so adjacent
 positions are those of one piece and a merge-join is a comparison of an array
-with itself. Only one row for each distinct phrase of a block is
+with itself. Blocks are kept compressed, as later relations are nearly empty: a
+task holds one block at a time in full. Only one row for each distinct phrase of a block is
 shuffled, with its count, so a word of any frequency has as many rows as there
 are blocks. Phrases are told apart by the exact numbers of their two parts,
 never by hashes. There is no bound on the number of words or phrases.
@@ -27,13 +28,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from coldshelf.llm.shared import slices, small, written
 
 #: Positions of a block; a single longer piece is a block of its own.
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: Bytes of text split at a time.
 SLICE = 1 << 18
 #: Blocks of a task are numbered by the positions before them, below this many bits for the task.
@@ -168,7 +170,7 @@ def word_blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         columns = [
             *(pa.array([number]), pa.array([lang]), pa.array([int(counts.sum())])),
             pa.array([words[used].tolist()], pa.list_(pa.binary())),
-            *(pa.array([counts[used]], pa.list_(pa.int64())), pa.array([own[codes].tobytes()], pa.binary())),
+            *(pa.array([counts[used]], pa.list_(pa.int64())), pa.array([_packed(own[codes])], pa.binary())),
         ]
         return pa.record_batch(columns, names=["block", "lang", "n", "words", "counts", "codes"])
 
@@ -235,22 +237,29 @@ def _in_pieces(codes: np.ndarray, block: int) -> Iterator[np.ndarray]:
         yield codes
 
 
-def _joined(codes: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+def _packed(codes: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(codes.astype(np.int32).tobytes())
+
+
+def _unpacked(codes: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(codes), dtype=np.int32)
+
+
+def _joined(held: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Merge-join of a relation with itself at the next position.
 
     The positions where two phrases follow each other, and their codes as one
     number: left code times the last result, plus right code.
     """
-    held = np.frombuffer(codes, dtype=np.int32)
     at = np.flatnonzero((held[:-1] > 0) & (held[1:] > 0))
     width = int(held.max(initial=0)) + 1
     return at, held[at].astype(np.int64) * width + held[at + 1], width
 
 
-def _begins(codes: bytes) -> np.ndarray:
+def _begins(held: np.ndarray) -> np.ndarray:
     """For every position the number, from 1, of the distinct pair that begins there, or 0."""
-    at, pairs, _ = _joined(codes)
-    begins = np.zeros(len(codes) // 4, dtype=np.int32)
+    at, pairs, _ = _joined(held)
+    begins = np.zeros(len(held), dtype=np.int32)
     begins[at] = np.unique(pairs, return_inverse=True)[1] + 1
     return begins
 
@@ -260,7 +269,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["block", "place", "left_id", "right_id", "n"]
     for batch in batches:
         for block, codes, ids in zip(*(batch.column(c) for c in ("block", "codes", "ids"))):
-            _, pairs, width = _joined(codes.as_py())
+            _, pairs, width = _joined(_unpacked(codes.as_py()))
             pairs, counts = np.unique(pairs, return_counts=True)
             known = np.frombuffer(ids.as_py(), dtype=np.int64)
             for i in range(0, len(pairs), 50_000):
@@ -281,12 +290,13 @@ def _semi_join(held: DataFrame, common: DataFrame) -> DataFrame:
         if relation.num_rows == 0 or frequent.num_rows == 0:
             return relation.slice(0, 0)
         (row,) = relation.to_pylist()
-        begins = np.frombuffer(row["codes"], dtype=np.int32) if row["ids"] is None else _begins(row["codes"])
+        begins = _unpacked(row["codes"])
+        begins = begins if row["ids"] is None else _begins(begins)
         places = frequent.column("place").to_numpy()
         codes = np.zeros(int(begins.max(initial=0)) + 1, dtype=np.int32)
         codes[places] = np.arange(1, len(places) + 1)
         ids = frequent.column("id").to_numpy().astype(np.int64)
-        made = [pa.array([row["block"]]), pa.array([codes[begins].tobytes()]), pa.array([ids.tobytes()])]
+        made = [pa.array([row["block"]]), pa.array([_packed(codes[begins])]), pa.array([ids.tobytes()])]
         return pa.table(made, schema=relation.schema)
 
     blocks = held.groupBy("block").cogroup(common.select("block", "place", "id").groupBy("block"))
