@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from coldshelf.functions.columns import UNSAFE_CHARACTERS, archive_key, col, require_date
 from coldshelf.operators.reconcile import key_profile
 from coldshelf.sources.scan import typed_projection
-from coldshelf.spec import TableSpec, archive_schema
+from coldshelf.spec import TableSpec, Window, archive_schema
 
 KEY = "archive_key"
+WINDOW = "archive_window"
 
 
 @dataclass(frozen=True)
@@ -117,6 +119,71 @@ def write_archive(rows: DataFrame, spec: TableSpec, path: str, stem: str | None
     return ExportStats(got["rows"], {c: got[f"nulls_{i}"] for i, c in enumerate(spec.required)})
 
 
+def window_number(date_col: Column, windows: list[Window]) -> Column:
+    """Which of consecutive windows a date lies in, from 1."""
+    starts = F.array(*[F.lit(w.start) for w in windows])
+    return F.size(F.filter(starts, lambda start: start <= F.to_date(date_col)))
+
+
+def write_windows(
+    rows: DataFrame, spec: TableSpec, path: str, stem: str, windows: list[Window], sizes: list[int]
+) -> ExportStats:
+    """As ``write_archive``, for consecutive windows at once, each in a folder ``archive_window=<start>`` of its own.
+
+    A task writes rows of one window only, so no base name occurs in two of
+    them. ``sizes`` are the rows expected in each window: a window gets its
+    share of the tasks, at least one.
+    """
+    total, tasks = max(1, sum(sizes)), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = [max(1, math.ceil(tasks * n / total)) for n in sizes]
+    offsets = [sum(parts[:i]) for i in range(len(parts))]
+    nth = window_number(col(spec.date_col), windows)
+    first, own = (F.element_at(F.array(*map(F.lit, x)), nth) for x in (offsets, parts))
+    task = first + F.pmod(F.xxhash64(*[col(c) for c in spec.pk]), own).cast("int")
+    names = F.element_at(F.array(*[F.lit(w.start.isoformat()) for w in windows]), nth)
+    seen = Observation()
+    counters = [F.count("*").alias("rows")] + [
+        F.count_if(col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(spec.required)
+    ]
+    writer = (
+        with_archive_key(rows, spec)
+        .withColumn(WINDOW, names)
+        .repartitionById(sum(parts), task)
+        .observe(seen, *counters)
+        .sortWithinPartitions(KEY, *[col(c) for c in spec.pk])
+        .write.mode("errorifexists")
+        .partitionBy(WINDOW, KEY)
+        .option("compression", "snappy")
+        .option("mapreduce.output.basename", stem)
+    )
+    if spec.max_rows_per_file > 0:
+        writer = writer.option("maxRecordsPerFile", spec.max_rows_per_file)
+    writer.parquet(path)
+    got = seen.get
+    return ExportStats(got["rows"], {c: got[f"nulls_{i}"] for i, c in enumerate(spec.required)})
+
+
+def window_path(path: str, window: Window) -> str:
+    """Where ``write_windows`` puts a window: a run of its own for ``read_archive``."""
+    return f"{path}/{WINDOW}={window.start.isoformat()}"
+
+
+def read_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All files of a run over several windows, with the window and key columns."""
+    keyed = [T.StructField(c, T.StringType()) for c in (WINDOW, KEY)]
+    return spark.read.schema(T.StructType([*schema.fields, *keyed])).parquet(path)
+
+
+def windows_manifest(archive: DataFrame, path: str) -> DataFrame:
+    """As ``manifest``, with the start of each file's window."""
+    counted = archive.groupBy(F.col("_metadata.file_name").alias("base_name"), WINDOW, KEY).agg(F.count("*").alias("n_rows"))
+    folders = [F.concat(F.lit(f"{c}="), c) for c in (WINDOW, KEY)]
+    return counted.select(
+        *("base_name", KEY, "n_rows", F.to_date(WINDOW).alias("window_start")),
+        F.concat_ws("/", F.lit(path), *folders, "base_name").alias("file_path"),
+    )
+
+
 def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All files of one run, with the key column. The schema is given, so an empty run reads too."""
     keyed = T.StructType(list(schema.fields) + [T.StructField(KEY, T.StringType())])

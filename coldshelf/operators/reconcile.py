@@ -126,6 +126,13 @@ def diff(
     return _compare(*single, pk).unionByName(reported)
 
 
+def first_mismatch(differences: DataFrame, pk: tuple[str, ...]) -> DataFrame:
+    """The row of ``diff`` with the smallest key among those that do not match; no row where all match."""
+    wrong = differences.where(F.col("verdict") != MATCH)
+    first = F.min(F.struct(*[col(c) for c in pk], "verdict", "mismatch_columns")).alias("first")
+    return wrong.agg(first).where("first IS NOT NULL").select("first.*")
+
+
 def summarize(differences: DataFrame) -> DataFrame:
     return differences.groupBy("verdict").agg(F.count("*").alias("n_keys"))
 

@@ -168,6 +168,8 @@ ORACLE: dict[str, str] = {
     "reconcile_duplicates": """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
         SELECT CASE WHEN n > 1 THEN 'duplicate_key' ELSE 'match' END AS verdict, count(*) AS n_keys
         FROM k GROUP BY 1""",
+    "first_mismatch": f"""WITH {DAMAGED}, {VERDICTS} SELECT * FROM v WHERE verdict <> 'match'
+        ORDER BY o_orderkey LIMIT 1""",
     "missing_in_archive": f"WITH {DAMAGED} SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)",
     "missing_in_source": f"WITH {DAMAGED} SELECT * FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)",
     "set_equality": f"""WITH {DAMAGED}
@@ -193,6 +195,14 @@ ORACLE: dict[str, str] = {
         WHERE NOT coalesce({MOST_YEARS} AND {EXTRA}, false)""",
     "delete_batch_plan": f"""SELECT count(*) AS n_rows, min(o_orderkey) AS first_pk, max(o_orderkey) AS last_pk,
         true AS within_batch, true AS disjoint FROM orders WHERE {MOST_YEARS}""",
+    "delete_batch_plan_lines": """WITH r AS (
+            SELECT l_orderkey AS k, l_linenumber AS l,
+                (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) // 500 AS batch_no
+            FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '2001-01-01'),
+        b AS (SELECT batch_no, min((k, l)) AS f, max((k, l)) AS t, count(*) AS n_rows FROM r GROUP BY batch_no)
+        SELECT batch_no, f[1] AS first_orderkey, f[2] AS first_linenumber, t[1] AS last_orderkey,
+            t[2] AS last_linenumber, n_rows,
+            coalesce(lag(t) OVER (ORDER BY batch_no) = f, false) AS splits_key, n_rows = 500 AS full FROM b""",
     "restore_union": "SELECT * FROM orders",
     "restore_roundtrip": "SELECT * FROM events",
     "ledger_fold": f"WITH {LEDGER} SELECT * FROM f",
@@ -206,6 +216,11 @@ ORACLE: dict[str, str] = {
     "restore_window_check": f"""WITH {FILES} SELECT count(DISTINCT (window_start, window_end)) AS n_windows,
         count(DISTINCT run_token) AS n_runs, min(window_start) AS window_start, min(window_end) AS window_end,
         min(run_token) AS run_token FROM found""",
+    "restore_resolve": f"""WITH {FILES}, j AS (SELECT g.base_name, m.* EXCLUDE (base_name) FROM g LEFT JOIN m USING (base_name))
+        SELECT count(*) FILTER (run_token IS NULL) AS n_unknown, min(base_name) FILTER (run_token IS NULL) AS an_unknown,
+            count(DISTINCT (window_start, window_end)) FILTER (run_token IS NOT NULL) AS n_windows,
+            count(DISTINCT run_token) AS n_runs, min(window_start) AS window_start, min(window_end) AS window_end,
+            min(run_token) AS run_token FROM j""",
     "ledger_steps": """WITH e AS (
             SELECT event_id AS seq, (['STARTED', 'EXPORTED', 'EXPORT_FAILED', 'RECONCILED', 'RECONCILE_FAILED',
                 'DELETED', 'DELETE_SKIPPED', 'DELETE_FAILED', 'RESTORE_STARTED', 'RESTORED', 'RESTORE_SKIPPED',
@@ -252,5 +267,16 @@ ORACLE: dict[str, str] = {
         SELECT 'orders' AS table_name, window_start, window_end, 'DELETED' AS status,
             n AS exported, n AS reconciled, n AS deleted, (SELECT count(*) FROM orders) - n AS rows_left
         FROM w, c""",
+    "export_transform": f"""SELECT o_orderkey, o_custkey, o_orderstatus, floor(o_totalprice) AS o_totalprice, o_orderdate,
+        lower(o_orderpriority) AS o_orderpriority, 'DELETED' AS status FROM orders WHERE {FIRST_WINDOW}""",
+    "live_delete_swap": f"""WITH n AS (
+            SELECT *, CASE WHEN {FIRST_WINDOW} THEN row_number() OVER (PARTITION BY {FIRST_WINDOW} ORDER BY o_orderkey) END AS nth
+            FROM orders)
+        SELECT CASE WHEN nth = 1 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus,
+            CASE WHEN nth = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+            'DELETE_FAILED' AS status
+        FROM n WHERE nth IS NULL OR nth <= 2""",
+    "restore_resumed": f"""SELECT *, 'RESTORED' AS status,
+        (SELECT count(*) FROM orders WHERE {FIRST_WINDOW}) AS restored FROM orders""",
     "archive_walk": "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
 }

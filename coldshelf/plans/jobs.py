@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,12 +27,16 @@ from coldshelf.operators.reconcile import (
     MISSING_IN_SOURCE,
     KeyProfile,
     diff,
+    first_mismatch,
     key_profile,
     key_totals,
+    set_equality,
 )
 from coldshelf.operators.restore import resolve_files, restore_union
 from coldshelf.plans.ledger import Ledger, Record, Status
-from coldshelf.plans.windows import ResolvedWindow, resolve_window
+from coldshelf.plans.tabletypes import as_source, with_declared
+from coldshelf.plans.walk import archive_together
+from coldshelf.plans.windows import ResolvedWindow, resolve_window, windows_between
 from coldshelf.sources.archive import archive_scan, named_files
 from coldshelf.sources.scan import window_count, window_scan
 from coldshelf.spec import DEFAULTS, TableSpec, Window, archive_schema, quoted, same_columns
@@ -96,26 +101,44 @@ class Retention:
         as_of: date,
         transform: Transform | None = None,
     ) -> list[Record]:
-        """Archive window after window until nothing is old enough.
+        """Archive every window up to the cutoff.
 
         Empty windows are recorded too, so gaps in the data are walked over. A
-        restored window is skipped: its rows are wanted in the table.
+        restored window is skipped: its rows are wanted in the table. Deletes
+        that had begun are finished first. Runs of windows that were never begun
+        are exported, proved and deleted together (``walk``), with as many Spark
+        jobs as one window takes; where that finds a fault, and for windows of
+        which something is recorded, it goes window by window and ends at the
+        first one that fails.
         """
+        states = {Window(r.window_start, r.window_end): r for r in self.ledger.state(spec.name).collect()}
         done: list[Record] = []
-        start: date | None = None
-        while True:
-            found = self.next_window(table, spec, as_of, start)
-            if not found.eligible:
-                return done
-            known = self.ledger.find(spec.name, found.window)
-            if known is None or known.status is not Status.RESTORED:
-                record = self.archive_window(
-                    table, spec, found.window, as_of, allow_young=True, transform=transform
-                )
-                done.append(record)
-                if record.status is not Status.DELETED:
-                    return done
-            start = found.window_end
+
+        def one_by_one(windows: list[Window]) -> bool:
+            for window in windows:
+                done.append(self.archive_window(table, spec, window, as_of, allow_young=True, transform=transform))
+                if done[-1].status is not Status.DELETED:
+                    return False
+            return True
+
+        begun = (Status.RECONCILED.value, Status.DELETE_FAILED.value)
+        left_over = sorted((w for w, r in states.items() if r.delete_begun and r.status in begun), key=lambda w: w.start)
+        if not one_by_one(left_over):
+            return done
+        found = self.next_window(table, spec, as_of)
+        if not found.eligible:
+            return done
+        pending = windows_between(self.spark, found.window_start, found.cutoff, self.window_months)
+        for fresh, windows in groupby(pending, lambda w: w not in states):
+            windows = [w for w in windows if w not in states or states[w].status != Status.RESTORED.value]
+            if fresh and len(windows) > 1 and self.delete_enabled:
+                records = archive_together(self, table, spec, windows, transform)
+                if records is not None:
+                    done += records
+                    continue
+            if not one_by_one(windows):
+                break
+        return done
 
     # -- archive -----------------------------------------------------------
 
@@ -166,7 +189,7 @@ class Retention:
         record = self._record(spec, window, Status.STARTED, token, delete_begun=False)
         try:
             pinned = table.pin()
-            spec = _with_declared(spec, table, pinned)
+            spec = with_declared(spec, table, pinned)
             found = window_scan(table.read(pinned, window), spec, window)
             rows = archive_rows(found, spec, transform)
             if transform is not None:
@@ -257,7 +280,8 @@ class Retention:
                     # again for the version the delete will start from.
                     self._prove_equal(table, pinned, spec, window, record, transform)
                 record = self._record(spec, window, Status.RECONCILED, token, record, delete_begun=True)
-                deleted = table.delete_window(pinned, spec, window, record.reconciled)
+                archived = self._archived_rows(table, pinned, spec, record)
+                deleted = table.delete_window(pinned, spec, window, record.reconciled, archived)
         except Exception as failure:
             self._fail(spec, record, Status.DELETE_FAILED, failure)
         return self._record(spec, window, Status.DELETED, token, record, deleted=deleted)
@@ -272,6 +296,10 @@ class Retention:
         The window is never an input: it is what the ledger recorded for the
         files' base names. Files may have been moved since the export. They are
         given as a list, or as a table with a column ``file_path``.
+
+        Rows in the window are refused, unless a restore had begun and they are
+        exactly the files' rows: then it was cut short after its insert, and is
+        recorded as done.
         """
         if named_files(self.spark, files).isEmpty():
             raise RetentionRefused("no archive file was named")
@@ -285,16 +313,21 @@ class Retention:
             raise RetentionRefused(f"'{spec.name}' {window} was exported with a transform")
         pinned = table.pin()
         there = window_count(table.read(pinned, window), spec, window).first().n_rows
-        if there:
-            raise RetentionRefused(f"'{spec.name}' already has {there} rows in {window}")
         expected = record.reconciled if record.reconciled is not None else record.exported or 0
         token = record.run_token
+        if there:
+            begun = record.status in (Status.RESTORE_STARTED, Status.RESTORE_FAILED)
+            if not (begun and there == expected and self._already_restored(table, pinned, spec, record, files)):
+                raise RetentionRefused(f"'{spec.name}' already has {there} rows in {window}")
+            if record.status is Status.RESTORE_FAILED:
+                record = self._record(spec, window, Status.RESTORE_STARTED, token, record)
+            return self._record(spec, window, Status.RESTORED, token, record, restored=there)
         record = self._record(spec, window, Status.RESTORE_STARTED, token, record)
         try:
             archived = T.StructType.fromJson(json.loads(record.archive_schema))
             rows = archive_scan(self.spark, files, archived)
             current = table.schema_of(pinned)
-            rows = _as_source(rows, current)
+            rows = as_source(rows, current)
             n, repeated = key_totals(rows, spec.pk)
             if n != expected:
                 raise RetentionError(f"the named files hold {n} rows, the window has {expected}")
@@ -327,6 +360,18 @@ class Retention:
         # The predicate the window was archived with, whatever the caller holds.
         return record, spec.with_predicate(record.predicate)
 
+    def _already_restored(
+        self, table: Any, pinned: Any, spec: TableSpec, record: Record, files: list[str] | DataFrame
+    ) -> bool:
+        """Whether the window's rows are the files' rows, as multisets; columns added since the export are NULL."""
+        archived = T.StructType.fromJson(json.loads(record.archive_schema))
+        current = table.schema_of(pinned)
+        rows = _fill_added(as_source(archive_scan(self.spark, files, archived), current), current)
+        live = window_scan(table.read(pinned, record.window), spec, record.window)
+        if not same_columns(rows.schema, live.schema):
+            return False
+        return tuple(set_equality(live, rows).first()) == (0, 0)
+
     def _prove_equal(
         self,
         table: Any,
@@ -341,8 +386,7 @@ class Retention:
         profile = key_profile(live, archived, spec.pk)
         problem = _count_problem(profile, record.exported)
         if problem is None:
-            wrong = diff(live, archived, spec.pk, profile).where(F.col("verdict") != MATCH)
-            first = wrong.first()
+            first = first_mismatch(diff(live, archived, spec.pk, profile), spec.pk).first()
             if first is not None:
                 key = ", ".join(f"{c}={first[c]}" for c in spec.pk)
                 problem = f"{first.verdict} at {key}, column(s) {first.mismatch_columns}"
@@ -382,7 +426,8 @@ class Retention:
             )
         try:
             if profile.source_rows:
-                table.delete_window(pinned, spec, window, profile.source_rows)
+                archived = self._archived_rows(table, pinned, spec, record)
+                table.delete_window(pinned, spec, window, profile.source_rows, archived)
         except Exception as failure:
             self._fail(spec, record, Status.DELETE_FAILED, failure)
         return self._record(
@@ -405,6 +450,12 @@ class Retention:
             raise RetentionError("the table's columns changed since the export")
         return live, read_archive(self.spark, record.archive_path, schema).drop(KEY)
 
+    def _archived_rows(self, table: Any, pinned: Any, spec: TableSpec, record: Record) -> DataFrame:
+        """The archived rows in the table's types; their keys alone where a transform changed the rest."""
+        schema = T.StructType.fromJson(json.loads(record.archive_schema))
+        rows = as_source(read_archive(self.spark, record.archive_path, schema).drop(KEY), table.schema_of(pinned))
+        return rows.select(*[quoted(c) for c in spec.pk]) if record.transformed else rows
+
     def _record(
         self,
         spec: TableSpec,
@@ -435,13 +486,6 @@ def _require(record: Record | None, status: Status, spec: TableSpec, window: Win
         raise RetentionRefused(f"cannot {step} '{spec.name}' {window}: it is {found}")
 
 
-def _with_declared(spec: TableSpec, table: Any, pinned: Any) -> TableSpec:
-    """The spec with the columns added that the table itself declares NOT NULL."""
-    declared = [f.name for f in table.schema_of(pinned).fields if not f.nullable]
-    declared += getattr(table, "not_null", ())
-    return replace(spec, required=tuple(dict.fromkeys((*spec.required, *declared))))
-
-
 def _count_problem(profile: KeyProfile, exported: int) -> str | None:
     if profile.duplicate_keys:
         return f"{profile.duplicate_keys} key(s) occur more than once"
@@ -452,19 +496,6 @@ def _count_problem(profile: KeyProfile, exported: int) -> str | None:
     return None
 
 
-def _as_source(rows: DataFrame, table: T.StructType) -> DataFrame:
-    """Archived columns back in the table's types, e.g. a widened small integer."""
-    stored = archive_schema(table)
-    return rows.select(
-        *[
-            F.col(quoted(c)).cast(table[c].dataType).alias(c)
-            if c in table.names and stored[c].dataType == rows.schema[c].dataType
-            else F.col(quoted(c))
-            for c in rows.columns
-        ]
-    )
-
-
 def _fill_added(rows: DataFrame, table: T.StructType) -> DataFrame:
     return rows.select(
         *[

@@ -42,7 +42,7 @@ FOLLOWS = {
     Status.RESTORE_FAILED: {Status.RESTORE_STARTED},
     # A delete that was cut short is finished by the next run.
     Status.DELETE_FAILED: {Status.DELETED, Status.DELETE_FAILED},
-    # A restore whose process died may be tried again: the window must be empty.
+    # A restore whose process died may be tried again: the window must be empty, or hold exactly its rows.
     Status.RESTORE_STARTED: {Status.RESTORE_STARTED, Status.RESTORED, Status.RESTORE_FAILED},
 }
 
@@ -169,8 +169,9 @@ class Ledger:
     """Events and manifests below one folder on shared storage.
 
     An event holds what it changes and the counts and files known before it.
-    Every event is a directory of its own, ``table_name=<t>/seq=<n>``, created
-    only if absent: two writers that pick the same number cannot both succeed.
+    Events recorded together, one or one for each of several windows, are a
+    directory, ``table_name=<t>/seq=<n>``, created only if absent: two writers that
+    pick the same number cannot both succeed.
     The part files of a run are listed by a Spark job into the manifest; no
     file list passes through the driver. One writer per table at a time.
     """
@@ -248,45 +249,82 @@ class Ledger:
             return record
         raise LedgerConflict(f"another writer is recording runs of '{table}'")
 
+    def record_many(
+        self, table: str, steps: dict[Window, Record | None], status: Status, run_token: str,
+        predicate: str | None, values: dict[Window, dict] | None = None, error: str | None = None,
+    ) -> dict[Window, Record]:
+        """Append one event for each of several windows, all at once; ``steps`` holds the states they follow."""
+        latest = self.events(table).agg(F.max("seq")).first()[0] or 0
+        made = {}
+        for number in (lambda: latest + 1, lambda: self._last_folder(table) + 1):
+            seq = number()
+            for window, known in steps.items():
+                event = dict(
+                    at=datetime.now(timezone.utc), predicate=predicate, run_token=run_token, status=status,
+                    error_message=error or None, **(values or {}).get(window, {}),
+                )
+                made[window] = _follow(known, table, window, seq, event)
+            if self._create(*made.values()):
+                return made
+            if (self.events(table).agg(F.max("seq")).first()[0] or 0) > latest:
+                break  # else a writer died before it committed and left a folder without an event in it
+        raise LedgerConflict(f"another writer is recording runs of '{table}'")
+
     def record_manifest(
         self, table: str, window: Window, run_token: str, files: DataFrame
     ) -> tuple[int, int]:
         """List a run's part files; returns how many there are and the rows they hold."""
         listed = Observation()
-        files.select(
-            F.lit(table).alias("table_name"),
-            F.lit(window.start).alias("window_start"),
-            F.lit(window.end).alias("window_end"),
-            F.lit(run_token).alias("run_token"),
-            "archive_key",
-            "file_path",
-            "base_name",
-            "n_rows",
-        ).observe(
+        bounds = {"window_start": F.lit(window.start), "window_end": F.lit(window.end)}
+        self._listed(table, run_token, files.withColumns(bounds)).observe(
             listed, F.count("*").alias("files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
-        ).write.mode("errorifexists").parquet(
-            f"{self._folder('manifest', table)}/run={safe_name(run_token)}"
-        )
+        ).write.mode("errorifexists").parquet(self._manifest_folder(table, run_token))
         return listed.get["files"], listed.get["rows"]
 
+    def record_manifests(
+        self, table: str, windows: list[Window], run_token: str, files: DataFrame
+    ) -> dict[Window, tuple[int, int]]:
+        """List the part files of a run over several windows; for each window how many there are and their rows."""
+        ends = F.create_map(*[x for w in windows for x in (F.lit(w.start), F.lit(w.end))])
+        files = files.withColumn("window_end", F.element_at(ends, F.col("window_start")))
+        folder = self._manifest_folder(table, run_token)
+        self._listed(table, run_token, files).write.mode("errorifexists").parquet(folder)
+        counts = self.spark.read.schema(MANIFEST_SCHEMA).parquet(folder).groupBy("window_start")
+        found = {r.window_start: (r.n, r.rows) for r in counts.agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows")).collect()}
+        return {w: found.get(w.start, (0, 0)) for w in windows}
+
+    def _listed(self, table: str, run_token: str, files: DataFrame) -> DataFrame:
+        named = files.withColumns({"table_name": F.lit(table), "run_token": F.lit(run_token)})
+        return named.select(*MANIFEST_SCHEMA.names)
+
+    def _manifest_folder(self, table: str, run_token: str) -> str:
+        return f"{self._folder('manifest', table)}/run={safe_name(run_token)}"
+
     def _current_runs(self, table: str) -> DataFrame:
         return self.state(table).select(*WINDOW_KEY, F.col("export_run").alias("run_token"))
 
-    def _create(self, record: Record) -> bool:
-        """Write one event folder; ``False`` where the number is taken."""
-        event = {
-            **record.__dict__,
-            "window_start": record.window.start,
-            "window_end": record.window.end,
-            "status": record.status.value,
-        }
-        # Literals over a one-row range: no Python worker for a single row.
-        row = self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(event[f.name]).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
-        )
-        folder = f"{self._folder('events', record.table_name)}/seq={record.seq}"
+    def _create(self, *records: Record) -> bool:
+        """Write one event folder, with an event for each record; ``False`` where the number is taken."""
+        events = [
+            {
+                **record.__dict__,
+                "window_start": record.window.start,
+                "window_end": record.window.end,
+                "status": record.status.value,
+            }
+            for record in records
+        ]
+        if len(events) == 1:
+            # Literals over a one-row range: no Python worker for a single row.
+            rows = self.spark.range(0, 1, 1, 1).select(
+                *[F.lit(events[0][f.name]).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
+            )
+        else:
+            data = [tuple(event[c] for c in EVENT_SCHEMA.names) for event in events]
+            rows = self.spark.createDataFrame(data, EVENT_SCHEMA).coalesce(1)
+        folder = f"{self._folder('events', records[0].table_name)}/seq={records[0].seq}"
         try:
-            row.write.mode("errorifexists").parquet(folder)
+            rows.write.mode("errorifexists").parquet(folder)
         except AnalysisException as taken:
             if taken.getCondition() != "PATH_ALREADY_EXISTS":
                 raise

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coldshelf.functions.columns import col, require_date
 from coldshelf.sources.scan import oldest_date
@@ -116,6 +116,13 @@ def _with_ends(starts: DataFrame, cutoff: Column, window_months: int) -> DataFra
     )
 
 
+def windows_between(spark: SparkSession, first: date, cutoff: date, window_months: int) -> list[Window]:
+    """All windows from a start up to the cutoff, as repeated runs would have them."""
+    starts = _starts(F.lit(first), F.lit(cutoff), window_months)
+    plan = _with_ends(spark.range(1).select(F.explode(starts).alias("window_start")), F.lit(cutoff), window_months)
+    return [Window(r.window_start, r.window_end) for r in plan.orderBy("window_start").collect()]
+
+
 def window_plan_counts(
     table: DataFrame,
     spec: TableSpec,

@@ -21,6 +21,8 @@ from coldshelf.plans.jobs import Retention, RetentionError
 from coldshelf.plans.ledger import Record
 from coldshelf.sources import scan
 from coldshelf.sources.archive import archive_scan
+from coldshelf.sources.live import LiveTable
+from coldshelf.sources.rowfiles import RowFiles
 from coldshelf.sources.snapshot import SnapshotTable
 from coldshelf.session import scratch_dir
 from coldshelf.spec import Granularity, TableSpec, Window
@@ -317,6 +319,12 @@ def reconcile_duplicates(spark, sf_dir):
     return reconcile_ops.summarize(reconcile_ops.diff(lines, lines, LINE_KEY))
 
 
+def first_mismatch(spark, sf_dir):
+    """What the error of a failed reconcile names: the smallest key with a fault."""
+    first = reconcile_ops.first_mismatch(reconcile_ops.diff(*damaged_orders(table(spark, sf_dir, "orders")), ORDERS.pk), ORDERS.pk)
+    return first.withColumn("mismatch_columns", F.array_join("mismatch_columns", ","))
+
+
 def missing_in_archive(spark, sf_dir):
     source, archive = damaged_orders(table(spark, sf_dir, "orders"))
     return reconcile_ops.missing_in_archive(source, archive, ORDERS.pk)
@@ -375,6 +383,16 @@ def delete_batch_plan(spark, sf_dir):
     )
 
 
+def delete_batch_plan_lines(spark, sf_dir):
+    """Every batch over a key of two columns that some line items share."""
+    spec = TableSpec("lineitem", pk=LINE_KEY, date_col="l_shipdate")
+    plan = delete_ops.global_batch_plan(table(spark, sf_dir, "lineitem"), spec, MOST_YEARS, BATCH_ROWS)
+    bounds = [
+        F.col(f"{end}_pk.{c}").alias(f"{end}_{c.removeprefix('l_')}") for end in ("first", "last") for c in LINE_KEY
+    ]
+    return plan.select("batch_no", *bounds, "n_rows", "splits_key", (F.col("n_rows") == BATCH_ROWS).alias("full"))
+
+
 def restore_union(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     archive, _, _ = _exported(spark, scan.window_scan(orders, ORDERS, FIRST_WINDOW), ORDERS)
@@ -409,6 +427,12 @@ def restore_window_check(spark, sf_dir):
     return restore_ops.window_check(file_lookup(spark, sf_dir))
 
 
+def restore_resolve(spark, sf_dir):
+    """What a restore finds out about the named files, in one pass: unknown ones, windows and runs."""
+    events = table(spark, sf_dir, "events")
+    return restore_ops.resolve_files(given_files(events), derived_manifest(events))
+
+
 def ledger_steps(spark, sf_dir):
     """For each event, whether its status may follow the one before it in the same window."""
     before = Window_.partitionBy(*restore_ops.WINDOW_KEY).orderBy("seq")
@@ -488,6 +512,53 @@ def archive_window_job(spark, sf_dir):
     )
 
 
+def export_transform(spark, sf_dir):
+    """A window exported through a transform that changes values, as its files hold it; the live side is proved through it too."""
+
+    def masked(rows: DataFrame) -> DataFrame:
+        price = F.floor("o_totalprice").cast("double")
+        return rows.withColumns({"o_totalprice": price, "o_orderpriority": F.lower("o_orderpriority")})
+
+    held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS)
+    record = jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF, transform=masked)
+    archive = export_ops.read_archive(spark, record.archive_path, T.StructType.fromJson(json.loads(record.archive_schema)))
+    return archive.drop("archive_key").withColumn("status", F.lit(record.status.value))
+
+
+class _Swapped(LiveTable):
+    """A live table whose owner changes it between the proof and the first delete."""
+
+    def delete_window(self, *given):
+        self.swap()
+        return super().delete_window(*given)
+
+
+def live_delete_swap(spark, sf_dir):
+    """Between proof and delete one row is replaced and one changed: both stay, the archived rows go."""
+    orders = table(spark, sf_dir, "orders")
+    store = RowFiles(scratch_dir(spark, "live-orders"), "o_orderkey", orders.schema)
+    store.fill(scan.window_scan(orders, ORDERS, FIRST_WINDOW))
+    outside = delete_ops.survivors_of_window(orders, ORDERS, FIRST_WINDOW)
+    held = _Swapped(lambda: outside.unionByName(store.read(spark)), store.delete_rows, None)
+
+    def swap():
+        first, second = (
+            store.get(r.o_orderkey) for r in store.read(spark).select("o_orderkey").orderBy("o_orderkey").limit(2).collect()
+        )
+        store.put({**first, "o_orderkey": -first["o_orderkey"] - 1})
+        store.remove(first["o_orderkey"])
+        store.put({**second, "o_totalprice": second["o_totalprice"] + 1})
+
+    object.__setattr__(held, "swap", swap)
+    jobs = Retention(spark, ledger_ops.Ledger(spark, scratch_dir(spark, "ledger")), scratch_dir(spark, "archive"))
+    try:
+        jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF)
+    except RetentionError:
+        pass
+    status = jobs.ledger.find("orders", FIRST_WINDOW).status.value
+    return held.read().withColumn("status", F.lit(status))
+
+
 def archive_predicate_leftovers(spark, sf_dir):
     """Every order and where it is after a run with an extra predicate."""
     spec = ORDERS.with_predicate(PREDICATE)
@@ -560,6 +631,19 @@ def restore_counts(spark, sf_dir):
     )
 
 
+def restore_resumed(spark, sf_dir):
+    """A restore that ended after its insert and before its record is recorded when it is asked for again."""
+    held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS)
+    record = jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF)
+    schema = T.StructType.fromJson(json.loads(record.archive_schema))
+    jobs.ledger.record("orders", FIRST_WINDOW, ledger_ops.Status.RESTORE_STARTED, record.run_token, after=record)
+    held.insert(held.pin(), export_ops.read_archive(spark, record.archive_path, schema).drop("archive_key"), ORDERS)
+    done = jobs.restore_files(held, ORDERS, jobs.ledger.output_files("orders", FIRST_WINDOW).select("file_path"))
+    return held.read().select(
+        "*", F.lit(done.status.value).alias("status"), F.lit(done.restored).cast("long").alias("restored")
+    )
+
+
 def archive_walk(spark, sf_dir):
     """Window after window up to the cutoff, a year each; then the table that is left."""
     held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS, window_months=12)
@@ -600,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_summary": reconcile_summary,
     "reconcile_documents": reconcile_documents,
     "reconcile_duplicates": reconcile_duplicates,
+    "first_mismatch": first_mismatch,
     "missing_in_archive": missing_in_archive,
     "missing_in_source": missing_in_source,
     "set_equality": set_equality,
@@ -609,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "delete_survivors": delete_survivors,
     "delete_survivors_filter": delete_survivors_filter,
     "delete_batch_plan": delete_batch_plan,
+    "delete_batch_plan_lines": delete_batch_plan_lines,
     "restore_union": restore_union,
     "restore_roundtrip": restore_roundtrip,
     "ledger_fold": ledger_fold,
@@ -617,6 +703,7 @@ QUERIES: dict[str, Query] = {
     "file_lookup": file_lookup,
     "unknown_files": unknown_files,
     "restore_window_check": restore_window_check,
+    "restore_resolve": restore_resolve,
     "ledger_steps": ledger_steps,
     "resolve_explicit_start": resolve_explicit_start,
     "resolve_leap_day": resolve_leap_day,
@@ -629,6 +716,9 @@ QUERIES: dict[str, Query] = {
     "restore_counts": restore_counts,
     "archive_window_job": archive_window_job,
     "archive_walk": archive_walk,
+    "export_transform": export_transform,
+    "live_delete_swap": live_delete_swap,
+    "restore_resumed": restore_resumed,
 }
 
 

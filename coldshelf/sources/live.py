@@ -1,39 +1,48 @@
 """A table kept outside Spark, reached through functions the caller supplies.
 
-``jdbc_table`` builds one for a database. Rows are read and written by Spark;
-a delete is a list of key ranges that the caller's ``delete_range`` executes.
+``jdbc_table`` builds one for a database. Rows are read and written by Spark.
+A delete hands the archived rows, batch by batch and inside tasks, to the
+caller's ``delete_rows``, which removes those rows and no others.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from coldshelf.operators.delete import delete_batch_plan
+from coldshelf.operators.delete import delete_in_batches
 from coldshelf.session import scratch_dir
+from coldshelf.sources.scan import window_count
 from coldshelf.spec import DEFAULTS, TableSpec, Window
 
-
-DeleteRange = Callable[[Window, str | None, Any, Any], int]
+DeleteRows = Callable[[pa.Table], int]
 
 
 @dataclass(frozen=True)
 class LiveTable:
     """``reader`` re-reads the table on every call; nothing is pinned.
 
-    ``delete_range(window, predicate, first_pk, last_pk)`` removes the rows of
-    the window that the predicate (SQL text, or None) holds for, in a closed key
-    range, and returns how many it removed. ``writer`` must insert all rows or
-    none. ``not_null`` names the columns that the database declares NOT NULL.
+    ``delete_rows(archived)`` is called inside tasks, with at most
+    ``delete_batch_rows`` archived rows in the table's columns and types, or
+    with their key columns alone where a transform changed the others. In one
+    transaction it must remove every row that equals one of these in all columns
+    given (NULL equals NULL), and return how many rows with one of the keys are
+    left: rows that changed since the proof, which must stay. Rows that are gone
+    already are no failure, since a task may run twice. ``delete_tasks`` is how
+    many of these run at once. ``writer`` must insert all rows or none.
+    ``not_null`` names the columns that the database declares NOT NULL.
     """
 
     reader: Callable[[], DataFrame]
-    delete_range: DeleteRange
+    delete_rows: DeleteRows
     writer: Callable[[DataFrame], None]
     delete_batch_rows: int = DEFAULTS.delete_batch_rows
+    delete_tasks: int = 8
     not_null: tuple[str, ...] = ()
 
     def pin(self) -> None:
@@ -52,30 +61,27 @@ class LiveTable:
         """A table without versions may always have changed."""
         return False
 
-    def delete_window(self, snapshot: None, spec: TableSpec, window: Window, expected: int) -> int:
-        """Delete the window in key order, range by range, until the plan is done.
+    def delete_window(
+        self, snapshot: None, spec: TableSpec, window: Window, expected: int, archived: DataFrame
+    ) -> int:
+        """Delete the archived rows, and only those; returns how many are gone from the table.
 
-        The plan is written first. It has to hold exactly the expected rows, or
-        no row goes. Ranges are then streamed to the driver one partition at a
-        time; the first that removes more or fewer rows than planned ends it.
+        Rows that differ from their archived version stay, and so do rows that
+        came into the window after the proof. Either makes the delete fail,
+        with everything that is in the archive gone.
         """
-        plan = delete_batch_plan(self.reader(), spec, window, self.delete_batch_rows)
-        path = scratch_dir(plan.sparkSession, "delete-plan")
-        plan.write.parquet(path)
-        plan = plan.sparkSession.read.schema(plan.schema).parquet(path)
-        planned = plan.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-        if planned != expected:
-            raise ValueError(f"would delete {planned} rows where {expected} were reconciled")
-        deleted = 0
-        for batch in plan.orderBy("range_no", "batch_in_range").toLocalIterator():
-            gone = self.delete_range(window, spec.predicate, batch.first_pk, batch.last_pk)
-            deleted += gone
-            if gone != batch.n_rows:
-                raise ValueError(
-                    f"keys {batch.first_pk} to {batch.last_pk}: {gone} rows were deleted, {batch.n_rows} were planned; "
-                    f"{deleted} rows are gone in all"
-                )
-        return deleted
+        batches = delete_in_batches(archived, spec.pk, self.delete_batch_rows, self.delete_tasks, self.delete_rows)
+        path = scratch_dir(archived.sparkSession, "deleted")
+        batches.write.parquet(path)
+        counts = archived.sparkSession.read.schema(batches.schema).parquet(path)
+        zero = F.lit(0)
+        total, left = counts.agg(F.coalesce(F.sum("n_rows"), zero), F.coalesce(F.sum("n_left"), zero)).first()
+        if left:
+            raise ValueError(f"{left} archived key(s) hold other values by now: those rows stay, {total - left} are gone")
+        others = window_count(self.reader(), spec, window).first().n_rows
+        if others:
+            raise ValueError(f"{others} row(s) of the window are not in the archive: they stay, {total} are gone")
+        return total
 
     def insert(self, snapshot: None, rows: DataFrame, spec: TableSpec) -> int:
         count = rows.count()
@@ -108,21 +114,52 @@ def jdbc_options(
 def jdbc_table(
     spark: SparkSession,
     options: dict[str, str],
-    delete_range: DeleteRange,
+    delete_rows: DeleteRows,
+    publish: Callable[[str], None],
     not_null: tuple[str, ...] | None = None,
 ) -> LiveTable:
-    """A database table. The insert runs in one task, which is one transaction.
+    """A database table.
 
-    The NOT NULL columns are looked up in the database's catalog unless given.
+    An insert fills a staging table from many tasks; ``publish(staging)`` then
+    has to move its rows with one ``INSERT ... SELECT`` and drop it. The NOT
+    NULL columns are looked up in the database's catalog unless given.
     """
     if not_null is None:
         not_null = required_columns(spark, options, options["dbtable"])
 
-    def append(rows: DataFrame) -> None:
-        target = {k: options[k] for k in options if k in ("url", "dbtable", "user", "password", "driver")}
-        rows.coalesce(1).write.format("jdbc").options(**target).mode("append").save()
+    def fill(rows: DataFrame, staging: str) -> None:
+        target = {k: options[k] for k in options if k in ("url", "user", "password", "driver")}
+        rows.write.format("jdbc").options(**target, dbtable=staging).mode("errorifexists").save()
+
+    def reader() -> DataFrame:
+        return spark.read.format("jdbc").options(**options).load()
+
+    return LiveTable(reader, delete_rows, staged_writer(fill, publish, options["dbtable"]), not_null=not_null)
+
+
+def staged_writer(
+    fill: Callable[[DataFrame, str], None], publish: Callable[[str], None], table: str
+) -> Callable[[DataFrame], None]:
+    """A writer that inserts all rows or none: ``fill`` writes a new staging table in parallel, ``publish`` moves it.
+
+    A staging table is never used twice, so what a failed attempt left in one is not published.
+    """
+
+    def write(rows: DataFrame) -> None:
+        parts = name_parts(table)
+        staging = ".".join([*parts[:-1], f"{parts[-1]}_{uuid.uuid4().hex[:12]}"])
+        fill(rows, staging)
+        publish(staging)
+
+    return write
 
-    return LiveTable(lambda: spark.read.format("jdbc").options(**options).load(), delete_range, append, not_null=not_null)
+
+def name_parts(table: str) -> list[str]:
+    """Catalog, schema and name of a table as far as given, without quotes."""
+    parts = [p.strip().strip('"`[]') for p in table.split(".")]
+    if not 1 <= len(parts) <= 3 or not all(parts) or "(" in table:
+        raise ValueError(f"{table!r} is not a table name; name its NOT NULL columns in not_null")
+    return parts
 
 
 def required_columns(spark: SparkSession, options: dict[str, str], table: str) -> tuple[str, ...]:
@@ -131,16 +168,27 @@ def required_columns(spark: SparkSession, options: dict[str, str], table: str) -
     Spark's JDBC reader reports every column as nullable.
     """
     target = {k: v for k, v in options.items() if k in ("url", "user", "password", "driver")}
-    catalog = (
-        spark.read.format("jdbc")
-        .options(**target, dbtable="information_schema.columns")
-        .load()
-        .select(
-            F.col("TABLE_NAME").alias("t"),
-            F.col("COLUMN_NAME").alias("c"),
-            F.col("IS_NULLABLE").alias("n"),
-            F.col("ORDINAL_POSITION").alias("o"),
-        )
-    )
-    rows = catalog.where((F.lower("t") == table.lower()) & (F.col("n") == "NO")).orderBy("o").collect()
-    return tuple(r.c for r in rows)
+    catalog = spark.read.format("jdbc").options(**target, dbtable="information_schema.columns").load()
+    return declared_not_null(catalog, table)
+
+
+def declared_not_null(catalog: DataFrame, table: str) -> tuple[str, ...]:
+    """The table's NOT NULL columns in ``information_schema.columns``.
+
+    ``table`` may be qualified by schema, or by catalog and schema. Names agree
+    whatever their case, unless one agrees exactly. No such table, or several
+    of that name, is an error.
+    """
+    parts = name_parts(table)
+    levels = ["table_catalog", "table_schema", "table_name"]
+    named = catalog.select(*[F.col(c).alias(c) for c in (*levels, "column_name", "is_nullable", "ordinal_position")])
+    for level, part in zip(levels[-len(parts) :], parts):
+        named = named.where(F.lower(level) == part.lower())
+    columns = named.orderBy("ordinal_position").collect()
+    found = {tuple(r[c] for c in levels) for r in columns}
+    exact = {f for f in found if list(f[-len(parts) :]) == parts}
+    found = exact or found
+    if len(found) != 1:
+        which = ", ".join(sorted(".".join(str(x) for x in f) for f in found)) or "none"
+        raise ValueError(f"the database's catalog must hold one table {table!r}; it has: {which}")
+    return tuple(r.column_name for r in columns if tuple(r[c] for c in levels) in found and r.is_nullable == "NO")

@@ -125,10 +125,13 @@ class SnapshotTable:
 
     # -- writing -----------------------------------------------------------
 
-    def delete_window(self, snapshot: Snapshot, spec: TableSpec, window: Window, expected: int) -> int:
+    def delete_window(
+        self, snapshot: Snapshot, spec: TableSpec, window: Window, expected: int, archived: DataFrame | None = None
+    ) -> int:
         """Publish the table without the window's rows; only ``expected`` rows may go.
 
-        Segments wholly inside the window are dropped without being read.
+        Segments wholly inside the window are dropped without being read. The
+        archived rows are not needed: the version they were proved against is the one named.
         """
         slack = _slack(snapshot.schema)
         touched = [s for s in snapshot.segments if self._touches(s, window, slack)]

@@ -1,11 +1,16 @@
+import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from coldshelf import LiveTable, Ledger, Retention, RetentionError, RetentionRefused, SnapshotTable, Status, Window
+from coldshelf.operators.export import read_archive
 from coldshelf.plans.ledger import LedgerConflict
 from coldshelf.session import scratch_dir
+from coldshelf.sources.live import declared_not_null, staged_writer
+from coldshelf.sources.rowfiles import RowFiles
 from coldshelf.sources.snapshot import SnapshotConflict
 from fixtures import AS_OF, NEXT, OLD, SPEC, Shelf, order, order_rows, orders
 
@@ -268,6 +273,89 @@ def test_walk_passes_gaps_and_stops_at_the_cutoff(spark):
     assert done[2].n_files == 0
 
 
+def jobs_of(spark, work):
+    """How many Spark jobs it takes."""
+    group = f"walk-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_of_a_walk_do_not_grow_with_the_windows(spark):
+    taken, shelves = [], []
+    for months in (24, 3, 1):
+        shelf = Shelf(spark, window_months=months)
+        taken.append(jobs_of(spark, lambda: shelves.append((shelf, shelf.jobs.archive_pending(shelf.table, SPEC, date(2024, 1, 1))))))
+    assert [len(done) for _, done in shelves] == [2, 16, 48]
+    assert taken[0] == taken[1] == taken[2], taken
+    for shelf, done in shelves:
+        assert [r[0] for r in shelf.rows()] == list(range(41, 51))
+        assert sum(r.deleted for r in done) == 40 and {r.status for r in done} == {Status.DELETED}
+        assert all(a.window.end == b.window.start for a, b in zip(done, done[1:]))
+        assert shelf.statuses(done[0].window) == ["STARTED", "EXPORTED", "RECONCILED", "RECONCILED", "DELETED"]
+
+
+def test_windows_of_a_walk_are_restored_one_by_one(spark):
+    shelf = Shelf(spark, window_months=1)
+    before = shelf.rows()
+    done = shelf.jobs.archive_pending(shelf.table, SPEC, date(2024, 1, 1))
+    names = [f.rsplit("/", 1)[1] for r in done for f in set(shelf.files(r.window))]
+    assert len(set(names)) == len(names)
+    held = [r for r in done if r.n_files]
+    assert all(len(shelf.files(r.window)) == r.n_files for r in (*held, done[-1])) and len(held) > 4
+    for record in held:
+        assert shelf.restore(shelf.files(record.window)).restored == record.deleted
+    assert shelf.rows() == before
+
+
+def test_a_walk_stops_at_the_first_window_with_a_fault(spark):
+    """The windows before it are archived, as if each had been walked to by itself."""
+    rows = order_rows()
+    rows[33] = (*rows[33][:1], None, *rows[33][2:])
+    shelf = Shelf(spark, rows)
+    with pytest.raises(RetentionError, match="customer_id"):
+        shelf.jobs.archive_pending(shelf.table, SPEC, date(2024, 1, 1))
+    assert shelf.status(OLD) is Status.DELETED and shelf.status(NEXT) is Status.EXPORT_FAILED
+    assert len(shelf.rows()) == 20
+
+
+def test_a_walk_cut_short_in_its_delete_is_finished(spark):
+    live = Live(spark)
+    stop = Path(live.store.folder.removeprefix("file:")).parent / "stop"
+    stop.touch()
+    delete = live.store.delete_rows
+
+    def lost(archived):
+        if stop.exists() and max(archived.column("order_id").to_pylist()) > 25:
+            raise ConnectionError("lost")
+        return delete(archived)
+
+    object.__setattr__(live.table, "delete_rows", lost)
+    live.jobs = Retention(spark, live.jobs.ledger, live.jobs.archive_root, window_months=2)
+    before, as_of = live.rows(), date(2020, 9, 1)
+    with pytest.raises(RetentionError, match="lost"):
+        live.jobs.archive_pending(live.table, SPEC, as_of)
+    assert 10 < len(live.rows()) < 50
+    stop.unlink()
+    live.jobs.archive_pending(live.table, SPEC, as_of)
+    assert [r[0] for r in live.rows()] == list(range(41, 51))
+    files = live.jobs.ledger.state(SPEC.name).where("deleted > 0").select("archive_path").collect()
+    schema = live.schema
+    held = [tuple(r) for f in files for r in read_archive(spark, f.archive_path, schema).drop("archive_key").collect()]
+    assert sorted(held + live.rows()) == before
+
+
+def test_a_walk_with_a_transform_or_predicate(spark):
+    shelf = Shelf(spark, window_months=2)
+    spec = SPEC.with_predicate("order_id % 2 = 0")
+    done = shelf.jobs.archive_pending(shelf.table, spec, date(2024, 1, 1), transform=lambda rows: rows.withColumn("status", F.lower("status")))
+    assert sum(r.deleted for r in done) == 20 and all(r.transformed and r.predicate for r in done)
+    assert [r[0] for r in shelf.rows()] == [*range(1, 41, 2), *range(41, 51)]
+
+
 def test_a_window_that_only_touches_segments_is_empty(spark):
     shelf = Shelf(spark, [order(1, date(2015, 1, 31), "1.00")])
     done = shelf.archive(Window(date(2015, 1, 1), date(2015, 1, 15)))
@@ -392,102 +480,241 @@ def test_whole_segments_are_dropped_without_a_rewrite(spark):
 # -- a table outside Spark ------------------------------------------------------
 
 
-def test_live_table_is_deleted_by_key_ranges(spark):
-    held = {r[0]: r for r in order_rows()}
-    ranges = []
+class Live:
+    """Orders kept in one file each, with the jobs over them; ``on_read`` runs before each read of the table."""
 
-    def delete_range(window, predicate, first, last):
-        assert predicate is None
-        gone = [k for k, r in held.items() if first <= k <= last and window.start <= r[2] < window.end]
-        for k in gone:
-            del held[k]
-        ranges.append((first, last))
-        return len(gone)
+    def __init__(self, spark, rows=None, **options):
+        root = scratch_dir(spark, "live")
+        self.spark, self.schema = spark, orders(spark, []).schema
+        self.store = RowFiles(f"{root}/rows", "order_id", self.schema)
+        self.store.fill(orders(spark, rows))
+        self.reads, self.on_read = 0, None
+        options = {"delete_rows": self.store.delete_rows, "writer": self.store.fill, "delete_batch_rows": 7, **options}
+        self.table = LiveTable(self.read, **options)
+        self.jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
 
-    def insert(rows):
-        held.update((r[0], tuple(r)) for r in rows.collect())
+    def read(self):
+        if self.on_read:
+            self.on_read(self.reads)
+        self.reads += 1
+        return orders(self.spark, self.rows())
+
+    def rows(self):
+        return sorted(tuple(r) for r in self.store.read(self.spark).collect())
+
+    def archived(self, window=OLD):
+        record = self.jobs.ledger.find(SPEC.name, window)
+        schema = T.StructType.fromJson(json.loads(record.archive_schema))
+        return sorted(tuple(r) for r in read_archive(self.spark, record.archive_path, schema).drop("archive_key").collect())
+
+    def archive(self, spec=SPEC, **options):
+        return self.jobs.archive_window(self.table, spec, OLD, AS_OF, **options)
 
-    table = LiveTable(lambda: orders(spark, list(held.values())), delete_range, insert, delete_batch_rows=7)
-    before = dict(held)
-    root = scratch_dir(spark, "live")
-    jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
-    done = jobs.archive_window(table, SPEC, OLD, AS_OF)
-    assert done.deleted == 30 and len(held) == 20
-    assert ranges == sorted(ranges) and len(ranges) >= 5
-    files = [r.file_path for r in jobs.ledger.output_files(SPEC.name, OLD).collect()]
-    assert jobs.restore_files(table, SPEC, files).restored == 30
-    assert held == before
+
+def test_live_table_is_deleted_by_archived_rows(spark):
+    live = Live(spark)
+    before = live.rows()
+    assert live.archive().deleted == 30 and live.rows() == without_window(before)
+    files = [r.file_path for r in live.jobs.ledger.output_files(SPEC.name, OLD).collect()]
+    assert live.jobs.restore_files(live.table, SPEC, files).restored == 30
+    assert live.rows() == before
 
 
 def test_live_delete_cut_short_is_finished(spark):
-    held = {r[0]: r for r in order_rows()}
-    calls = []
+    live = Live(spark)
+    refuse = Path(live.store.folder.removeprefix("file:")).parent / "refuse"
+    refuse.touch()
+    delete = live.store.delete_rows
 
-    def delete_range(window, predicate, first, last):
-        calls.append(first)
-        if len(calls) == 3:
+    def lost(archived):
+        if refuse.exists() and 17 in archived.column("order_id").to_pylist():
             raise ConnectionError("lost")
-        gone = [k for k, r in held.items() if first <= k <= last and window.start <= r[2] < window.end]
-        for k in gone:
-            del held[k]
-        return len(gone)
+        return delete(archived)
 
-    table = LiveTable(lambda: orders(spark, list(held.values())), delete_range, None, delete_batch_rows=7)
-    root = scratch_dir(spark, "live")
-    jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
+    object.__setattr__(live.table, "delete_rows", lost)
     with pytest.raises(RetentionError, match="lost"):
-        jobs.archive_window(table, SPEC, OLD, AS_OF)
-    assert 20 < len(held) < 50
-    done = jobs.archive_window(table, SPEC, OLD, AS_OF)
-    assert (done.status, done.deleted, len(held)) == (Status.DELETED, 30, 20)
-    assert done.exported == 30 and jobs.ledger.output_files(SPEC.name, OLD).agg(F.sum("n_rows")).first()[0] == 30
+        live.archive()
+    assert 20 < len(live.rows()) < 50
+    refuse.unlink()
+    done = live.archive()
+    assert (done.status, done.deleted, len(live.rows())) == (Status.DELETED, 30, 20)
+    assert done.exported == 30 and live.jobs.ledger.output_files(SPEC.name, OLD).agg(F.sum("n_rows")).first()[0] == 30
 
 
-def live(spark, held, delete_range, **options):
-    table = LiveTable(lambda: orders(spark, list(held.values())), delete_range, None, delete_batch_rows=7, **options)
-    root = scratch_dir(spark, "live")
-    return table, Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
+def test_live_delete_with_a_predicate_takes_its_rows_only(spark):
+    live = Live(spark)
+    assert live.archive(SPEC.with_predicate("order_id in (1, 20)")).deleted == 2
+    assert [r[0] for r in live.rows()] == [i for i in range(1, 51) if i not in (1, 20)]
 
 
-def test_live_delete_with_a_predicate_takes_its_rows_only(spark):
-    held = {r[0]: r for r in order_rows()}
+def test_live_delete_after_a_transform_goes_by_key(spark):
+    live = Live(spark)
+    done = live.archive(transform=lambda rows: rows.withColumn("status", F.lower("status")))
+    assert done.deleted == 30 and len(live.rows()) == 20
+    assert {r[4] for r in live.archived()} == {"closed"}
 
-    def delete_range(window, predicate, first, last):
-        assert predicate == "order_id in (1, 20)"
-        gone = [k for k, r in held.items() if first <= k <= last and window.start <= r[2] < window.end and k in (1, 20)]
-        for k in gone:
-            del held[k]
-        return len(gone)
 
-    table, jobs = live(spark, held, delete_range)
-    spec = SPEC.with_predicate("order_id in (1, 20)")
-    assert jobs.archive_window(table, spec, OLD, AS_OF).deleted == 2 and len(held) == 48
+@pytest.mark.parametrize("kind,at", [*(("swap", i) for i in range(8)), *(("change", i) for i in range(2, 7)), ("add", 4), ("add", 6)])
+def test_no_row_is_lost_when_the_owner_writes_at_any_read(spark, kind, at):
+    """Row 5 is replaced by row 777, or changed, or row 777 is added, before one of the reads."""
+    live = Live(spark)
+    fifth = live.store.get(5)
+    new = {**fifth, "customer_id": 1, **({} if kind == "change" else {"order_id": 777})}
+
+    def write(read):
+        if read == at:
+            if kind == "swap":
+                live.store.remove(5)
+            live.store.put(new)
+
+    live.on_read = write
+    try:
+        status = live.archive().status
+    except RetentionError:
+        status = live.jobs.ledger.find(SPEC.name, OLD).status
+    live.on_read = None
+    last = tuple(new[c] for c in live.schema.names)
+    left = live.rows()
+    if live.reads > at:
+        assert last in left or last in live.archived()
+    others = [r for r in map(tuple, order_rows()) if r[0] != 5]
+    assert all(r in left or r in live.archived() for r in others)
+    if status is Status.DELETED:
+        assert left == without_window(left)
+
+
+def test_live_delete_leaves_what_came_after_the_proof(spark):
+    live = Live(spark)
+    fifth = live.store.get(5)
+
+    class Swapped(LiveTable):
+        def delete_window(self, *given):
+            live.store.remove(5)
+            live.store.put({**fifth, "order_id": 777})
+            live.store.put({**live.store.get(6), "customer_id": 1})
+            return super().delete_window(*given)
+
+    table = Swapped(live.read, live.store.delete_rows, None, delete_batch_rows=7)
+    with pytest.raises(RetentionError, match="1 archived key.* 29 are gone"):
+        live.jobs.archive_window(table, SPEC, OLD, AS_OF)
+    assert [r[0] for r in live.rows() if OLD.start <= r[2] < OLD.end] == [6, 777]
+    assert live.jobs.ledger.find(SPEC.name, OLD).status is Status.DELETE_FAILED
+    with pytest.raises(RetentionRefused, match="not in its files"):
+        live.archive()
+
+
+def cut_short_restore(live, keep=lambda key: True):
+    """An archived window whose restore inserted rows and then ended."""
+    live.archive()
+    record = live.jobs.ledger.find(SPEC.name, OLD)
+    live.jobs.ledger.record(SPEC.name, OLD, Status.RESTORE_STARTED, record.run_token, after=record)
+    rows = [r for r in live.archived() if keep(r[0])]
+    live.store.fill(orders(live.spark, rows))
+    files = [r.file_path for r in live.jobs.ledger.output_files(SPEC.name, OLD).collect()]
+    return lambda: live.jobs.restore_files(live.table, SPEC, files)
+
+
+def test_a_restore_cut_short_after_its_insert_is_recorded(spark):
+    live = Live(spark)
+    before = live.rows()
+    done = cut_short_restore(live)()
+    assert (done.status, done.restored) == (Status.RESTORED, 30) and live.rows() == before
+
+
+def test_a_partly_present_or_changed_window_is_not_taken_for_restored(spark):
+    live = Live(spark)
+    again = cut_short_restore(live, lambda key: key != 9)
+    with pytest.raises(RetentionRefused, match="already has 29 rows"):
+        again()
+    live.store.put({**live.store.get(8), "order_id": 9})
+    with pytest.raises(RetentionRefused, match="already has 30 rows"):
+        again()
+    assert live.jobs.ledger.find(SPEC.name, OLD).status is Status.RESTORE_STARTED
+
+
+def test_a_restore_that_failed_after_its_insert_can_be_recorded(spark):
+    live = Live(spark)
+    again = cut_short_restore(live)
+    record = live.jobs.ledger.find(SPEC.name, OLD)
+    live.jobs.ledger.record(SPEC.name, OLD, Status.RESTORE_FAILED, record.run_token, after=record, error="lost")
+    assert again().status is Status.RESTORED
+
+
+def test_rows_of_a_deleted_window_are_still_refused(spark):
+    """Without a restore that had begun, equal rows are somebody else's."""
+    live = Live(spark)
+    live.archive()
+    live.store.fill(orders(spark, live.archived()))
+    files = [r.file_path for r in live.jobs.ledger.output_files(SPEC.name, OLD).collect()]
+    with pytest.raises(RetentionRefused, match="already has 30 rows"):
+        live.jobs.restore_files(live.table, SPEC, files)
+
+
+def test_staged_insert_is_parallel_and_published_once(spark, tmp_path):
+    held, published = {}, []
+
+    def fill(rows, staging):
+        assert staging not in held
+        held[staging] = rows.rdd.getNumPartitions()
+
+    write = staged_writer(fill, published.append, 'shop."orders"')
+    rows = orders(spark).repartition(5)
+    write(rows)
+    write(rows)
+    assert published == list(held) and len(held) == 2 and set(held.values()) == {5}
+    assert all(name.startswith("shop.orders_") for name in published)
+
+    def fails(rows, staging):
+        raise ConnectionError("lost")
+
+    with pytest.raises(ConnectionError):
+        staged_writer(fails, published.append, "orders")(rows)
+    assert len(published) == 2
+
+
+def catalog(spark):
+    data = [
+        ("db", "shop", "orders", "id", "NO", 1),
+        ("db", "shop", "orders", "note", "YES", 2),
+        ("db", "shop", "orders", "day", "NO", 3),
+        ("db", "old", "orders", "key", "NO", 1),
+        ("db", "shop", "Lines", "a", "NO", 1),
+        ("db", "shop", "lines", "b", "NO", 1),
+        ("db", "shop", "free", "c", "YES", 1),
+    ]
+    return spark.createDataFrame(
+        data,
+        "TABLE_CATALOG string, TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, IS_NULLABLE string, ORDINAL_POSITION int",
+    )
 
 
-def test_live_delete_stops_at_the_first_batch_that_differs(spark):
-    held = {r[0]: r for r in order_rows()}
-    calls = []
+@pytest.mark.parametrize(
+    "name,columns",
+    [
+        ("shop.orders", ("id", "day")),
+        ("SHOP.Orders", ("id", "day")),
+        ('db."shop".`orders`', ("id", "day")),
+        ("old.orders", ("key",)),
+        ("shop.Lines", ("a",)),
+        ("lines", ("b",)),
+        ("free", ()),
+    ],
+)
+def test_not_null_columns_of_a_qualified_table(spark, name, columns):
+    assert declared_not_null(catalog(spark), name) == columns
 
-    def careless(window, predicate, first, last):
-        calls.append(first)
-        gone = [k for k in held if first <= k <= last]
-        for k in gone:
-            del held[k]
-        return len(gone)
 
-    table, jobs = live(spark, held, careless)
-    spec = SPEC.with_predicate("order_id in (1, 20)")
-    with pytest.raises(RetentionError, match="were planned"):
-        jobs.archive_window(table, spec, OLD, AS_OF)
-    assert len(calls) == 1
+@pytest.mark.parametrize("name", ["orders", "shop.LINES", "none", "other.orders", "(select 1) t", "a.b.c.d", ""])
+def test_unclear_tables_are_an_error(spark, name):
+    with pytest.raises(ValueError):
+        declared_not_null(catalog(spark), name)
 
 
 def test_declared_not_null_columns_are_required(spark):
-    held = {r[0]: r for r in order_rows()}
-    held[3] = held[3][:4] + (None,) + held[3][5:]
-    table, jobs = live(spark, held, None, not_null=("status",))
+    live = Live(spark, not_null=("status",))
+    live.store.put({**live.store.get(3), "status": None})
     with pytest.raises(RetentionError, match="status.*'order_id': 3"):
-        jobs.archive_window(table, SPEC.__class__("test_orders", pk="order_id"), OLD, AS_OF)
+        live.archive(SPEC.__class__("test_orders", pk="order_id"))
 
 
 def test_jdbc_read_options():
