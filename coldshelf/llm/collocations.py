@@ -5,7 +5,8 @@ the corpus. Relation k holds the occurrences of frequent phrases of k words.
 It is merge-joined with itself at the next position of the same piece, which
 gives the occurrences of phrases of k + 1 words whose two parts are frequent;
 these are counted by phrase, and a semi-join with the frequent ones leaves
-relation k + 1. Each relation is written to the shared folder.
+relation k + 1. Each relation is written to the shared folder; what led to it,
+tables and shuffle files, is deleted then.
 
 A relation is written in blocks: a block has whole pieces of one language.
 Position p of a block holds the number of the phrase that begins there, or 0
@@ -28,11 +29,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from coldshelf.llm.shared import slices, small, written
+from coldshelf.llm.shared import slices, small
+from coldshelf.session import scratch_dir
 
 #: Positions of a block; a single longer piece is a block of its own.
 BLOCK = 1 << 20
@@ -104,47 +107,91 @@ def frequent_phrases(
     ``right_id`` are the phrases without its last and without its first word.
     Ids are distinct among phrases of equal k.
     """
-    texts = written(spark, word_blocks(docs, block), "words")
-    words = texts.groupBy("lang").agg(F.sum("n").alias("n"))
-    listed = texts.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word"))
+    texts = _Kept(spark, word_blocks(docs, block), "words")
+    words = _Kept(spark, texts.rows.groupBy("lang").agg(F.sum("n").alias("n")), "totals").rows
+    listed = texts.rows.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word"))
     rows = listed.select(
         "block", (F.col("place") + 1).alias("place"), "lang", F.col("word.words").alias("word"), F.col("word.counts").alias("n")
     )
     common = _common(spark, rows, ["lang", "word"], min_count)
-    found = common.where(FIRST).select(
+    found = common.rows.where("first").select(
         *("id", "lang", F.col("word").cast("string").alias("phrase"), F.lit(1).alias("k"), "a"),
         *(F.lit(None).cast("long").alias(c) for c in ("left_id", "right_id")),
     )
-    levels = [found]
-    held = texts.select("block", "codes", F.lit(None).cast("binary").alias("ids"))
+    levels = [_Kept(spark, found, "phrases").rows]
+    held = texts
+    relation = texts.rows.select("block", "codes", F.lit(None).cast("binary").alias("ids"))
     for k in range(2, longest + 1):
-        held = written(spark, _semi_join(held, common), "relation")
-        rows = held.mapInArrow(_counted, "block long, place int, left_id long, right_id long, n long")
+        following = _Kept(spark, _semi_join(relation, common.rows), "relation")
+        held.drop()
+        common.drop()
+        held, relation = following, following.rows
+        rows = relation.mapInArrow(_counted, "block long, place int, left_id long, right_id long, n long")
         common = _common(spark, rows, ["left_id", "right_id"], min_count)
         first = levels[-1].select(F.col("id").alias("left_id"), "lang", F.col("phrase").alias("head"))
         last = levels[-1].select(F.col("id").alias("right_id"), F.element_at(F.split("phrase", " "), -1).alias("tail"))
-        found = common.where(FIRST).join(first, "left_id").join(last, "right_id")
+        found = common.rows.where("first").join(first, "left_id").join(last, "right_id")
         phrase = F.concat_ws(" ", "head", "tail").alias("phrase")
-        found = written(spark, found.select("id", "lang", phrase, F.lit(k).alias("k"), "a", "left_id", "right_id"), "phrases")
+        found = _Kept(spark, found.select("id", "lang", phrase, F.lit(k).alias("k"), "a", "left_id", "right_id"), "phrases").rows
         if found.isEmpty():
             break
         levels.append(found)
+    held.drop()
+    common.drop()
     return reduce(DataFrame.union, levels), words
 
 
-#: The first of a phrase's rows, whose own number is the id.
-FIRST = "block + place = id"
+class _Kept:
+    """A table in the shared folder, until it is dropped. The shuffle files of its making go when it is complete."""
 
+    _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def _common(spark: SparkSession, rows: DataFrame, keys: list[str], min_count: int) -> DataFrame:
+    def __init__(self, spark: SparkSession, frame: DataFrame, label: str) -> None:
+        self._spark, self._path = spark, scratch_dir(spark, label)
+        before = spark.conf.get(self._CLEANUP, "false")
+        spark.conf.set(self._CLEANUP, "true")
+        try:
+            frame.write.parquet(self._path)
+        finally:
+            spark.conf.set(self._CLEANUP, before)
+        self.rows = spark.read.schema(frame.schema).parquet(self._path)
+
+    def drop(self) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _common(spark: SparkSession, rows: DataFrame, keys: list[str], min_count: int) -> _Kept:
     """Of rows ``block, place, *keys, n``, one for each block and phrase, those of frequent phrases.
 
-    ``a`` is the count of all, ``id`` the smallest of the phrase's numbers.
+    ``a`` is the count of all, ``id`` a number for the phrase, ``first`` marks one
+    of its rows. Ids are small: the how manieth phrase of its task, times the
+    number of tasks, plus that of the task.
     """
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    stride = max(int(spark.conf.get(c, "0")) for c in settings)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n, last = TaskContext.get().partitionId(), -1, None
+        assert task < stride
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = np.zeros(batch.num_rows, dtype=bool)
+            for key in (batch.column(c) for c in keys):
+                fresh[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+            here = tuple(batch.column(c)[0].as_py() for c in keys)
+            fresh[0] = here != last
+            last = tuple(batch.column(c)[-1].as_py() for c in keys)
+            numbers = n + np.cumsum(fresh)
+            n = int(numbers[-1])
+            batch = batch.append_column("id", pa.array(numbers * stride + task, pa.int64()))
+            yield batch.append_column("first", pa.array(fresh))
+
     of_phrase = Window.partitionBy(*keys)
-    number = F.min(F.col("block") + F.col("place")).over(of_phrase).alias("id")
-    counted = rows.select("*", F.sum("n").over(of_phrase).alias("a"), number)
-    return written(spark, counted.where(F.col("a") >= min_count).drop("n"), "common")
+    counted = rows.select("*", F.sum("n").over(of_phrase).alias("a")).where(F.col("a") >= min_count).drop("n")
+    schema = T.StructType([*counted.schema.fields]).add("id", "long").add("first", "boolean")
+    return _Kept(spark, counted.mapInArrow(numbered, schema), "common")
 
 
 class _Words(dict):
