@@ -169,7 +169,7 @@ def _common(spark: SparkSession, rows: DataFrame, keys: list[str], min_count: in
     number of tasks, plus that of the task.
     """
     settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-    stride = max(int(spark.conf.get(c, "0")) for c in settings)
+    stride = max(int(spark.conf.get(c, "1")) for c in settings)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n, last = TaskContext.get().partitionId(), -1, None
