@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from enum import Enum
+from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -172,10 +174,15 @@ class Ledger:
     Events recorded together, one or one for each of several windows, are a
     directory, ``table_name=<t>/seq=<n>``, created only if absent: two writers that
     pick the same number cannot both succeed.
+    After every ``COMPACT`` of them the state they lead to is written as one
+    table, so a lookup reads that and the events since, however long the history.
     The part files of a run are listed by a Spark job into the manifest; no
     file list passes through the driver. One writer per table at a time.
     """
 
+    #: Event folders that are read one by one at most, but where a writer died before it wrote the state.
+    COMPACT = 16
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -186,7 +193,7 @@ class Ledger:
         return self._read("events", T.StructType(fields), table)
 
     def state(self, table: str | None = None) -> DataFrame:
-        return fold(self.events(table), CARRIED, REPLACED)
+        return fold(self._recent(table) if table else self.events(), CARRIED, REPLACED)
 
     def find(self, table: str, window: Window) -> Record | None:
         return self._lookup(table, window)[1]
@@ -254,7 +261,7 @@ class Ledger:
         predicate: str | None, values: dict[Window, dict] | None = None, error: str | None = None,
     ) -> dict[Window, Record]:
         """Append one event for each of several windows, all at once; ``steps`` holds the states they follow."""
-        latest = self.events(table).agg(F.max("seq")).first()[0] or 0
+        latest = self._latest(table)
         made = {}
         for number in (lambda: latest + 1, lambda: self._last_folder(table) + 1):
             seq = number()
@@ -266,7 +273,7 @@ class Ledger:
                 made[window] = _follow(known, table, window, seq, event)
             if self._create(*made.values()):
                 return made
-            if (self.events(table).agg(F.max("seq")).first()[0] or 0) > latest:
+            if self._latest(table) > latest:
                 break  # else a writer died before it committed and left a folder without an event in it
         raise LedgerConflict(f"another writer is recording runs of '{table}'")
 
@@ -329,14 +336,55 @@ class Ledger:
             if taken.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
             return False
+        if records[0].seq % self.COMPACT == 0:
+            self._compact(records[0].table_name, records[0].seq)
         return True
 
+    def _compact(self, table: str, upto: int) -> None:
+        """Write the state after event ``upto``; the one before it stays for readers that have begun."""
+        folder = self._folder("state", table)
+        self.state(table).write.mode("ignore").parquet(f"{folder}/upto={upto}")
+        for older in sorted(numbered_folders(self.spark, folder, "upto="))[:-2]:
+            path, files = self._file(f"{folder}/upto={older}")
+            files.delete(path, True)
+
+    def _compacted(self, table: str) -> int:
+        """The last event that a completely written state holds; 0 without one."""
+        path, files = self._file(self._folder("state", table))
+        if not files.exists(path):
+            return 0
+        for upto in sorted(numbered_folders(self.spark, self._folder("state", table), "upto="), reverse=True):
+            path, files = self._file(f"{self._folder('state', table)}/upto={upto}/_SUCCESS")
+            if files.exists(path):
+                return upto
+        return 0
+
+    def _recent(self, table: str) -> DataFrame:
+        """One table's events that still count: those since the last written state, which stands for the others."""
+        schema = T.StructType([T.StructField("seq", T.LongType()), *EVENT_SCHEMA.fields])
+        self._begin("events", schema, table)
+        upto, folder = self._compacted(table), self._folder("events", table)
+        recent = [n for n in numbered_folders(self.spark, folder, "seq=") if n > upto or not upto]
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/events")
+        parts = [reader.parquet(*[f"{folder}/seq={n}" for n in recent])] if recent else []
+        if upto:
+            parts.append(self.spark.read.schema(schema).parquet(f"{self._folder('state', table)}/upto={upto}"))
+        found = reduce(DataFrame.union, [p.select(*schema.names) for p in parts])
+        return found.where(F.col("table_name") == table)
+
+    def _latest(self, table: str) -> int:
+        return self._recent(table).agg(F.max("seq")).first()[0] or 0
+
+    def _file(self, path: str) -> tuple[Any, Any]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _lookup(self, table: str, window: Window) -> tuple[int, Record | None]:
         """Last event number of the table, and the state of one window, in one read."""
         here = (F.col("window_start") == F.lit(window.start)) & (F.col("window_end") == F.lit(window.end))
         state = F.struct("seq", *REPLACED, *CARRIED)
         latest, found = (
-            self.events(table)
+            self._recent(table)
             .agg(F.max("seq"), F.max_by(state, F.when(here, F.col("seq"))))
             .first()
         )

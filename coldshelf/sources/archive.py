@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from coldshelf.spec import quoted
 
 # Footer entry in which Spark's Parquet writer stores the schema of a file.
 SPARK_SCHEMA_ENTRY = b"org.apache.spark.sql.parquet.row.metadata"
@@ -69,8 +70,10 @@ def file_columns(spark: SparkSession, files: list[str] | DataFrame) -> DataFrame
 def check_files(spark: SparkSession, files: list[str] | DataFrame, expected: T.StructType) -> None:
     """Fail unless every named file exists and has the expected column names and types."""
     wanted = expected.simpleString()
+    named = F.when(~F.col("file_path").endswith(".parquet"), "not named like a part file")
     wrong = (
         file_columns(spark, files)
+        .withColumn("problem", F.coalesce("problem", named))
         .where(F.col("problem").isNotNull() | (F.col("columns") != wanted))
         .orderBy("file_path")
         .first()
@@ -81,13 +84,35 @@ def check_files(spark: SparkSession, files: list[str] | DataFrame, expected: T.S
 
 
 def archive_scan(spark: SparkSession, files: list[str] | DataFrame, expected: T.StructType) -> DataFrame:
-    """Rows of exactly the named files, after checking each of them.
+    """Rows of exactly the named files, after checking each of them; a file named twice is an error.
 
-    Spark plans a scan from paths on the driver, so the names pass through it
-    there; their number is that of the part files of what is read.
+    The folders that hold them are read, and of those the rows whose file is
+    among the names. Only the folders pass through the driver: there is one for
+    each archive key, however many files it has.
     """
     names = named_files(spark, files)
     if names.isEmpty():
         raise ValueError("no archive file was named")
     check_files(spark, names, expected)
-    return spark.read.schema(expected).parquet(*[r.file_path for r in names.toLocalIterator()])
+    twice = names.groupBy(_without_store("file_path").alias("place")).count().where("count > 1").first()
+    if twice is not None:
+        raise ArchiveSchemaError(f"{twice.place} is named {twice['count']} times")
+    folder = F.regexp_replace("file_path", "/[^/]*$", "")
+    folders = names.select(folder.alias("given"), _without_store(folder).alias("folder")).groupBy("folder").agg(F.min("given").alias("given"))
+    # Part files right in the folders; characters that patterns give a meaning are taken literally.
+    literal = F.regexp_replace("given", r"([\\*?{}\[\]^])", r"\\$1")
+    rows = spark.read.schema(expected).parquet(*[r.place for r in folders.select(F.concat(literal, F.lit("/*.parquet")).alias("place")).collect()])
+    # The reader's own paths are encoded as in a URI.
+    own = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    wanted = names.select(_without_store("file_path").alias(FILE)).distinct()
+    return rows.withColumn(FILE, own).withColumn(FILE, _without_store(FILE)).join(wanted, FILE, "left_semi").select(
+        *[F.col(quoted(c)) for c in expected.names]
+    )
+
+
+FILE = "__coldshelf_file"
+
+
+def _without_store(path: Column | str) -> Column:
+    """The path without scheme and host, with single slashes."""
+    return F.regexp_replace(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9.-]*:(//[^/]*)?", ""), "/+", "/")

@@ -2,13 +2,15 @@ import json
 from datetime import date
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from coldshelf import LiveTable, Ledger, Retention, RetentionError, RetentionRefused, SnapshotTable, Status, Window
 from coldshelf.operators.export import read_archive
-from coldshelf.plans.ledger import LedgerConflict
+from coldshelf.plans.ledger import CARRIED, REPLACED, LedgerConflict, fold
 from coldshelf.session import scratch_dir
+from coldshelf.sources.archive import ArchiveSchemaError, archive_scan
 from coldshelf.sources.live import declared_not_null, staged_writer
 from coldshelf.sources.rowfiles import RowFiles
 from coldshelf.sources.snapshot import SnapshotConflict
@@ -71,6 +73,23 @@ def test_restore_refuses_unknown_mixed_and_incomplete_files(spark):
     assert shelf.restore(old).status is Status.RESTORED
 
 
+def test_named_files_are_read_among_others(spark, tmp_path):
+    """Files in folders with other files, spaces and signs in their names, given with a scheme or without."""
+    folder = tmp_path / "cold store+1" / "a%20b [2]"
+    rows = spark.range(40).repartition(4)
+    rows.write.parquet(str(folder))
+    names = sorted(p.name for p in folder.glob("*.parquet"))
+    (folder / "deeper").mkdir()
+    (folder / names[3]).rename(folder / "deeper" / names[3])
+    given = [f"{folder}/{names[0]}", f"file:{folder}/{names[1]}", f"file://{folder}/deeper/{names[3]}"]
+    want = {x for i in (0, 1, 3) for x in pq.read_table(folder / "deeper" / names[i] if i == 3 else folder / names[i]).column("id").to_pylist()}
+    for files in (given, spark.createDataFrame([(g,) for g in given], "file_path string")):
+        got = archive_scan(spark, files, rows.schema)
+        assert sorted(r.id for r in got.collect()) == sorted(want) and got.columns == ["id"]
+    with pytest.raises(ArchiveSchemaError, match="named 2 times"):
+        archive_scan(spark, [given[0], "file:" + given[0]], rows.schema)
+
+
 def test_files_may_have_moved(spark, tmp_path):
     import os
     import shutil
@@ -450,6 +469,34 @@ def test_an_event_folder_without_an_event_is_skipped(spark, tmp_path):
     assert ledger.find("t", OLD).status is Status.EXPORTED
 
 
+def test_a_lookup_reads_few_files_however_long_the_history(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Ledger, "COMPACT", 5)
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    windows = [Window(date(2010 + i, 1, 1), date(2011 + i, 1, 1)) for i in range(3)]
+    read = []
+    for i in range(3 * Ledger.COMPACT + 5):
+        window = windows[i % 2]
+        known = ledger.find("t", window)
+        status = Status.EXPORTED if known and known.status is Status.STARTED else Status.STARTED
+        ledger.record("t", window, status, f"run{i}", **({"exported": i} if status is Status.EXPORTED else {}))
+        read.append(len(ledger.state("t").inputFiles()))
+    assert max(read) <= Ledger.COMPACT + 4 and len(ledger.events("t").inputFiles()) > 3 * Ledger.COMPACT
+    whole = fold(ledger.events("t"), CARRIED, REPLACED)
+    rows = [sorted(map(tuple, f.select(*sorted(f.columns)).collect()), key=repr) for f in (ledger.state("t"), whole)]
+    assert rows[0] == rows[1] and len(rows[0]) == 2
+    steps = ledger.record_many("t", {w: ledger.find("t", w) for w in windows}, Status.STARTED, "run", None)
+    assert {ledger.find("t", w) == steps[w] or ledger.find("t", w).seq == steps[w].seq for w in windows} == {True}
+
+
+def test_a_state_that_was_not_written_to_its_end_is_not_used(spark, tmp_path):
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    for i in range(Ledger.COMPACT + 1):
+        ledger.record("t", OLD, Status.STARTED, f"run{i}")
+    (tmp_path / "ledger" / "state" / "t=t" / f"upto={Ledger.COMPACT}" / "_SUCCESS").unlink()
+    assert ledger.find("t", OLD).run_token == f"run{Ledger.COMPACT}"
+    assert ledger.find("t", OLD).seq == Ledger.COMPACT + 1
+
+
 def test_two_publishers_of_one_version(spark):
     shelf = Shelf(spark)
     pinned = shelf.table.pin()
