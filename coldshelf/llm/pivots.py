@@ -32,6 +32,8 @@ VECTOR_BLOCK = 4096
 QUERY_BLOCK = 256
 #: Candidates evaluated at a time, in the order of their bounds.
 STEP = 256
+#: Squares of norms from which a vector has no bound, as its products pass the exact whole numbers of a float.
+LARGE = 2.0**52
 
 
 def whole_vectors(vectors: DataFrame) -> DataFrame:
@@ -76,13 +78,15 @@ def search_block(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query its k best of one block of vectors: query id, vec_ids, scores."""
     points = np.concatenate([queries.astype(np.float64), np.zeros((len(queries), 1))], axis=1)
+    large = (vecs.astype(np.float64) ** 2).sum(axis=1) >= LARGE
     to_pivots = _distances(points, pivots)
     squares = (points * points).sum(axis=1)
     # Rounding errors of the distances are far below this share of the scale.
-    slack = 1e-6 * (norm2 + squares.max(initial=0.0)) + 1e-3
+    slack = 1e-6 * (norm2 + squares.max(initial=0.0, where=squares < LARGE)) + 1e-3
     for q, query in enumerate(queries):
         lower = np.abs(table - to_pivots[q]).max(axis=1)
         bound = (squares[q] + norm2 - lower * lower) / 2 + slack
+        bound[large | (squares[q] >= LARGE)] = np.inf  # always evaluated
         bound[ids == query_ids[q]] = -np.inf
         order = np.argsort(-bound, kind="stable")
         best_ids, best_scores = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -123,16 +127,19 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
     Both tables are ``(vec_id, embedding)``. A vector is no candidate for the
     query of its own vec_id, nor for queries of another length. Ties go to the
     smaller vec_id. A query that occurs twice is answered once. Vectors with a
-    null vec_id take no part.
+    null vec_id take no part. Very large vectors, whose bounds could not be
+    computed exactly, are always evaluated; an error is raised only where an inner
+    product may not fit 64 bits.
     """
     vecs = written(spark, whole_vectors(vectors).where("vec_id IS NOT NULL"), "whole-vectors")
     asked = whole_vectors(queries).where("vec_id IS NOT NULL").dropDuplicates(["vec_id"])
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    total, norm2 = vecs.agg(F.count(F.lit(1)), F.max(norm)).first()
-    if (norm2 or 0.0) >= 2.0**52:
-        raise ValueError("components are too large for exact inner products")
+    usual = F.max(F.when(norm < LARGE, norm))
+    total, norm2, largest = vecs.agg(F.count(F.lit(1)), usual, F.max(norm)).first()
+    if (largest or 0.0) * (asked.agg(F.max(norm)).first()[0] or 0.0) >= 2.0**126:
+        raise ValueError("inner products of these vectors may not fit 64 bits")
     norm2 = float(norm2 or 0.0)
-    sample = vecs.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toPandas()
+    sample = vecs.where(norm < LARGE).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toPandas()
     pivots = {
         int(d): choose_pivots(np.stack(g.vec.to_numpy()), norm2) for d, g in sample.groupby(sample.vec.map(len)) if d
     }

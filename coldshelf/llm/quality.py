@@ -19,15 +19,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from coldshelf.llm.shared import each_batch, slices
 
 #: Characters in a passage, about: a text is cut into equal passages.
 PASSAGE_CHARS = 1000
-#: Labelled documents that the model is fitted on, at most, chosen by a hash of doc_id; longer ones are passed over.
+#: The sample that the model is fitted on: so many labelled documents at most, chosen by a hash of doc_id, of at most
+#: so many characters each (longer ones are passed over) and so many passages in all, which is some 100 MB.
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 200_000
+TRAIN_PASSAGES = 100_000
 PREDICT_AT = 0.7
 BATCH_DOCS = 64
 #: In a passage of so many characters, features count half.
@@ -200,17 +202,25 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, codes: int = 32, gates: int
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
-    """Fit on at most ``TRAIN_DOCS`` documents that ``labels(doc_id, <label>)`` marks 0 or 1.
+    """Fit on documents that ``labels(doc_id, <label>)`` marks 0 or 1, a bounded sample of them.
 
-    Of several labels for a doc_id the smallest counts; null ids and labels do not.
+    The bounds are ``TRAIN_DOCS``, ``TRAIN_CHARS`` and ``TRAIN_PASSAGES``. Of
+    several labels for a doc_id the smallest counts, of several texts the one
+    of smallest hash; null ids and labels do not count. The same tables give the
+    same model, whatever the order of their rows.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("double").alias("mark"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
-    # At most TRAIN_DOCS rows of two numbers.
-    rows = texts.join(F.broadcast(chosen), "doc_id")
+    # At most TRAIN_DOCS rows of two numbers, here and below.
+    rows = texts.join(F.broadcast(chosen), "doc_id").withColumn("content", F.xxhash64("text"))
+    passages_of = (F.ceil(F.coalesce(F.length("text"), F.lit(0)) / PASSAGE_CHARS) + 1).alias("n")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("content", passages_of)).alias("one")).select("doc_id", "one.*")
+    so_far = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    one = one.withColumn("so_far", so_far).where(F.col("so_far") <= TRAIN_PASSAGES).select("doc_id", "content")
+    rows = rows.join(F.broadcast(one), ["doc_id", "content"])
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         bags = [passages([t or ""])[0].tobytes() for t in batch.column("text").to_pylist()]
@@ -218,7 +228,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
         return pa.record_batch(columns, names=["doc_id", "mark", "bag"])
 
     rows = rows.select("doc_id", "text", "mark").mapInArrow(each_batch(make), "doc_id long, mark double, bag binary")
-    found = sorted((r.doc_id, bytes(r.bag), r.mark) for r in rows.limit(2 * TRAIN_DOCS).collect())
+    # Rows of one id are equal by now.
+    rows = rows.groupBy("doc_id").agg(F.min("mark").alias("mark"), F.min("bag").alias("bag"))
+    found = sorted((r.doc_id, bytes(r.bag), r.mark) for r in rows.collect())
     bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, FEATURES) for _, b, _ in found]
     return fit(bags, np.array([m for *_, m in found]))
 

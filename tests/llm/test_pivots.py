@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from helpers import SF_DIR, nothing, rows
 
 from coldshelf.llm import pivots, queries
@@ -37,6 +38,21 @@ def test_odd_vectors_and_small_blocks(spark, monkeypatch):
     assert got == plain(vectors, [v for v in vectors if v[0] in (0, 5, 100, 139, 200, 202)], 5)
 
 
+def test_very_large_vectors(spark, monkeypatch):
+    for name, value in (("VECTOR_BLOCK", 16), ("QUERY_BLOCK", 4), ("STEP", 4), ("PIVOT_SAMPLE", 8)):
+        monkeypatch.setattr(pivots, name, value)
+    rng = np.random.default_rng(6)
+    good = [(i, rng.normal(size=5).tolist()) for i in range(80)]
+    good += [(200 + i, (rng.normal(size=5) * 10.0 ** (i % 4 + 3)).tolist()) for i in range(20)]
+    frame = spark.createDataFrame(good, "vec_id long, embedding array<double>")
+    asked = frame.where("vec_id % 10 = 3")
+    got = sorted(map(tuple, pivots.top_k(spark, frame, asked, 5).collect()))
+    vectors = whole(good)
+    assert got == plain(vectors, [v for v in vectors if v[0] % 10 == 3], 5)
+    with pytest.raises(ValueError, match="64 bits"):
+        pivots.top_k(spark, *[spark.createDataFrame([(i, [1e8, 1e8]) for i in range(3)], frame.schema)] * 2)
+
+
 def test_empty_tables(spark):
     frame = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
     assert pivots.top_k(spark, nothing(frame), nothing(frame)).collect() == []

@@ -40,6 +40,59 @@ def test_gradients_equal_differences():
         assert abs((up - loss(tuple(moved))) / 2e-5 - g[at]) < 1e-6
 
 
+def plain_score(text, model):
+    """Passage by passage and number by number: encode, gate, weigh by softmax, judge the weighted sum."""
+    import math
+
+    encode, bias, tanh_gate, sigmoid_gate, attend, judge, offset = (w.tolist() for w in model.weights)
+    codes, raws = [], []
+    for x in quality.passages([text or ""])[0].astype(float):
+        chars = math.expm1(7 * x[-1])
+        x = [(a - m) * s * chars / (chars + quality.TRUST_CHARS) for a, m, s in zip(x, model.mean.tolist(), model.scale.tolist())]
+        code = [math.tanh(sum(a * row[j] for a, row in zip(x, encode)) + b) for j, b in enumerate(bias)]
+        left = [math.tanh(sum(c * row[j] for c, row in zip(code, tanh_gate))) for j in range(len(attend))]
+        right = [1 / (1 + math.exp(-sum(c * row[j] for c, row in zip(code, sigmoid_gate)))) for j in range(len(attend))]
+        codes.append(code)
+        raws.append(sum(a * b * w for a, b, w in zip(left, right, attend)))
+    shares = [math.exp(r - max(raws)) for r in raws]
+    bag = [sum(s * c[j] for s, c in zip(shares, codes)) / sum(shares) for j in range(len(judge))]
+    return 1 / (1 + math.exp(-sum(b * w for b, w in zip(bag, judge)) - offset[0]))
+
+
+def test_query_equals_a_plain_attention_loop(spark):
+    docs = queries.table(spark, SF_DIR, "documents")
+    model = queries.quality_model(spark, docs, SF_DIR)
+    got = {r.doc_id: r.score for r in queries.op5_quality(spark, SF_DIR).collect()}
+    texts = dict(rows("documents", "doc_id, text"))
+    assert set(got) == set(texts)
+    for i in sorted(texts, key=lambda i: len(texts[i] or ""))[::7]:
+        assert abs(got[i] - plain_score(texts[i], model)) < 1e-4
+
+
+def test_repeated_ids_and_the_order_of_rows_do_not_change_the_model(spark, monkeypatch):
+    docs = [(i, text) for i, text in rows("documents", "doc_id, text")]
+    docs += [(i, f"{text} and more") for i, text in docs[:50]] + docs[:20] * 3
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    models = []
+    for order in (docs, docs[::-1]):
+        frame = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        models.append(quality.train(frame, labels))
+    assert all((a == b).all() for a, b in zip(models[0].weights, models[1].weights))
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, marks: seen.append((len(bags), sum(map(len, bags)))))
+    docs = spark.createDataFrame([(i, "some words " * (50 * i)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    quality.train(docs, labels)
+    monkeypatch.setattr(quality, "TRAIN_PASSAGES", 100)
+    quality.train(docs, labels)
+    monkeypatch.setattr(quality, "TRAIN_DOCS", 3)
+    quality.train(docs, labels)
+    assert seen[0][0] == 40 and seen[1][1] <= 100 and 0 < seen[1][0] < 40 and seen[2][0] <= 3
+
+
 def test_attention_finds_the_one_bad_passage():
     good = "A plain sentence of quiet words goes on and on. " * 100
     bad = good[:2000] + "!!! $$$ ||| " * 100 + good[2000:]
