@@ -29,10 +29,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from coldshelf.llm.shared import slices, small
 from coldshelf.session import scratch_dir
@@ -113,7 +112,8 @@ def frequent_phrases(
     rows = listed.select(
         "block", (F.col("place") + 1).alias("place"), "lang", F.col("word.words").alias("word"), F.col("word.counts").alias("n")
     )
-    common = _common(spark, rows, ["lang", "word"], min_count)
+    tasks = 1 + (texts.rows.agg(F.max(F.shiftright("block", _TASK_BITS))).first()[0] or 0)
+    common = _common(spark, rows, ["lang", "word"], min_count, tasks)
     found = common.rows.where("first").select(
         *("id", "lang", F.col("word").cast("string").alias("phrase"), F.lit(1).alias("k"), "a"),
         *(F.lit(None).cast("long").alias(c) for c in ("left_id", "right_id")),
@@ -127,7 +127,7 @@ def frequent_phrases(
         common.drop()
         held, relation = following, following.rows
         rows = relation.mapInArrow(_counted, "block long, place int, left_id long, right_id long, n long")
-        common = _common(spark, rows, ["left_id", "right_id"], min_count)
+        common = _common(spark, rows, ["left_id", "right_id"], min_count, tasks)
         first = levels[-1].select(F.col("id").alias("left_id"), "lang", F.col("phrase").alias("head"))
         last = levels[-1].select(F.col("id").alias("right_id"), F.element_at(F.split("phrase", " "), -1).alias("tail"))
         found = common.rows.where("first").join(first, "left_id").join(last, "right_id")
@@ -161,37 +161,17 @@ class _Kept:
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _common(spark: SparkSession, rows: DataFrame, keys: list[str], min_count: int) -> _Kept:
+def _common(spark: SparkSession, rows: DataFrame, keys: list[str], min_count: int, tasks: int) -> _Kept:
     """Of rows ``block, place, *keys, n``, one for each block and phrase, those of frequent phrases.
 
     ``a`` is the count of all, ``id`` a number for the phrase, ``first`` marks one
-    of its rows. Ids are small: the how manieth phrase of its task, times the
-    number of tasks, plus that of the task.
+    of its rows. Rows are numbered by their place in their task, and then by task,
+    which keeps numbers small; the id is the smallest of a phrase's numbers.
     """
-    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-    stride = max(int(spark.conf.get(c, "1")) for c in settings)
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n, last = TaskContext.get().partitionId(), -1, None
-        assert task < stride
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fresh = np.zeros(batch.num_rows, dtype=bool)
-            for key in (batch.column(c) for c in keys):
-                fresh[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
-            here = tuple(batch.column(c)[0].as_py() for c in keys)
-            fresh[0] = here != last
-            last = tuple(batch.column(c)[-1].as_py() for c in keys)
-            numbers = n + np.cumsum(fresh)
-            n = int(numbers[-1])
-            batch = batch.append_column("id", pa.array(numbers * stride + task, pa.int64()))
-            yield batch.append_column("first", pa.array(fresh))
-
+    number = F.expr(f"((block & {(1 << _TASK_BITS) - 1}L) + place) * {tasks}L + shiftright(block, {_TASK_BITS})")
     of_phrase = Window.partitionBy(*keys)
-    counted = rows.select("*", F.sum("n").over(of_phrase).alias("a")).where(F.col("a") >= min_count).drop("n")
-    schema = T.StructType([*counted.schema.fields]).add("id", "long").add("first", "boolean")
-    return _Kept(spark, counted.mapInArrow(numbered, schema), "common")
+    counted = rows.select("*", F.sum("n").over(of_phrase).alias("a"), F.min(number).over(of_phrase).alias("id"))
+    return _Kept(spark, counted.where(F.col("a") >= min_count).withColumn("first", F.col("id") == number).drop("n"), "common")
 
 
 class _Words(dict):

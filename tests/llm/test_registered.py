@@ -8,7 +8,7 @@ from coldshelf.llm import queries
 def test_all_operators_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names and set(queries.QUERIES) <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_queries_equal_their_sql(spark):
