@@ -8,18 +8,18 @@ without those rows, and put them back from the named files on request.
 from coldshelf.plans.jobs import Retention, RetentionError, RetentionRefused
 from coldshelf.plans.ledger import Ledger, Status
 from coldshelf.plans.windows import plan_windows, resolve_window
+from coldshelf.sources.catalog import CatalogTable
 from coldshelf.sources.live import LiveTable
-from coldshelf.sources.snapshot import SnapshotTable
 from coldshelf.spec import Granularity, TableSpec, Window
 
 __all__ = [
+    "CatalogTable",
     "Granularity",
     "Ledger",
     "LiveTable",
     "Retention",
     "RetentionError",
     "RetentionRefused",
-    "SnapshotTable",
     "Status",
     "TableSpec",
     "Window",

@@ -32,7 +32,7 @@ def survivors(table: DataFrame, archived: DataFrame, spec: TableSpec, window: Wi
 def survivors_of_window(table: DataFrame, spec: TableSpec, window: Window) -> DataFrame:
     """The table without the window's rows, as a plain filter.
 
-    Only right where reconcile has proved, for this very version of the table,
+    Only right where reconcile has proved, for these very files of the table,
     that the window's rows are the archived rows; then no join is needed.
     """
     return table.where(~F.coalesce(window_filter(table.schema, spec, window), F.lit(False)))

@@ -56,7 +56,7 @@ class RetentionRefused(RuntimeError):
 class Retention:
     """Archive and restore jobs over one ledger and one archive folder.
 
-    A table is a ``SnapshotTable`` or a ``LiveTable``. Retention settings are
+    A table is a ``CatalogTable`` or a ``LiveTable``. Retention settings are
     arguments; ``as_of`` is the date the cutoff is counted from.
     """
 
@@ -188,9 +188,8 @@ class Retention:
         at = datetime.now(timezone.utc)
         record = self._record(spec, window, Status.STARTED, token, delete_begun=False)
         try:
-            pinned = table.pin()
-            spec = with_declared(spec, table, pinned)
-            found = window_scan(table.read(pinned, window), spec, window)
+            spec = with_declared(spec, table)
+            found = window_scan(table.read(window), spec, window)
             rows = archive_rows(found, spec, transform)
             if transform is not None:
                 refuse_lost_rows(found, rows, spec.pk)
@@ -217,7 +216,6 @@ class Retention:
             archive_schema=rows.schema.json(),
             n_files=n_files,
             transformed=transform is not None,
-            source_version=pinned.version if pinned else None,
         )
 
     def reconcile_window(
@@ -233,9 +231,9 @@ class Retention:
         if record.exported == 0 and record.n_files == 0:
             return self._record(spec, window, Status.RECONCILED, record.run_token, record, reconciled=0)
         try:
-            # A fresh read of the newest version, not the rows the export held.
-            pinned = table.pin()
-            matched = self._prove_equal(table, pinned, spec, window, record, transform)
+            # A fresh read, not the rows the export held; what the files were before it is noted.
+            state = table.state_of(window)
+            matched = self._prove_equal(table, spec, window, record, transform)
         except Exception as failure:
             self._fail(spec, record, Status.RECONCILE_FAILED, failure)
         return self._record(
@@ -245,7 +243,7 @@ class Retention:
             record.run_token,
             record,
             reconciled=matched,
-            source_version=pinned.version if pinned else None,
+            source_state=state,
         )
 
     def delete_window(
@@ -263,25 +261,25 @@ class Retention:
         _require(record, Status.RECONCILED, spec, window, "delete")
         token = record.run_token
         if not self.delete_enabled or dry_run:
-            there = window_count(table.read(table.pin(), window), spec, window).first().n_rows
+            there = window_count(table.read(window), spec, window).first().n_rows
             reason = "dry run" if self.delete_enabled else "deletes are switched off"
             reason = f"{reason}: {there} rows would be deleted"
             return self._record(spec, window, Status.DELETE_SKIPPED, token, record, error=reason)
         try:
-            pinned = table.pin()
             if record.reconciled == 0:
-                there = window_count(table.read(pinned, window), spec, window).first().n_rows
+                there = window_count(table.read(window), spec, window).first().n_rows
                 if there:
                     raise RetentionError(f"{there} rows appeared in the window after reconciliation")
                 deleted = 0
             else:
-                if not table.same_window(record.source_version, pinned, window):
-                    # The window's files changed since reconcile: prove the window
-                    # again for the version the delete will start from.
-                    self._prove_equal(table, pinned, spec, window, record, transform)
+                state = table.state_of(window)
+                if state is None or state != record.source_state:
+                    # The window's files may have changed since reconcile: prove
+                    # the window again for those the delete will start from.
+                    self._prove_equal(table, spec, window, record, transform)
                 record = self._record(spec, window, Status.RECONCILED, token, record, delete_begun=True)
-                archived = self._archived_rows(table, pinned, spec, record)
-                deleted = table.delete_window(pinned, spec, window, record.reconciled, archived)
+                archived = self._archived_rows(table, spec, record)
+                deleted = table.delete_window(spec, window, record.reconciled, archived)
         except Exception as failure:
             self._fail(spec, record, Status.DELETE_FAILED, failure)
         return self._record(spec, window, Status.DELETED, token, record, deleted=deleted)
@@ -311,13 +309,12 @@ class Retention:
             raise RetentionRefused(f"'{spec.name}' {window} is {record.status.value}, it cannot be restored")
         if record.transformed:
             raise RetentionRefused(f"'{spec.name}' {window} was exported with a transform")
-        pinned = table.pin()
-        there = window_count(table.read(pinned, window), spec, window).first().n_rows
+        there = window_count(table.read(window), spec, window).first().n_rows
         expected = record.reconciled if record.reconciled is not None else record.exported or 0
         token = record.run_token
         if there:
             begun = record.status in (Status.RESTORE_STARTED, Status.RESTORE_FAILED)
-            if not (begun and there == expected and self._already_restored(table, pinned, spec, record, files)):
+            if not (begun and there == expected and self._already_restored(table, spec, record, files)):
                 raise RetentionRefused(f"'{spec.name}' already has {there} rows in {window}")
             if record.status is Status.RESTORE_FAILED:
                 record = self._record(spec, window, Status.RESTORE_STARTED, token, record)
@@ -326,7 +323,7 @@ class Retention:
         try:
             archived = T.StructType.fromJson(json.loads(record.archive_schema))
             rows = archive_scan(self.spark, files, archived)
-            current = table.schema_of(pinned)
+            current = table.schema()
             rows = as_source(rows, current)
             n, repeated = key_totals(rows, spec.pk)
             if n != expected:
@@ -335,8 +332,8 @@ class Retention:
                 raise RetentionError("the named files hold the same key more than once")
             # Checks the columns; what gets written is the restored part only.
             restore_union(self.spark.createDataFrame([], current), rows, allow_missing_columns)
-            written = table.insert(pinned, _fill_added(rows, current), spec)
-            after = window_count(table.read(table.pin(), window), spec, window).first().n_rows
+            written = table.insert(_fill_added(rows, current), spec)
+            after = window_count(table.read(window), spec, window).first().n_rows
             if written != expected or after != expected:
                 raise RetentionError(f"{written} rows were written and {after} are there; expected {expected}")
         except Exception as failure:
@@ -361,13 +358,13 @@ class Retention:
         return record, spec.with_predicate(record.predicate)
 
     def _already_restored(
-        self, table: Any, pinned: Any, spec: TableSpec, record: Record, files: list[str] | DataFrame
+        self, table: Any, spec: TableSpec, record: Record, files: list[str] | DataFrame
     ) -> bool:
         """Whether the window's rows are the files' rows, as multisets; columns added since the export are NULL."""
         archived = T.StructType.fromJson(json.loads(record.archive_schema))
-        current = table.schema_of(pinned)
+        current = table.schema()
         rows = _fill_added(as_source(archive_scan(self.spark, files, archived), current), current)
-        live = window_scan(table.read(pinned, record.window), spec, record.window)
+        live = window_scan(table.read(record.window), spec, record.window)
         if not same_columns(rows.schema, live.schema):
             return False
         return tuple(set_equality(live, rows).first()) == (0, 0)
@@ -375,14 +372,13 @@ class Retention:
     def _prove_equal(
         self,
         table: Any,
-        pinned: Any,
         spec: TableSpec,
         window: Window,
         record: Record,
         transform: Transform | None,
     ) -> int:
         """Fail unless the window's live rows are exactly the archived rows."""
-        live, archived = self._both_sides(table, pinned, spec, window, record, transform)
+        live, archived = self._both_sides(table, spec, window, record, transform)
         profile = key_profile(live, archived, spec.pk)
         problem = _count_problem(profile, record.exported)
         if problem is None:
@@ -411,8 +407,7 @@ class Retention:
         """
         if not record.reconciled or not record.delete_begun or not self.delete_enabled:
             return None
-        pinned = table.pin()
-        live, archived = self._both_sides(table, pinned, spec, window, record, transform)
+        live, archived = self._both_sides(table, spec, window, record, transform)
         profile = key_profile(live, archived, spec.pk)
         if profile.missing_in_source == 0:
             return None
@@ -426,8 +421,8 @@ class Retention:
             )
         try:
             if profile.source_rows:
-                archived = self._archived_rows(table, pinned, spec, record)
-                table.delete_window(pinned, spec, window, profile.source_rows, archived)
+                archived = self._archived_rows(table, spec, record)
+                table.delete_window(spec, window, profile.source_rows, archived)
         except Exception as failure:
             self._fail(spec, record, Status.DELETE_FAILED, failure)
         return self._record(
@@ -437,23 +432,22 @@ class Retention:
     def _both_sides(
         self,
         table: Any,
-        pinned: Any,
         spec: TableSpec,
         window: Window,
         record: Record,
         transform: Transform | None,
     ) -> tuple[DataFrame, DataFrame]:
         """The window's live rows as the archive would store them, and the archived rows."""
-        live = archive_rows(window_scan(table.read(pinned, window), spec, window), spec, transform)
+        live = archive_rows(window_scan(table.read(window), spec, window), spec, transform)
         schema = T.StructType.fromJson(json.loads(record.archive_schema))
         if not same_columns(live.schema, schema):
             raise RetentionError("the table's columns changed since the export")
         return live, read_archive(self.spark, record.archive_path, schema).drop(KEY)
 
-    def _archived_rows(self, table: Any, pinned: Any, spec: TableSpec, record: Record) -> DataFrame:
+    def _archived_rows(self, table: Any, spec: TableSpec, record: Record) -> DataFrame:
         """The archived rows in the table's types; their keys alone where a transform changed the rest."""
         schema = T.StructType.fromJson(json.loads(record.archive_schema))
-        rows = as_source(read_archive(self.spark, record.archive_path, schema).drop(KEY), table.schema_of(pinned))
+        rows = as_source(read_archive(self.spark, record.archive_path, schema).drop(KEY), table.schema())
         return rows.select(*[quoted(c) for c in spec.pk]) if record.transformed else rows
 
     def _record(

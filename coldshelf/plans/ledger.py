@@ -66,7 +66,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("archive_schema", T.StringType()),
         T.StructField("n_files", T.LongType()),
         T.StructField("transformed", T.BooleanType()),
-        T.StructField("source_version", T.LongType()),
+        T.StructField("source_state", T.LongType()),
         T.StructField("delete_begun", T.BooleanType()),
         T.StructField("error_message", T.StringType()),
     ]
@@ -83,7 +83,7 @@ CARRIED = [
     "archive_schema",
     "n_files",
     "transformed",
-    "source_version",
+    "source_state",
     "delete_begun",
 ]
 # Columns that every event replaces.
@@ -152,7 +152,7 @@ class Record:
     archive_schema: str | None
     n_files: int | None
     transformed: bool | None
-    source_version: int | None
+    source_state: int | None
     delete_begun: bool | None
     error_message: str | None
     at: datetime | None

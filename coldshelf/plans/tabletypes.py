@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from coldshelf.spec import TableSpec, archive_schema, quoted
 
 
-def with_declared(spec: TableSpec, table: Any, pinned: Any) -> TableSpec:
+def with_declared(spec: TableSpec, table: Any) -> TableSpec:
     """The spec with the columns added that the table itself declares NOT NULL."""
-    declared = [f.name for f in table.schema_of(pinned).fields if not f.nullable]
+    declared = [f.name for f in table.schema().fields if not f.nullable]
     declared += getattr(table, "not_null", ())
     return replace(spec, required=tuple(dict.fromkeys((*spec.required, *declared))))
 

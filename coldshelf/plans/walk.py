@@ -61,23 +61,22 @@ def archive_together(
     def recorded(status: Status, values: dict[Window, dict] | None = None, error: str | None = None) -> dict[Window, Record]:
         return ledger.record_many(spec.name, states, status, token, spec.predicate, values, error)
 
-    def live(pinned: Any) -> DataFrame:
-        return window_scan(table.read(pinned, span), spec, span)
+    def live() -> DataFrame:
+        return window_scan(table.read(span), spec, span)
 
     states: dict[Window, Record | None] = dict.fromkeys(windows)
     states = recorded(Status.STARTED)
 
     # Export: what one window must not hold, none of them may.
-    pinned = table.pin()
-    checked = with_declared(spec, table, pinned)
-    rows = archive_rows(live(pinned), checked, transform)
+    checked = with_declared(spec, table)
+    rows = archive_rows(live(), checked, transform)
     if transform is not None:
         try:
-            refuse_lost_rows(live(pinned), rows, spec.pk)
+            refuse_lost_rows(live(), rows, spec.pk)
         except ValueError:
             return None
     path = f"{jobs.archive_root.rstrip('/')}/{safe_name(spec.name)}/run={token}"
-    sizes = rows_by_window(live(pinned), spec, windows)
+    sizes = rows_by_window(live(), spec, windows)
     stats = write_windows(rows, checked, path, file_stem(spec, token, at), windows, sizes)
     archive = read_windows(jobs.spark, path, rows.schema)
     files = ledger.record_manifests(spec.name, windows, token, windows_manifest(archive, path))
@@ -93,7 +92,6 @@ def archive_together(
                 archive_schema=rows.schema.json(),
                 n_files=n_files,
                 transformed=transform is not None,
-                source_version=pinned.version if pinned else None,
             )
             for w, (n_files, n_rows) in files.items()
         },
@@ -102,8 +100,8 @@ def archive_together(
     # Proof: all rows against all files, and each file's rows against its window.
     archived = archive.drop(WINDOW, KEY)
 
-    def proved(pinned: Any) -> bool:
-        now = archive_rows(live(pinned), spec, transform)
+    def proved() -> bool:
+        now = archive_rows(live(), spec, transform)
         profile = key_profile(now, archived, spec.pk)
         if profile.duplicate_keys or profile.archive_rows != stats.rows or profile.source_rows != stats.rows:
             return False
@@ -111,22 +109,20 @@ def archive_together(
 
     starts = F.array(*[F.lit(w.start.isoformat()) for w in windows])
     own = F.element_at(starts, window_number(col(spec.date_col), windows))
-    pinned = table.pin()
-    if not proved(pinned) or not archive.where(own != F.col(WINDOW)).isEmpty():
+    state = table.state_of(span)
+    if not proved() or not archive.where(own != F.col(WINDOW)).isEmpty():
         return None
-    version = {w: dict(reconciled=files[w][1], source_version=pinned.version if pinned else None) for w in windows}
-    states = recorded(Status.RECONCILED, version)
+    states = recorded(Status.RECONCILED, {w: dict(reconciled=files[w][1]) for w in windows})
 
-    # Delete: from the version that was proved, or after a second proof.
+    # Delete: from the files that were proved, or after a second proof.
     try:
-        before, pinned = pinned, table.pin()
-        if not table.same_window(before.version if before else None, pinned, span) and not proved(pinned):
+        if (state is None or state != table.state_of(span)) and not proved():
             return None
         states = recorded(Status.RECONCILED, {w: dict(delete_begun=True) for w in windows if files[w][1]})
         if stats.rows:
-            gone = as_source(archived, table.schema_of(pinned))
+            gone = as_source(archived, table.schema())
             gone = gone.select(*[quoted(c) for c in spec.pk]) if transform is not None else gone
-            table.delete_window(pinned, spec, span, stats.rows, gone)
+            table.delete_window(spec, span, stats.rows, gone)
     except Exception as failure:
         recorded(Status.DELETE_FAILED, error=str(failure))
         from coldshelf.plans.jobs import RetentionError

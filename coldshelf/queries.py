@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -21,9 +22,9 @@ from coldshelf.plans.jobs import Retention, RetentionError
 from coldshelf.plans.ledger import Record
 from coldshelf.sources import scan
 from coldshelf.sources.archive import archive_scan
+from coldshelf.sources.catalog import CatalogTable
 from coldshelf.sources.live import LiveTable
 from coldshelf.sources.rowfiles import RowFiles
-from coldshelf.sources.snapshot import SnapshotTable
 from coldshelf.session import scratch_dir
 from coldshelf.spec import Granularity, TableSpec, Window
 
@@ -489,9 +490,10 @@ def export_order_in_files(spark, sf_dir):
 # -- whole jobs --------------------------------------------------------------
 
 
-def _job(spark: SparkSession, rows: DataFrame, spec: TableSpec, **settings) -> tuple[SnapshotTable, Retention]:
+def _job(spark: SparkSession, rows: DataFrame, spec: TableSpec, **settings) -> tuple[CatalogTable, Retention]:
     root = scratch_dir(spark, f"job-{spec.name}")
-    held = SnapshotTable.create(spark, f"{root}/table", rows, spec)
+    name = f"{spec.name}_{uuid.uuid4().hex}"
+    held = CatalogTable.create(spark, name, rows, spec, location=f"{root}/table")
     jobs = Retention(spark, ledger_ops.Ledger(spark, f"{root}/ledger"), f"{root}/archive", **settings)
     return held, jobs
 
@@ -575,10 +577,9 @@ def delete_after_drift(spark, sf_dir):
     held, jobs = _job(spark, table(spark, sf_dir, "orders"), ORDERS)
     jobs.export_window(held, ORDERS, FIRST_WINDOW)
     jobs.reconcile_window(held, ORDERS, FIRST_WINDOW)
-    pinned = held.pin()
     owners = ORDERS.with_predicate("o_orderpriority LIKE '1%'")
-    gone = scan.window_count(held.read(pinned), owners, FIRST_WINDOW).first().n_rows
-    held.delete_window(pinned, owners, FIRST_WINDOW, gone)
+    gone = scan.window_count(held.read(), owners, FIRST_WINDOW).first().n_rows
+    held.delete_window(owners, FIRST_WINDOW, gone)
     try:
         jobs.delete_window(held, ORDERS, FIRST_WINDOW)
     except RetentionError:
@@ -604,7 +605,7 @@ def delete_skipped(spark, sf_dir):
     return reduce(DataFrame.unionByName, states)
 
 
-def _round_trip(spark: SparkSession, rows: DataFrame) -> tuple[SnapshotTable, int, Record]:
+def _round_trip(spark: SparkSession, rows: DataFrame) -> tuple[CatalogTable, int, Record]:
     """Archive and restore all events; the table, the rows left in between, and the last record."""
     held, jobs = _job(spark, rows, EVENTS)
     record = jobs.archive_window(held, EVENTS, EVENT_WINDOW, EVENTS_AS_OF)
@@ -637,7 +638,7 @@ def restore_resumed(spark, sf_dir):
     record = jobs.archive_window(held, ORDERS, FIRST_WINDOW, AS_OF)
     schema = T.StructType.fromJson(json.loads(record.archive_schema))
     jobs.ledger.record("orders", FIRST_WINDOW, ledger_ops.Status.RESTORE_STARTED, record.run_token, after=record)
-    held.insert(held.pin(), export_ops.read_archive(spark, record.archive_path, schema).drop("archive_key"), ORDERS)
+    held.insert(export_ops.read_archive(spark, record.archive_path, schema).drop("archive_key"), ORDERS)
     done = jobs.restore_files(held, ORDERS, jobs.ledger.output_files("orders", FIRST_WINDOW).select("file_path"))
     return held.read().select(
         "*", F.lit(done.status.value).alias("status"), F.lit(done.restored).cast("long").alias("restored")

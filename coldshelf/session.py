@@ -23,12 +23,13 @@ RECOMMENDED = {
 def local_session(
     cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
 ) -> SparkSession:
-    """A single-machine session for tests and the bench; ``shared`` becomes ``spark.checkpoint.dir``."""
+    """A single-machine session for tests and the bench; ``shared`` becomes ``spark.checkpoint.dir``
+    and holds managed tables."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("coldshelf")
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
     if shared:
-        builder = builder.config("spark.checkpoint.dir", shared)
+        builder = builder.config("spark.checkpoint.dir", shared).config("spark.sql.warehouse.dir", f"{shared}/warehouse")
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)

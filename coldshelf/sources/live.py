@@ -25,7 +25,7 @@ DeleteRows = Callable[[pa.Table], int]
 
 @dataclass(frozen=True)
 class LiveTable:
-    """``reader`` re-reads the table on every call; nothing is pinned.
+    """``reader`` re-reads the table on every call.
 
     ``delete_rows(archived)`` is called inside tasks, with at most
     ``delete_batch_rows`` archived rows in the table's columns and types, or
@@ -45,24 +45,21 @@ class LiveTable:
     delete_tasks: int = 8
     not_null: tuple[str, ...] = ()
 
-    def pin(self) -> None:
-        return None
-
-    def read(self, snapshot: None = None, window: Window | None = None) -> DataFrame:
+    def read(self, window: Window | None = None) -> DataFrame:
         return self.reader()
 
-    def schema_of(self, snapshot: None) -> T.StructType:
+    def schema(self) -> T.StructType:
         return self.reader().schema
 
     def oldest_part(self, spec: TableSpec) -> DataFrame:
         return self.reader()
 
-    def same_window(self, version: int | None, snapshot: None, window: Window) -> bool:
-        """A table without versions may always have changed."""
-        return False
+    def state_of(self, window: Window) -> None:
+        """Unknown: the table may always have changed."""
+        return None
 
     def delete_window(
-        self, snapshot: None, spec: TableSpec, window: Window, expected: int, archived: DataFrame
+        self, spec: TableSpec, window: Window, expected: int, archived: DataFrame
     ) -> int:
         """Delete the archived rows, and only those; returns how many are gone from the table.
 
@@ -83,7 +80,7 @@ class LiveTable:
             raise ValueError(f"{others} row(s) of the window are not in the archive: they stay, {total} are gone")
         return total
 
-    def insert(self, snapshot: None, rows: DataFrame, spec: TableSpec) -> int:
+    def insert(self, rows: DataFrame, spec: TableSpec) -> int:
         count = rows.count()
         self.writer(rows)
         return count

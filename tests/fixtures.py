@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
-from coldshelf import Ledger, Retention, SnapshotTable, TableSpec, Window
+from coldshelf import CatalogTable, Ledger, Retention, TableSpec, Window
 from coldshelf.session import scratch_dir
 
 AS_OF = date(2026, 1, 15)
@@ -36,13 +37,18 @@ def orders(spark, rows=None):
     return spark.createDataFrame(order_rows() if rows is None else rows, ORDER_COLUMNS)
 
 
+def stored(spark, root, rows, spec):
+    """An external table below ``root``."""
+    return CatalogTable.create(spark, f"{spec.name}_{uuid.uuid4().hex}", rows, spec, location=f"{root}/table")
+
+
 class Shelf:
     """One table with its ledger and archive, in a fresh folder."""
 
     def __init__(self, spark, rows=None, spec=SPEC, **settings):
         self.root = scratch_dir(spark, "test")
         self.spec = spec
-        self.table = SnapshotTable.create(spark, f"{self.root}/table", orders(spark, rows), spec)
+        self.table = stored(spark, self.root, orders(spark, rows), spec)
         self.ledger = Ledger(spark, f"{self.root}/ledger")
         self.jobs = Retention(spark, self.ledger, f"{self.root}/archive", **settings)
 

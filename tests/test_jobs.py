@@ -6,15 +6,14 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from coldshelf import LiveTable, Ledger, Retention, RetentionError, RetentionRefused, SnapshotTable, Status, Window
+from coldshelf import CatalogTable, LiveTable, Ledger, Retention, RetentionError, RetentionRefused, Status, Window
 from coldshelf.operators.export import read_archive
 from coldshelf.plans.ledger import CARRIED, REPLACED, LedgerConflict, fold
 from coldshelf.session import scratch_dir
 from coldshelf.sources.archive import ArchiveSchemaError, archive_scan
 from coldshelf.sources.live import declared_not_null, staged_writer
 from coldshelf.sources.rowfiles import RowFiles
-from coldshelf.sources.snapshot import SnapshotConflict
-from fixtures import AS_OF, NEXT, OLD, SPEC, Shelf, order, order_rows, orders
+from fixtures import AS_OF, NEXT, OLD, SPEC, Shelf, order, order_rows, orders, stored
 
 
 def without_window(rows, window=OLD):
@@ -30,16 +29,16 @@ def test_archive_then_restore_brings_back_the_same_rows(spark):
     assert shelf.statuses() == ["STARTED", "EXPORTED", "RECONCILED", "RECONCILED", "DELETED"]
     assert shelf.ledger.watermark(SPEC.name) == OLD.end
 
-    version = shelf.table.pin().version
-    assert shelf.archive().seq == done.seq and shelf.table.pin().version == version
+    left = places(shelf)
+    assert shelf.archive().seq == done.seq and places(shelf) == left
 
     files = shelf.files()
     assert done.n_files == len(files) == 3
     back = shelf.restore(files)
     assert (back.status, back.restored) == (Status.RESTORED, 30)
     assert shelf.rows() == before
-    version = shelf.table.pin().version
-    assert shelf.restore(files).seq == back.seq and shelf.table.pin().version == version
+    left = places(shelf)
+    assert shelf.restore(files).seq == back.seq and places(shelf) == left
 
     with pytest.raises(RetentionRefused, match="was restored"):
         shelf.archive()
@@ -114,7 +113,7 @@ def test_restore_refuses_a_window_with_rows(spark):
     shelf = Shelf(spark)
     shelf.archive()
     late = orders(spark, [order(77, OLD.start, "1.00")])
-    shelf.table.insert(shelf.table.pin(), late, SPEC)
+    shelf.table.insert(late, SPEC)
     with pytest.raises(RetentionRefused, match="already has 1 rows"):
         shelf.restore(shelf.files())
     assert shelf.status() is Status.DELETED
@@ -175,19 +174,19 @@ def test_drift_after_reconcile_stops_the_delete(spark):
     shelf = Shelf(spark)
     reconciled(shelf)
     # One row added and one removed: the count stays, the content does not.
-    pinned = shelf.table.pin()
-    kept = shelf.table.read(pinned).where("order_id <> 3").unionByName(orders(spark, [order(99, OLD.start, "1.00")]))
-    shelf.table._publish(pinned, pinned.schema, shelf.table._write(kept, SPEC), "drift")
+    shelf.table.delete_window(SPEC.with_predicate("order_id = 3"), OLD, 1)
+    shelf.table.insert(orders(spark, [order(99, OLD.start, "1.00")]), SPEC)
     with pytest.raises(RetentionError, match="missing_in"):
         shelf.jobs.delete_window(shelf.table, SPEC, OLD)
     assert shelf.status() is Status.DELETE_FAILED and len(shelf.rows()) == 50
 
 
-def test_changes_outside_the_window_do_not_stop_the_delete(spark):
+def test_changes_outside_the_window_do_not_stop_the_delete(spark, monkeypatch):
     shelf = Shelf(spark)
-    reconciled(shelf)
-    shelf.table.insert(shelf.table.pin(), orders(spark, [order(99, date(2016, 1, 1), "1.00")]), SPEC)
-    assert shelf.table.same_window(1, shelf.table.pin(), OLD)
+    done = reconciled(shelf)
+    monkeypatch.setattr(Retention, "_prove_equal", None)  # no second proof is made
+    shelf.table.insert(orders(spark, [order(99, date(2016, 1, 1), "1.00")]), SPEC)
+    assert shelf.table.state_of(OLD) == done.source_state
     assert shelf.jobs.delete_window(shelf.table, SPEC, OLD).deleted == 30
     assert len(shelf.rows()) == 21
 
@@ -196,9 +195,10 @@ def test_rows_next_to_the_window_lead_to_a_second_proof(spark):
     shelf = Shelf(spark)
     window = Window(date(2015, 1, 1), date(2015, 3, 15))
     shelf.jobs.export_window(shelf.table, SPEC, window)
-    held = shelf.jobs.reconcile_window(shelf.table, SPEC, window).reconciled
-    shelf.table.insert(shelf.table.pin(), orders(spark, [order(99, date(2015, 3, 20), "1.00")]), SPEC)
-    assert not shelf.table.same_window(1, shelf.table.pin(), window)
+    done = shelf.jobs.reconcile_window(shelf.table, SPEC, window)
+    held = done.reconciled
+    shelf.table.insert(orders(spark, [order(99, date(2015, 3, 20), "1.00")]), SPEC)
+    assert shelf.table.state_of(window) != done.source_state
     assert shelf.jobs.delete_window(shelf.table, SPEC, window).deleted == held
     assert len(shelf.rows()) == 51 - held
 
@@ -207,16 +207,16 @@ def test_a_delete_whose_record_was_lost_is_finished(spark, monkeypatch):
     shelf = Shelf(spark)
     before = shelf.rows()
     reconciled(shelf)
-    publish = SnapshotTable.delete_window
+    publish = CatalogTable.delete_window
 
     def dies_after(*given):
         publish(*given)
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(SnapshotTable, "delete_window", dies_after)
+    monkeypatch.setattr(CatalogTable, "delete_window", dies_after)
     with pytest.raises(KeyboardInterrupt):
         shelf.jobs.delete_window(shelf.table, SPEC, OLD)
-    monkeypatch.setattr(SnapshotTable, "delete_window", publish)
+    monkeypatch.setattr(CatalogTable, "delete_window", publish)
     assert len(shelf.rows()) == 20 and shelf.status() is Status.RECONCILED
     done = shelf.archive()
     assert (done.status, done.deleted) == (Status.DELETED, 30)
@@ -226,7 +226,7 @@ def test_a_delete_whose_record_was_lost_is_finished(spark, monkeypatch):
 def test_a_row_removed_by_its_owner_is_not_taken_for_a_begun_delete(spark):
     shelf = Shelf(spark)
     reconciled(shelf)
-    shelf.table.delete_window(shelf.table.pin(), SPEC.with_predicate("order_id = 3"), OLD, 1)
+    shelf.table.delete_window(SPEC.with_predicate("order_id = 3"), OLD, 1)
     with pytest.raises(RetentionError, match="29 rows"):
         shelf.jobs.delete_window(shelf.table, SPEC, OLD)
     done = shelf.archive()
@@ -236,12 +236,12 @@ def test_a_row_removed_by_its_owner_is_not_taken_for_a_begun_delete(spark):
 
 
 def test_a_table_filed_under_another_time_zone(spark):
-    """Instants near midnight lie in segments of the neighbouring date."""
+    """Instants near midnight lie in periods of the neighbouring date."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     rows = spark.sql("select id, timestamp'2015-01-01 02:00:00' + make_dt_interval(cast(id as int), 0, 0, 0) as fye from range(151)")
     root = scratch_dir(spark, "zone")
     spec = SPEC.__class__("zoned", pk="id")
-    table = SnapshotTable.create(spark, f"{root}/table", rows, spec)
+    table = stored(spark, root, rows, spec)
     jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
@@ -375,7 +375,7 @@ def test_a_walk_with_a_transform_or_predicate(spark):
     assert [r[0] for r in shelf.rows()] == [*range(1, 41, 2), *range(41, 51)]
 
 
-def test_a_window_that_only_touches_segments_is_empty(spark):
+def test_a_window_that_only_touches_periods_is_empty(spark):
     shelf = Shelf(spark, [order(1, date(2015, 1, 31), "1.00")])
     done = shelf.archive(Window(date(2015, 1, 1), date(2015, 1, 15)))
     assert (done.status, done.exported, done.n_files, done.deleted) == (Status.DELETED, 0, 0, 0)
@@ -406,7 +406,7 @@ def test_transformed_windows_cannot_be_restored(spark):
 def test_columns_added_since_the_export(spark):
     shelf = Shelf(spark)
     shelf.archive()
-    shelf.table.add_columns(shelf.table.pin(), [T.StructField("note", T.StringType())])
+    shelf.table.add_columns([T.StructField("note", T.StringType())])
     with pytest.raises(RetentionError, match="lacks column"):
         shelf.restore(shelf.files())
     shelf.restore(shelf.files(), allow_missing_columns=True)
@@ -417,7 +417,7 @@ def test_small_integers_come_back_small(spark):
     root = scratch_dir(spark, "small")
     spec = SPEC.__class__("small_ints", pk="id")
     rows = spark.sql("select cast(id as tinyint) id, date'2015-01-05' fye, cast(id as smallint) s from range(5)")
-    table = SnapshotTable.create(spark, f"{root}/table", rows, spec)
+    table = stored(spark, root, rows, spec)
     jobs = Retention(spark, Ledger(spark, f"{root}/ledger"), f"{root}/archive")
     record = jobs.archive_window(table, spec, OLD, AS_OF)
     files = [r.file_path for r in jobs.ledger.output_files(spec.name, OLD).collect()]
@@ -427,7 +427,7 @@ def test_small_integers_come_back_small(spark):
     assert table.read().exceptAll(rows).count() == 0
 
 
-# -- ledger and snapshots -------------------------------------------------------
+# -- ledger and tables -------------------------------------------------------
 
 
 def test_ledger_carries_counts_and_replaces_errors(spark):
@@ -497,31 +497,68 @@ def test_a_state_that_was_not_written_to_its_end_is_not_used(spark, tmp_path):
     assert ledger.find("t", OLD).seq == Ledger.COMPACT + 1
 
 
-def test_two_publishers_of_one_version(spark):
-    shelf = Shelf(spark)
-    pinned = shelf.table.pin()
-    shelf.table.insert(pinned, orders(spark, [order(90, date(2020, 1, 1), "1.00")]), SPEC)
-    with pytest.raises(SnapshotConflict):
-        shelf.table.insert(pinned, orders(spark, [order(91, date(2020, 1, 1), "1.00")]), SPEC)
-    assert shelf.table.read(pinned).count() == 50 and shelf.table.read().count() == 51
+def places(shelf):
+    """The folder of each of the table's periods."""
+    found = {}
+    for period in shelf.table.periods():
+        rows = shelf.table.spark.table(shelf.table.name).where(F.col("period") == period)
+        [row] = rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("f")).distinct().collect()
+        found[period] = row.f
+    return found
 
 
-def test_whole_segments_are_dropped_without_a_rewrite(spark):
+def test_whole_periods_are_dropped_without_a_rewrite(spark):
     shelf = Shelf(spark)
-    pinned = shelf.table.pin()
+    before, left = places(shelf), shelf.table.state_of(NEXT)
     mid = Window(date(2015, 1, 10), date(2015, 3, 1))
-    assert shelf.table.delete_window(pinned, SPEC, mid, 17) == 17
-    before = {s.path for s in pinned.segments}
-    after = shelf.table.pin()
-    assert {s.period for s in after.segments if s.path not in before} == {"2015-01"}
-    assert "2015-02" not in {s.period for s in after.segments}
-    assert after.n_rows == 33
+    seen = shelf.table.state_of(mid)
+    assert shelf.table.delete_window(SPEC, mid, 17) == 17
+    after = places(shelf)
+    assert {p for p in after if after[p] != before[p]} == {"2015-01"} and set(before) - set(after) == {"2015-02"}
+    assert len(shelf.rows()) == 33
     with pytest.raises(ValueError, match="would delete"):
-        shelf.table.delete_window(after, SPEC, NEXT, 3)
-    assert shelf.table.pin().version == after.version
-    assert shelf.table.same_window(pinned.version, after, NEXT)
-    assert not shelf.table.same_window(pinned.version, after, OLD)
-    assert not shelf.table.same_window(99, after, NEXT)
+        shelf.table.delete_window(SPEC, NEXT, 3)
+    assert places(shelf) == after and shelf.table.state_of(NEXT) == left and shelf.table.state_of(mid) != seen
+
+
+def test_an_insert_moves_only_the_periods_it_adds_to(spark):
+    shelf = Shelf(spark)
+    before, held = places(shelf), shelf.rows()
+    more = [order(90, date(2015, 1, 31), "1.00"), order(91, date(2020, 1, 1), "1.00"), order(92, date(2020, 1, 2), "1.00")]
+    assert shelf.table.insert(orders(spark, more), SPEC) == 3
+    after = places(shelf)
+    assert {p for p in after if after[p] != before.get(p)} == {"2015-01", "2020-01"} and set(before) < set(after)
+    assert shelf.rows() == sorted(held + more)
+    with pytest.raises(ValueError, match="table's columns"):
+        shelf.table.insert(orders(spark, more).drop("status"), SPEC)
+    assert shelf.table.insert(orders(spark, []), SPEC) == 0 and places(shelf) == after
+
+
+def test_rows_without_a_date_stay(spark):
+    rows = [order(1, date(2015, 1, 2), "1.00"), order(2, date(2015, 1, 3), "1.00")[:2] + (None,) + order(3, OLD.start, "2.00")[3:]]
+    shelf = Shelf(spark, rows)
+    assert sorted(shelf.table.periods()) == ["2015-01", "unknown"]
+    assert shelf.archive().deleted == 1
+    assert shelf.table.periods() == ["unknown"] and [r[0] for r in shelf.rows()] == [2]
+    assert shelf.table.read(Window(date(1, 1, 1), date(9999, 1, 1))).count() == 0
+
+
+def test_a_managed_table_and_its_declared_columns(spark):
+    """Without a location the table is Spark's own: what a dropped period held is deleted."""
+    rows = spark.sql("select id, date'2015-01-01' + cast(id as int) as fye, 'it''s' as `a b` from range(90)")
+    name = f"managed_{scratch_dir(spark, 'x')[-12:]}"
+    spec = SPEC.__class__(name, pk="id")
+    table = CatalogTable.create(spark, name, rows, spec)
+    try:
+        assert [f.name for f in table.schema().fields if not f.nullable] == ["id", "fye", "a b"]
+        folder = spark.sql(f"describe table extended {name}").where("col_name = 'Location'").first().data_type
+        assert table.delete_window(spec, Window(date(2015, 2, 1), date(2015, 3, 15)), 42) == 42
+        assert table.read().count() == 48 and sorted(table.periods()) == ["2015-01", "2015-03"]
+        assert not Path(folder.removeprefix("file:"), "period=2015-02").exists()
+        with pytest.raises(ValueError, match="own"):
+            CatalogTable.create(spark, name, rows.withColumn("Period", F.lit(1)), spec)
+    finally:
+        spark.sql(f"drop table {name}")
 
 
 # -- a table outside Spark ------------------------------------------------------
