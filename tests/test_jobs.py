@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from decimal import Decimal
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -604,6 +605,23 @@ def test_live_table_is_deleted_by_archived_rows(spark):
     assert live.rows() == before
 
 
+def test_a_folder_of_rows_has_few_files_and_keeps_each_write(spark):
+    live = Live(spark, [order(i, OLD.start, "1.00") for i in range(3000)])
+    folder = Path(live.store.folder.removeprefix("file:"))
+    assert len([f for f in folder.rglob("*") if f.is_file()]) < 10
+    assert [r[0] for r in live.rows()] == list(range(3000))
+    # A fill replaces rows that are there, two batches of one page do not undo each other, a batch may come twice.
+    live.store.fill(orders(spark, [order(i, OLD.start, "2.00") for i in (-1, 5, 2999)]))
+    assert live.store.get(5)["order_amount"] == Decimal("2.00") and len(live.rows()) == 3001
+    rows = orders(spark, [order(i, OLD.start, "1.00") for i in (3, 4, 5, 9999)]).toArrow()
+    assert [live.store.delete_rows(rows) for _ in range(2)] == [1, 1]
+    assert live.store.delete_rows(orders(spark, [order(6, OLD.start, "1.00")]).toArrow()) == 0
+    assert [live.store.get(i) for i in (3, 4, 6)] == [None] * 3
+    live.store.put({**live.store.get(7), "customer_id": 1})
+    live.store.remove(8)
+    assert [r[0] for r in live.rows()] == [-1, 0, 1, 2, 5, 7, *range(9, 3000)]
+
+
 def test_live_delete_cut_short_is_finished(spark):
     live = Live(spark)
     refuse = Path(live.store.folder.removeprefix("file:")).parent / "refuse"
