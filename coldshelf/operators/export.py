@@ -18,6 +18,11 @@ from coldshelf.spec import TableSpec, Window, archive_schema
 KEY = "archive_key"
 WINDOW = "archive_window"
 
+#: For files that are many and small. Hadoop's default for local files adds a checksum file to each and, without its
+#: native library, starts a process for each of the two to set permissions, which is most of the time; this leaves one.
+#: Parquet pages have checksums of their own. Other stores do not read these settings.
+MANY_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 @dataclass(frozen=True)
 class ExportStats:
@@ -113,7 +118,7 @@ def write_archive(rows: DataFrame, spec: TableSpec, path: str, stem: str | None
     if stem:
         writer = writer.option("mapreduce.output.basename", stem)
     if spec.max_rows_per_file > 0:
-        writer = writer.option("maxRecordsPerFile", spec.max_rows_per_file)
+        writer = writer.options(maxRecordsPerFile=spec.max_rows_per_file, **MANY_FILES)
     writer.parquet(path)
     got = seen.get
     return ExportStats(got["rows"], {c: got[f"nulls_{i}"] for i, c in enumerate(spec.required)})
@@ -157,7 +162,7 @@ def write_windows(
         .option("mapreduce.output.basename", stem)
     )
     if spec.max_rows_per_file > 0:
-        writer = writer.option("maxRecordsPerFile", spec.max_rows_per_file)
+        writer = writer.options(maxRecordsPerFile=spec.max_rows_per_file, **MANY_FILES)
     writer.parquet(path)
     got = seen.get
     return ExportStats(got["rows"], {c: got[f"nulls_{i}"] for i, c in enumerate(spec.required)})

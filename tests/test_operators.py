@@ -1,6 +1,7 @@
 import os
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -194,6 +195,15 @@ def test_part_files_roll_over_and_are_sorted_by_key(spark):
         assert ids == sorted(ids)
 
 
+def test_capped_files_are_written_without_one_more_file_for_each(spark):
+    rows = spark.range(200).withColumn("fye", F.lit(date(2020, 1, 1)))
+    path = scratch_dir(spark, "capped")
+    stats = export.write_archive(rows, TableSpec("t", max_rows_per_file=10), path)
+    names = [f.name for f in Path(path.removeprefix("file:")).rglob("*") if "part-" in f.name]
+    assert stats.rows == 200 and len(names) == 20 and all(n.endswith(".parquet") for n in names)
+    assert sorted(r.id for r in export.read_archive(spark, path, rows.schema).collect()) == list(range(200))
+
+
 def test_an_existing_export_is_never_overwritten(spark):
     rows = spark.range(3).withColumn("fye", F.lit(date(2020, 1, 1)))
     path = scratch_dir(spark, "once")
