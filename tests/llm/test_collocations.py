@@ -88,6 +88,34 @@ def test_phrases_that_never_stand_alone_go(spark):
     assert "new york city" in {r[2] for r in got} and "new york" not in {r[2] for r in got}
 
 
+def test_a_block_has_one_row_for_each_shard(spark, monkeypatch):
+    """Not one for each of its phrases: what is shuffled stays small."""
+    rng = random.Random(4)
+    documents = [(" ".join(f"w{rng.randrange(200)}" for _ in range(4000)), "en") for _ in range(6)]
+    moved, common = [], collocations._common
+    monkeypatch.setattr(collocations, "_common", lambda spark, rows, *rest: moved.append(rows.count()) or common(spark, rows, *rest))
+    assert found(spark, documents, min_count=4, longest=2) == plain(documents, 4, 2)
+    frame = spark.createDataFrame([(0, t, g) for t, g in documents], SCHEMA)
+    blocks = collocations.word_blocks(frame).count()
+    assert len(moved) == 2 and max(moved) <= 64 * blocks
+
+
+@pytest.mark.parametrize("size,least", [(1 << 21, 1), (100, 1), (1 << 21, 7)])
+def test_any_number_of_shards(spark, monkeypatch, size, least):
+    monkeypatch.setattr(collocations, "SHARD", size)
+    monkeypatch.setattr(collocations, "LEAST_SHARDS", least)
+    documents = noise(3, 60)
+    assert found(spark, documents, min_count=3, block=256) == plain(documents, 3)
+
+
+def test_pairs_of_large_numbers_stay_apart():
+    left, right = np.array([1 << 40, 0, 1 << 40, 1 << 40]), np.array([5, 1 << 41, 5, 1 << 41])
+    made = collocations._as_one(left, right)
+    assert made[0] == made[2] and len(set(made.tolist())) == 3
+    for numbers in (left, -right, right[:1], np.arange(100_000)):
+        assert collocations._unpacked(collocations._packed(numbers)).tolist() == numbers.tolist()
+
+
 def test_odd_documents_and_empty_table(spark):
     docs = odd_documents(spark)
     got = sorted(tuple(r) for r in collocations.collocations(spark, docs, min_count=2).collect())
